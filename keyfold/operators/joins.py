@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound under which a lookup side is shipped to every task.  Above it the
+# join stays a shuffle join (sort-merge, or AQE's runtime broadcast when the
+# measured shuffle output turns out small).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check runs ``df.limit(max_rows + 1).count()``: it stops reading once
+    the bound is passed, so it costs at most ``max_rows`` rows of work.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def anti_join(main: DataFrame, exclude: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS,
+              checked: bool = True) -> DataFrame:
+    """Rows of ``main`` whose ``on`` key is not in ``exclude`` (left-anti)."""
+    side = bounded_broadcast(exclude, max_rows) if checked else exclude
+    return main.join(side, on, "left_anti")
