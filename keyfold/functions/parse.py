@@ -54,9 +54,17 @@ def parse_lines(df: DataFrame, fields: Sequence[Field], sep: str = ",",
     A line is bad when it has too few tokens or a token does not convert.
     ``extra`` columns are computed over the typed fields (they may refer to
     the field names).
+
+    Plan shape: one projection splits the line once (``parts``), a second
+    types every field into ``struct`` values, and rows are routed with
+    ``inline(array_compact(array(when(ok, row))))`` -- a ``Generate`` rather
+    than a ``Filter``, so Catalyst cannot push the validity test below the
+    projections and re-evaluate the split for every field.
     """
-    parts = F.split(F.col(value_col), _regex_literal(sep), -1)
     carried = [c for c in df.columns if c != value_col]
+    split = df.select(*[F.col(c) for c in df.columns],
+                      F.split(F.col(value_col), _regex_literal(sep), -1).alias("_parts"))
+    parts = F.col("_parts")
     vals, oks = [], []
     for f in fields:
         tok = _token(parts, f.index)
@@ -70,19 +78,24 @@ def parse_lines(df: DataFrame, fields: Sequence[Field], sep: str = ",",
     all_ok = oks[0]
     for o in oks[1:]:
         all_ok = all_ok & o
-    reason = F.concat_ws(";", *[F.when(~o, F.lit(f.name)) for f, o in zip(fields, oks)])
-    staged = df.select(*[F.col(c) for c in df.columns], all_ok.alias("_ok"),
-                       reason.alias("_why"), *vals)
     if mode == "fail":
-        staged = staged.withColumn(
-            "_ok", F.when(F.col("_ok"), F.lit(True)).otherwise(
-                F.raise_error(F.concat(F.lit("bad line: "), F.col(value_col)))))
-    good = staged.filter(F.col("_ok")).select(
-        *[F.col(f.name) for f in fields], *extra, *[F.col(c) for c in carried])
-    bad = staged.filter(~F.col("_ok")).select(
-        F.col(value_col).alias("bad_line"),
-        F.concat(F.lit("bad field: "), F.col("_why")).alias("reason"),
-        *[F.col(c) for c in carried])
+        all_ok = F.when(all_ok, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("bad line: "), F.col(value_col))))
+    reason = F.concat(F.lit("bad field: "), F.concat_ws(
+        ";", *[F.when(~o, F.lit(f.name)) for f, o in zip(fields, oks)]))
+    typed = split.select(
+        *[F.col(c) for c in df.columns], all_ok.alias("_ok"), reason.alias("_why"),
+        F.struct(*vals).alias("_rec"))
+    good_row = F.struct(*[F.col("_rec")[f.name].alias(f.name) for f in fields],
+                        *[F.col(c) for c in carried])
+    bad_row = F.struct(F.col(value_col).alias("bad_line"), F.col("_why").alias("reason"),
+                       *[F.col(c) for c in carried])
+    good = typed.select(F.inline(F.array_compact(F.array(
+        F.when(F.col("_ok"), good_row)))))
+    if extra:
+        good = good.select(*[f.name for f in fields], *extra, *carried)
+    bad = typed.select(F.inline(F.array_compact(F.array(
+        F.when(~F.col("_ok"), bad_row)))))
     return good, bad
 
 
