@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.session import ship_code
+from keyfold.session import pickle_by_value
+
+pickle_by_value(__name__)
 
 
 def _gap_micros(gap: str) -> int:
@@ -117,7 +119,6 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
 
     Returns ``[key,] session_start, session_end, n, total``.
     """
-    ship_code(df.sparkSession)
     gap_us = _gap_micros(gap)
     v = F.col(value) if isinstance(value, str) else value
     keyed = key is not None

@@ -77,32 +77,18 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([root.rstrip("/")] + tail)
 
 
-_SHIPPED: set[str] = set()
 
+def pickle_by_value(module_name: str) -> None:
+    """Ship a module's task code inside the pickled functions.
 
-def ship_code(spark: SparkSession) -> None:
-    """Make ``keyfold`` importable in Python workers (``mapInPandas`` and
-    ``transformWithStateInPandas`` functions are pickled by reference).
-
-    The package is zipped once per application and added with ``addPyFile``,
-    which distributes it to every executor; on a cluster the same zip can be
-    given to ``spark-submit --py-files`` instead.
+    ``mapInPandas`` / ``transformWithStateInPandas`` functions and processor
+    classes are otherwise pickled by reference, and every Python worker --
+    including the driver-side runner that sets up transformWithState -- would
+    have to import this package.  By value they only need pyspark, pandas
+    and numpy.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    import zipfile
-
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    dist = os.path.join(os.path.dirname(pkg), ".keyfold-dist")
-    os.makedirs(dist, exist_ok=True)
-    path = os.path.join(dist, f"keyfold-{app}.zip".replace("/", "_"))
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.session import ship_code
 from keyfold.streaming.processors import (CountChunks, PreviousWindowChange, RunningDistinct,
                                           RunningFold)
 
@@ -42,7 +41,6 @@ def running_stream(stream: DataFrame, key, order, value: str, carry=()) -> DataF
     key, order, carry = _cols(key), _cols(order), list(carry)
     schema = T.StructType(_field_types(stream, key + order + carry) + [
         T.StructField(n, T.LongType()) for n in ("run_n", "run_sum", "run_min", "run_max")])
-    ship_code(stream.sparkSession)
     return stream.groupBy(*key).transformWithStateInPandas(
         RunningFold(key, order, value, carry), schema, "Append", "None")
 
@@ -52,7 +50,6 @@ def running_distinct_stream(stream: DataFrame, key, order, member: str) -> DataF
     key, order = _cols(key), _cols(order)
     schema = T.StructType(_field_types(stream, key + order)
                           + [T.StructField("distinct_n", T.LongType())])
-    ship_code(stream.sparkSession)
     return stream.groupBy(*key).transformWithStateInPandas(
         RunningDistinct(key, order, member), schema, "Append", "None")
 
@@ -65,7 +62,6 @@ def count_chunk_stream(stream: DataFrame, key, seq: str, value: str, n: int,
         T.StructField("chunk_no", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("first_seq", T.LongType()), T.StructField("last_seq", T.LongType()),
         T.StructField("total", T.LongType()), T.StructField("values_text", T.StringType())])
-    ship_code(stream.sparkSession)
     return stream.groupBy(*key).transformWithStateInPandas(
         CountChunks(key, seq, value, n, scale), schema, "Append", "None")
 
@@ -104,7 +100,6 @@ def window_change_stream(stats: DataFrame, key, columns: Sequence[str]) -> DataF
     schema = T.StructType(_field_types(stats, cols) + [
         T.StructField("price_change_pct", T.DoubleType()),
         T.StructField("volume_change_pct", T.DoubleType())])
-    ship_code(stats.sparkSession)
     return stats.groupBy(*key).transformWithStateInPandas(
         PreviousWindowChange(key, cols), schema, "Append", "None")
 

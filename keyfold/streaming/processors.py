@@ -16,6 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from keyfold.session import pickle_by_value
+
+pickle_by_value(__name__)
+
 
 def _frame(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
