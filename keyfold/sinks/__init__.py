@@ -49,6 +49,12 @@ def stream_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "p
     return w.start()
 
 
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, **kw) -> None:
+    """SNK-4 for bounded replays: process what is available, then stop."""
+    q = stream_to_files(stream, path, checkpoint, trigger={"availableNow": True}, **kw)
+    q.awaitTermination()
+
+
 def to_console(df: DataFrame, rows: int = 20, truncate: bool = False):
     """SNK-5: print rows (batch) or each micro-batch (stream)."""
     if df.isStreaming:

@@ -130,3 +130,15 @@ def split_stream(outputs: dict, targets: dict[str, str]):
         finally:
             batch.unpersist()
     return run
+
+
+def processing_time_windows(stream: DataFrame, size: str, key, aggs,
+                            slide: str | None = None) -> DataFrame:
+    """WIN-1/2 as written: tumbling (or sliding) windows on processing time.
+
+    Arrival time is ``current_timestamp()``, fixed per micro-batch, so a
+    window holds whole micro-batches; windows close when the next batch's
+    clock passes their end (watermark 0 on the arrival time).
+    """
+    s = stream.withColumn("_pt", F.current_timestamp()).withWatermark("_pt", "0 seconds")
+    return tumbling_stream(s, "_pt", size, key, aggs, slide=slide)
