@@ -11,9 +11,22 @@ def average(total: Column, count: Column) -> Column:
     return total.cast("double") / count.cast("double")
 
 
+def int_div(a: Column, b: Column) -> Column:
+    """Exact integer division truncating toward zero (Java ``a / b`` on ints).
+
+    The remainder is removed with ``pmod`` first, so the division is exact and
+    no floating rounding can move the result across an integer.
+    """
+    a, b = a.cast("long"), b.cast("long")
+    aa, ab = F.abs(a), F.abs(b)
+    q = ((aa - F.pmod(aa, ab)) / ab).cast("long")
+    return F.when(b == 0, F.lit(None).cast("long")).otherwise(
+        F.when((a < 0) != (b < 0), -q).otherwise(q))
+
+
 def int_average(total: Column, count: Column) -> Column:
-    """PRJ-13: truncating integer average (``sum div count``)."""
-    return F.try_divide(total.cast("long"), count.cast("long")).cast("long")
+    """PRJ-13: truncating integer average (``sum / count`` on integers)."""
+    return int_div(total, count)
 
 
 def percent_change(cur: Column, prev: Column) -> Column:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.functions.format import int_div
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -41,8 +43,7 @@ def group_avg(df: DataFrame, key, value, name: str, count_name: str | None = Non
 def group_int_avg(df: DataFrame, key, value, name: str) -> DataFrame:
     """PRJ-13: integer average ``sum div count`` (truncating) per key."""
     v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*_cols(key)).agg(
-        (F.sum(v).cast("long") / F.count(F.lit(1)).cast("long")).cast("long").alias(name))
+    return df.groupBy(*_cols(key)).agg(int_div(F.sum(v), F.count(F.lit(1))).alias(name))
 
 
 def group_distinct(df: DataFrame, key, value: str, name: str) -> DataFrame:

@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.functions.format import int_div
 from keyfold.operators.aggregate import top_group
 
 
@@ -54,4 +55,4 @@ def window_top(per_window: DataFrame, key: str, measure: str, largest: bool = Tr
 
 def int_avg(total: Column, count: Column) -> Column:
     """PRJ-13: truncating integer average."""
-    return (total.cast("long") / count.cast("long")).cast("long")
+    return int_div(total, count)

@@ -106,7 +106,7 @@ def q_window_avg_time(spark, sf):
     g = tumbling(e, "ts", DAY, "event_type",
                  [F.sum("t").alias("_t"), F.count(F.lit(1)).alias("_n")])
     return g.select("window_start", "window_end", "event_type",
-                    F.expr("_t div _n").alias("avg_time"))
+                    int_avg(F.col("_t"), F.col("_n")).alias("avg_time"))
 
 
 @query("q_session_sum", f"""

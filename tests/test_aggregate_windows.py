@@ -1,13 +1,12 @@
 import random
 from datetime import datetime, timedelta
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, lines_df
 from fixtures import OTHER_NAMES, WORD_COUNTS
-from keyfold.operators.aggregate import group_count, group_sum, top_group
+from keyfold.operators.aggregate import group_count, top_group
 from keyfold.operators.sessions import session_windows
 from keyfold.operators.window_change import large_delta, window_change, window_stats
 from keyfold.operators.windows import sliding, tumbling, window_top

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import lines_df
 from fixtures import SALES_SAMPLE

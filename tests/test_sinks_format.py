@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 
 from keyfold.functions.format import alert_report, int_average, two_decimals
@@ -26,3 +24,11 @@ def test_format_helpers(spark):
         tuple_text(F.lit("x"), F.lit(1)).alias("d")).first()
     assert (r.a, r.b, r.d) == ("2.00", 3, "(x,1)")
     assert r.c == "Large Change Detected of -8.00% (102.0 - 93.84) at  06/10/2010:08:16:00"
+
+
+def test_int_div_truncates_toward_zero(spark):
+    from keyfold.functions.format import int_div
+    rows = [(7, 2), (-7, 2), (7, -2), (-7, -2), (6, 3), (2**52 + 1, 1), (5, 0)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = [r.q for r in df.select(int_div(F.col("a"), F.col("b")).alias("q")).collect()]
+    assert got == [3, -3, -3, 3, 2, 2**52 + 1, None]

@@ -11,6 +11,12 @@ from keyfold.streaming.operators import (count_chunk_stream, event_time, session
 from keyfold.streaming.runner import dropped_by_watermark, file_stream, run_available_now
 
 
+def test_dropped_by_watermark_sums_progress():
+    prog = [{"stateOperators": [{"numRowsDroppedByWatermark": 2}]},
+            {"stateOperators": [{"numRowsDroppedByWatermark": 1}, {}]}, {}]
+    assert dropped_by_watermark(prog) == 3
+
+
 def _same(a, b):
     pa = a.toPandas()
     pb = b.toPandas()[list(pa.columns)]
