@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from keyfold.functions.format import alert_report, stamp, window_report
 from keyfold.operators.sessions import session_windows
 from keyfold.operators.window_change import large_delta, window_change, window_stats
 from keyfold.operators.windows import int_avg, sliding, tumbling, window_top
@@ -174,3 +175,62 @@ def q_large_delta(spark, sf):
     """WIN-10: alert when the window's max moved more than the threshold."""
     return large_delta(_ev(spark, sf), "ts", DELTA_WINDOW, "event_type", "event_id", "value",
                        F.col("ts"), DELTA_THRESHOLD_PCT)
+
+
+_STAMP_SQL = "strftime({c}, '%d/%m/%Y') || ':' || strftime({c}, '%H:%M:%S')"
+# Java's %.2f rounds an exact binary tie (x * 8 integral, third decimal 5) away
+# from zero; printf rounds it to even.  The oracle nudges exactly those ties.
+_JAVA_2F = ("CASE WHEN {x} * 8 = floor({x} * 8) AND abs({x} * 1000) % 10 = 5 "
+            "THEN printf('%.2f', {x} + sign({x}) * 0.001) ELSE printf('%.2f', {x}) END")
+
+
+def _stamp(c):
+    return stamp(F.date_format(c, "dd/MM/yyyy"), F.date_format(c, "HH:mm:ss"))
+
+
+@query("q_window_report", f"""
+WITH c AS (
+  SELECT *,
+    CASE WHEN LAG(max_price) OVER w IS NULL OR LAG(max_price) OVER w = 0 THEN 0.0
+         ELSE (max_price - LAG(max_price) OVER w) / LAG(max_price) OVER w * 100.0 END AS pc,
+    CASE WHEN LAG(max_volume) OVER w IS NULL OR LAG(max_volume) OVER w = 0 THEN 0.0
+         ELSE CAST(max_volume - LAG(max_volume) OVER w AS DOUBLE)
+              / CAST(LAG(max_volume) OVER w AS DOUBLE) * 100.0 END AS vc
+  FROM {_STATS_SQL} s WINDOW w AS (PARTITION BY event_type ORDER BY window_start))
+SELECT window_start, event_type,
+       {_STAMP_SQL.format(c='first_stamp')} || ' - ' || {_STAMP_SQL.format(c='last_stamp')}
+       || ', ' || CAST(max_price AS VARCHAR) || ', ' || CAST(min_price AS VARCHAR) || ', '
+       || {_JAVA_2F.format(x='pc')} || ', ' || CAST(max_volume AS VARCHAR) || ', '
+       || CAST(min_volume AS VARCHAR) || ', ' || {_JAVA_2F.format(x='vc')} AS report
+FROM c""")
+def q_window_report(spark, sf):
+    """WIN-8/9 + PRJ-16: the per-window report line (``%.2f`` changes)."""
+    ch = window_change(_stats(spark, sf), "event_type")
+    line = window_report({
+        "first": _stamp(F.col("first_stamp")), "last": _stamp(F.col("last_stamp")),
+        "max_price": F.col("max_price"), "min_price": F.col("min_price"),
+        "price_change": F.col("price_change_pct"), "max_volume": F.col("max_volume"),
+        "min_volume": F.col("min_volume"), "volume_change": F.col("volume_change_pct")})
+    return ch.select("window_start", "event_type", line.alias("report"))
+
+
+@query("q_alert_report", f"""
+WITH p AS (
+  SELECT {_DAY_START} AS window_start, event_type,
+         MAX(value) AS cur_max, arg_min(ts, row(-value, event_id)) AS max_stamp
+  FROM events GROUP BY ALL),
+q AS (SELECT *, LAG(cur_max) OVER (PARTITION BY event_type ORDER BY window_start) AS prev_max
+      FROM p)
+SELECT window_start, event_type,
+       'Large Change Detected of '
+       || {_JAVA_2F.format(x='((cur_max - prev_max) / prev_max * 100.0)')} || '% (' || CAST(prev_max AS VARCHAR) || ' - ' || CAST(cur_max AS VARCHAR) || ') at  '
+       || {_STAMP_SQL.format(c='max_stamp')} AS alert
+FROM q WHERE prev_max IS NOT NULL AND prev_max <> 0
+  AND abs((cur_max - prev_max) / prev_max * 100.0) > {DELTA_THRESHOLD_PCT}""")
+def q_alert_report(spark, sf):
+    """WIN-10 + PRJ-16: the large-change alert line."""
+    d = large_delta(_ev(spark, sf), "ts", DELTA_WINDOW, "event_type", "event_id", "value",
+                    F.col("ts"), DELTA_THRESHOLD_PCT)
+    return d.select("window_start", "event_type",
+                    alert_report(F.col("change_pct"), F.col("prev_max"), F.col("cur_max"),
+                                 _stamp(F.col("max_stamp"))).alias("alert"))
