@@ -1,9 +1,10 @@
 """Streaming queries: the driver's tables replayed as file streams.
 
-Each query replays a table in arrival order (a few files, one micro-batch
-each), runs the streaming operator with ``trigger(availableNow=True)`` into an
-exactly-once sink under the shared checkpoint folder, and returns what the
-sink holds.  Its oracle is the batch query's SQL: stream and table must agree.
+Each query replays a table in arrival order: the table arrives in a few pieces
+and after each piece the streaming plan runs with ``availableNow`` on the same
+checkpoint (so every piece is also a restart from state) into an exactly-once
+sink under the shared checkpoint folder.  The query returns what the sink
+holds; its oracle is the batch query's SQL: stream and table must agree.
 """
 
 from __future__ import annotations
@@ -18,23 +19,22 @@ from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude
                                          running_distinct_stream, running_stream,
                                          session_stream, split_stream, tumbling_stream,
                                          window_change_stream)
-from keyfold.streaming.runner import END_OF_INPUT_TS, file_stream, replay, run_available_now
+from keyfold.streaming.runner import END_OF_INPUT_TS, replay
 
 # Fixed query parameters
-REPLAY_FILES = 4          # micro-batches per replay
+REPLAY_PIECES = 4         # arrivals (availableNow runs) per replay
 LATENESS = "1 hour"       # bounded out-of-orderness of the event-time streams
 END_EVENT_ID = -1         # id of the end-of-input row
 
 
-def _events_stream(spark, sf, name, end_marker=False):
-    ev = events(spark, sf)
+def _events_replay(spark, sf, name, plan, end_marker=False, **kw):
     marker = None
     if end_marker:
         from datetime import datetime
         marker = {"event_id": END_EVENT_ID, "ts": datetime.fromisoformat(END_OF_INPUT_TS),
                   "event_type": "~end", "user_id": 0, "value": 0.0, "props": "{}"}
-    folder, schema = replay(spark, ev, "event_id", REPLAY_FILES, name, marker)
-    return file_stream(spark, folder, schema)
+    return replay(spark, events(spark, sf), "event_id", REPLAY_PIECES, name, plan,
+                  end_marker=marker, **kw)
 
 
 def _real(df):
@@ -45,13 +45,18 @@ def _real(df):
     return df.filter(F.col("ts") < F.lit(END_OF_INPUT_TS).cast("timestamp"))
 
 
+def _running(key, seq, value_expr):
+    def plan(s):
+        s = s.select(seq, key, value_expr.alias("fold_value"))
+        return running_stream(s, key, seq, "fold_value")
+    return plan
+
+
 @query("q_stream_running_avg", ORACLE["q_running_avg"])
 def q_stream_running_avg(spark, sf):
     """RUN-6 as a stream: running average per key, one row per input row."""
-    s = _events_stream(spark, sf, "running_avg").select(
-        "event_id", "event_type", cents("value").alias("cents"))
-    out = run_available_now(running_stream(s, "event_type", "event_id", "cents"),
-                            "q_stream_running_avg")
+    out = _events_replay(spark, sf, "q_stream_running_avg",
+                         _running("event_type", "event_id", cents("value")))
     return out.select("event_id", "event_type",
                       (F.col("run_sum").cast("double") / F.col("run_n") / 100).alias("running_avg"))
 
@@ -59,10 +64,8 @@ def q_stream_running_avg(spark, sf):
 @query("q_stream_running_clicks", ORACLE["q_running_clicks"])
 def q_stream_running_clicks(spark, sf):
     """RUN-11 as a stream: running clicks per site, per record."""
-    s = _events_stream(spark, sf, "running_clicks").select(
-        "event_id", "event_type", F.lit(1).cast("long").alias("one"))
-    out = run_available_now(running_stream(s, "event_type", "event_id", "one"),
-                            "q_stream_running_clicks")
+    out = _events_replay(spark, sf, "q_stream_running_clicks",
+                         _running("event_type", "event_id", F.lit(1).cast("long")))
     return out.select("event_id", "event_type", F.col("run_n").alias("clicks"))
 
 
@@ -72,10 +75,8 @@ FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_stream_running_min_max(spark, sf):
     """RUN-2/4 as a stream: running minimum and maximum per key."""
-    s = _events_stream(spark, sf, "running_min_max").select(
-        "event_id", "event_type", cents("value").alias("cents"))
-    out = run_available_now(running_stream(s, "event_type", "event_id", "cents"),
-                            "q_stream_running_min_max")
+    out = _events_replay(spark, sf, "q_stream_running_min_max",
+                         _running("event_type", "event_id", cents("value")))
     return out.select("event_id", "event_type", money(F.col("run_min")).alias("running_min"),
                       money(F.col("run_max")).alias("running_max"))
 
@@ -83,32 +84,32 @@ def q_stream_running_min_max(spark, sf):
 @query("q_stream_word_count", ORACLE["q_running_word_count"])
 def q_stream_word_count(spark, sf):
     """RUN-7 as a stream: running count of each prefix word over whole documents."""
+    def plan(s):
+        w = s.select("doc_id", F.posexplode(F.split("text", WORD_SPLIT)).alias("pos", "word"))
+        w = w.filter(F.col("word").startswith(WORD_PREFIX)).select(
+            "doc_id", F.col("pos").cast("long").alias("pos"), "word",
+            F.lit(1).cast("long").alias("one"))
+        return running_stream(w, "word", ["doc_id", "pos"], "one")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    folder, schema = replay(spark, docs, "doc_id", REPLAY_FILES, "word_count")
-    s = file_stream(spark, folder, schema).select(
-        "doc_id", F.posexplode(F.split("text", WORD_SPLIT)).alias("pos", "word"))
-    s = s.filter(F.col("word").startswith(WORD_PREFIX)).select(
-        "doc_id", F.col("pos").cast("long").alias("pos"), "word",
-        F.lit(1).cast("long").alias("one"))
-    out = run_available_now(running_stream(s, "word", ["doc_id", "pos"], "one"),
-                            "q_stream_word_count")
+    out = replay(spark, docs, "doc_id", REPLAY_PIECES, "q_stream_word_count", plan)
     return out.select("doc_id", "pos", "word", F.col("run_n").alias("running_count"))
 
 
 @query("q_stream_distinct", ORACLE["q_running_distinct"])
 def q_stream_distinct(spark, sf):
     """RUN-13 as a stream: running distinct users per site, per record."""
-    s = _events_stream(spark, sf, "distinct").select("event_id", "event_type", "user_id")
-    out = run_available_now(running_distinct_stream(s, "event_type", "event_id", "user_id"),
-                            "q_stream_distinct")
+    def plan(s):
+        return running_distinct_stream(s.select("event_id", "event_type", "user_id"),
+                                       "event_type", "event_id", "user_id")
+    out = _events_replay(spark, sf, "q_stream_distinct", plan)
     return out.select("event_id", "event_type", F.col("distinct_n").alias("distinct_users"))
 
 
 def _chunks(spark, sf, name):
-    s = _events_stream(spark, sf, name).select("event_id", "user_id",
-                                               cents("value").alias("cents"))
-    return run_available_now(count_chunk_stream(s, "user_id", "event_id", "cents", 10, scale=2),
-                             name)
+    def plan(s):
+        s = s.select("event_id", "user_id", cents("value").alias("cents"))
+        return count_chunk_stream(s, "user_id", "event_id", "cents", 10, scale=2)
+    return _events_replay(spark, sf, name, plan)
 
 
 @query("q_stream_count_chunk", ORACLE["q_count_chunk_sum"])
@@ -128,25 +129,29 @@ def q_stream_count_chunk_list(spark, sf):
 @query("q_stream_fixed_batches", ORACLE["q_fixed_batches"])
 def q_stream_fixed_batches(spark, sf):
     """SNK-6 as a stream: batches of exactly 100 per buffer; the rest stays in state."""
-    s = _events_stream(spark, sf, "fixed_batches").select(
-        "event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"),
-        F.lit(0).cast("long").alias("zero"))
-    out = run_available_now(count_chunk_stream(s, "bucket", "event_id", "zero", 100),
-                            "q_stream_fixed_batches")
+    def plan(s):
+        s = s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"),
+                     F.lit(0).cast("long").alias("zero"))
+        return count_chunk_stream(s, "bucket", "event_id", "zero", 100)
+    out = _events_replay(spark, sf, "q_stream_fixed_batches", plan)
     return out.select("bucket", F.col("chunk_no").alias("batch_no"), F.col("n").alias("n_rows"),
                       F.col("first_seq").alias("first_event_id"),
                       F.col("last_seq").alias("last_event_id"))
 
 
+def _windowed(size, slide=None):
+    def plan(s):
+        s = _real(event_time(s, "ts", LATENESS)).withColumn("cents", cents("value"))
+        return tumbling_stream(s, "ts", size, "event_type", [
+            F.min_by("user_id", "event_id").alias("first_user_id"),
+            F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")], slide=slide)
+    return plan
+
+
 @query("q_stream_tumbling", ORACLE["q_tumbling"])
 def q_stream_tumbling(spark, sf):
     """WIN-1 as a stream: event-time tumbling windows with a watermark."""
-    s = event_time(_events_stream(spark, sf, "tumbling", end_marker=True), "ts", LATENESS)
-    s = _real(s).withColumn("cents", cents("value"))
-    agg = tumbling_stream(s, "ts", "1 day", "event_type", [
-        F.min_by("user_id", "event_id").alias("first_user_id"),
-        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")])
-    out = run_available_now(agg, "q_stream_tumbling")
+    out = _events_replay(spark, sf, "q_stream_tumbling", _windowed("1 day"), end_marker=True)
     return out.select("window_start", "window_end", "event_type", "first_user_id", "n",
                       money(F.col("_c")).alias("total_value"))
 
@@ -154,12 +159,8 @@ def q_stream_tumbling(spark, sf):
 @query("q_stream_sliding", ORACLE["q_sliding"])
 def q_stream_sliding(spark, sf):
     """WIN-2 as a stream: sliding windows (2 days every day)."""
-    s = event_time(_events_stream(spark, sf, "sliding", end_marker=True), "ts", LATENESS)
-    s = _real(s).withColumn("cents", cents("value"))
-    agg = tumbling_stream(s, "ts", "2 days", "event_type", [
-        F.min_by("user_id", "event_id").alias("first_user_id"),
-        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")], slide="1 day")
-    out = run_available_now(agg, "q_stream_sliding")
+    out = _events_replay(spark, sf, "q_stream_sliding", _windowed("2 days", "1 day"),
+                         end_marker=True)
     return out.select("window_start", "window_end", "event_type", "first_user_id", "n",
                       money(F.col("_c")).alias("total_value"))
 
@@ -167,30 +168,33 @@ def q_stream_sliding(spark, sf):
 @query("q_stream_session", ORACLE["q_session_sum"])
 def q_stream_session(spark, sf):
     """WIN-7 as a stream: global event-time sessions, gap 10 minutes."""
-    s = event_time(_events_stream(spark, sf, "session", end_marker=True), "ts", LATENESS)
-    s = _real(s).withColumn("cents", cents("value"))
-    agg = session_stream(s, "ts", "10 minutes",
-                         [F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")])
-    out = run_available_now(agg, "q_stream_session")
+    def plan(s):
+        s = _real(event_time(s, "ts", LATENESS)).withColumn("cents", cents("value"))
+        return session_stream(s, "ts", "10 minutes",
+                              [F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")])
+    out = _events_replay(spark, sf, "q_stream_session", plan, end_marker=True)
     return out.select("session_start", "session_end", "n",
                       money(F.col("_c")).alias("total_value"))
 
 
+_CHANGE_COLS = ["window_start", "window_end", "event_type", "first_stamp", "last_stamp",
+                "max_price", "min_price", "max_volume", "min_volume"]
+
+
 @query("q_stream_window_change", ORACLE["q_window_change"])
 def q_stream_window_change(spark, sf):
     """WIN-9 as a stream: window statistics chained into previous-window state."""
-    s = event_time(_events_stream(spark, sf, "window_change", end_marker=True), "ts", LATENESS)
-    s = _real(s).withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
-    stats = tumbling_stream(s, "ts", "1 day", "event_type", [
-        F.min_by("ts", "event_id").cast("timestamp_ntz").alias("first_stamp"),
-        F.max_by("ts", "event_id").cast("timestamp_ntz").alias("last_stamp"),
-        F.max("value").alias("max_price"), F.min("value").alias("min_price"),
-        F.max("volume").alias("max_volume"), F.min("volume").alias("min_volume")])
-    cols = ["window_start", "window_end", "event_type", "first_stamp", "last_stamp",
-            "max_price", "min_price", "max_volume", "min_volume"]
-    out = run_available_now(window_change_stream(stats, "event_type", cols),
-                            "q_stream_window_change")
-    return out.select(*cols, "price_change_pct", "volume_change_pct")
+    def plan(s):
+        s = _real(event_time(s, "ts", LATENESS)).withColumn(
+            "volume", F.get_json_object("props", "$.k").cast("int"))
+        stats = tumbling_stream(s, "ts", "1 day", "event_type", [
+            F.min_by("ts", "event_id").cast("timestamp_ntz").alias("first_stamp"),
+            F.max_by("ts", "event_id").cast("timestamp_ntz").alias("last_stamp"),
+            F.max("value").alias("max_price"), F.min("value").alias("min_price"),
+            F.max("volume").alias("max_volume"), F.min("volume").alias("min_volume")])
+        return window_change_stream(stats, "event_type", _CHANGE_COLS)
+    out = _events_replay(spark, sf, "q_stream_window_change", plan, end_marker=True)
+    return out.select(*_CHANGE_COLS, "price_change_pct", "volume_change_pct")
 
 
 @query("q_stream_exclude", f"""
@@ -200,9 +204,11 @@ def q_stream_exclude(spark, sf):
     """JN-1 as a stream: stream-static anti join against the exclusion list."""
     ex = events(spark, sf).filter((F.col("event_type") == EXCLUDE_TYPE)
                                   & (F.col("value") > EXCLUDE_ABOVE))
-    s = _events_stream(spark, sf, "exclude").select("event_id", "user_id", "event_type")
-    return run_available_now(exclude_stream(s, ex, "user_id"), "q_stream_exclude") \
-        .select("event_id", "user_id", "event_type")
+
+    def plan(s):
+        return exclude_stream(s.select("event_id", "user_id", "event_type"), ex, "user_id")
+    out = _events_replay(spark, sf, "q_stream_exclude", plan)
+    return out.select("event_id", "user_id", "event_type")
 
 
 @query("q_stream_split", """
@@ -214,11 +220,11 @@ SELECT 'odd', CAST(CAST(event_id AS INTEGER) AS VARCHAR) FROM events WHERE event
 def q_stream_split(spark, sf):
     """SPL-1 as a stream: one foreachBatch writes the main and both side outputs."""
     from keyfold.operators.split import split_parity
-    s = _events_stream(spark, sf, "split").select("event_id")
     base = shared_dir(spark, "stream-out", "split")
     targets = {k: f"{base}/{k}" for k in ("all", "even", "odd")}
     outputs = {k: (lambda b, k=k: split_parity(b, "event_id")[k]) for k in targets}
-    run_available_now(s, "q_stream_split", foreach_batch=split_stream(outputs, targets))
+    _events_replay(spark, sf, "q_stream_split", lambda s: s.select("event_id"),
+                   foreach_batch=split_stream(outputs, targets))
     parts = [spark.read.parquet(t).select(F.lit(k).alias("output"),
                                           F.col("v").cast("string").alias("v"))
              for k, t in targets.items()]

@@ -1,10 +1,9 @@
 """Running streams to completion and replaying tables as streams.
 
-``replay`` writes a table as a folder of files in arrival order so a file
-stream can re-read it in micro-batches; ``run_available_now`` drives a
-streaming frame through ``trigger(availableNow=True)`` into an exactly-once
-parquet sink (or a ``foreachBatch`` writer) under the shared checkpoint
-folder and returns the written result as a batch frame.
+``replay`` feeds a table to a streaming plan in arrival-ordered pieces, one
+``availableNow`` run per piece on a shared checkpoint; ``run_available_now``
+drives a streaming frame into an exactly-once parquet sink (or a
+``foreachBatch`` writer) under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -22,35 +21,50 @@ END_OF_INPUT_TS = "9000-01-01 00:00:00"
 
 
 def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
-           end_marker: dict | None = None) -> tuple[str, object]:
-    """Write ``df`` as ``chunks`` files in ``seq`` order (one append job each,
-    so file times follow arrival order), optionally followed by the
-    end-of-input row.  Returns ``(folder, schema)``.
-
-    The end row goes in twice, in two files: the watermark it raises is
-    applied from the micro-batch after it, and ``availableNow`` stops after
-    the last batch that has data.
+           plan: Callable[[DataFrame], DataFrame], output_mode: str = "append",
+           foreach_batch: Callable[[DataFrame, int], None] | None = None,
+           end_marker: dict | None = None) -> DataFrame | None:
+    """Replay a table as a stream that arrives in ``chunks`` pieces, in ``seq`` order.
+
+    For each piece: append it to the source folder (a parallel write), then
+    run the streaming ``plan`` with ``availableNow`` on the same checkpoint --
+    the query resumes from its state and offsets and sees exactly the new
+    files, as a long-running query sees data arrive.  Order between pieces
+    never depends on file times.
+
+    ``end_marker`` (a row) is appended after the data, twice, each in its own
+    run: the watermark it raises is applied from the run after it, which
+    flushes every real window, as a bounded source's final watermark does.
     """
     ensure_stream_conf(spark)
     folder = shared_dir(spark, "replay", name)
+    ckpt = shared_dir(spark, "stream-ckpt", name)
+    out = None if foreach_batch is not None else shared_dir(spark, "stream-out", name)
     lo, hi = df.agg(F.min(seq), F.max(seq)).first()
     step = (hi - lo) // chunks + 1
-    for i in range(chunks):
-        part = df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
-        part.repartition(1).sortWithinPartitions(seq).write.mode("append").parquet(folder)
+    pieces = [df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
+              for i in range(chunks)]
     if end_marker is not None:
         row = {c: None for c in df.columns}
         row.update(end_marker)
         marker = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
-        for _ in range(2):
-            marker.repartition(1).write.mode("append").parquet(folder)
-    return folder, df.schema
-
-
-def file_stream(spark: SparkSession, folder: str, schema, files_per_batch: int = 1) -> DataFrame:
-    """SRC-2: a folder of parquet files as a stream, oldest file first."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(folder))
+        pieces += [marker, marker]
+    for piece in pieces:
+        piece.write.mode("append").parquet(folder)
+        run_available_now(plan(file_stream(spark, folder, df.schema, None)), name,
+                          output_mode=output_mode, foreach_batch=foreach_batch,
+                          checkpoint=ckpt, out=out)
+    return spark.read.parquet(out) if out else None
+
+
+def file_stream(spark: SparkSession, folder: str, schema,
+                files_per_batch: int | None = 1) -> DataFrame:
+    """SRC-2: a folder of parquet files as a stream, oldest file first
+    (``files_per_batch=None``: everything new in one micro-batch)."""
+    r = spark.readStream.schema(schema)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.parquet(folder)
 
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
