@@ -27,22 +27,26 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     """Return a session with the library defaults.
 
     On a cluster ``master`` stays ``None`` so the submit settings win; tests and
-    the bench pass ``local[N]``.
+    the bench pass ``local[N]``.  Size ``shuffle_partitions`` to ~2-3x the
+    executor cores (AQE coalesces small partitions and splits skewed joins)
+    and keep ``spark.sql.files.maxPartitionBytes`` at its 128 MB default or
+    lower, so every task's input fits in executor memory.
     """
-    b = SparkSession.builder.appName(app_name)
-    if master:
-        b = b.master(master)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    b = SparkSession.builder.appName(app_name)
+    if master:
+        b = b.master(master)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    # an already running session keeps its static settings; runtime ones apply
     for k, v in conf.items():
-        if not k.startswith("spark.sql.streaming.stateStore") or not spark.conf.get(k, None):
+        if spark.conf.get(k, None) != v:
             try:
                 spark.conf.set(k, v)
-            except Exception:  # static conf of an already running session
+            except Exception:  # noqa: BLE001 - static conf of a running session
                 pass
     return spark
 
