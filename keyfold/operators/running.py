@@ -142,7 +142,9 @@ def running(df: DataFrame, key, order, aggs: Sequence[RunAgg],
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[_FOLDS[a.op](a.expr).over(wl).alias(f"_l{i}")
                             for i, a in enumerate(aggs)])
-    # totals per (key, bucket): partial + final hash aggregate, tiny output
+    # totals per (key, bucket): partial + final aggregate, one row per bucket
+    # (hash aggregate for numeric folds; struct folds -- arg-min/max, first --
+    # aggregate sort-based, still partial before the shuffle)
     totals = b.groupBy(*key, "_bkt").agg(
         *[_FOLDS[a.op](a.expr).alias(f"_t{i}") for i, a in enumerate(aggs)])
     wc = (Window.partitionBy(*key).orderBy("_bkt")
@@ -167,9 +169,13 @@ def first_occurrence_flag(df: DataFrame, cols, order, name: str = "is_first") ->
     one window task.
     """
     cols, order = _cols(cols), _cols(order)
-    firsts = df.groupBy(*cols).agg(F.min(F.struct(*order)).alias("_first"))
+    # one order column: a plain min runs as a hash aggregate; a struct min
+    # (several columns) can only run as a sort aggregate
+    first_of = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
+    this = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    firsts = df.groupBy(*cols).agg(first_of.alias("_first"))
     firsts = firsts.select(*[F.col(c).alias(f"_g{j}") for j, c in enumerate(cols)], "_first")
     cond = [F.col(c).eqNullSafe(F.col(f"_g{j}")) for j, c in enumerate(cols)]
     j = df.join(firsts, cond, "inner")
-    flag = F.when(F.struct(*order) == F.col("_first"), F.lit(1)).otherwise(F.lit(0))
+    flag = F.when(this == F.col("_first"), F.lit(1)).otherwise(F.lit(0))
     return j.select(*[F.col(c) for c in df.columns], flag.alias(name))
