@@ -130,8 +130,9 @@ def q_parse_click(spark, sf):
     return parse_click(click_lines(spark, sf))[0]
 
 
-def clicks_outside(spark, sf, country: str = "US", exclude: bool = True):
-    """FLT-3 (decision D4): keep or drop one country, a parameter."""
+def clicks_outside(spark, sf, country: str = "US", exclude: bool = False):
+    """FLT-3 (decision D4): keep one country (the comment's intent, default) or
+    drop it (``exclude=True``, the code as written)."""
     c = parse_click(click_lines(spark, sf))[0]
     cond = F.col("user_country") != country if exclude else F.col("user_country") == country
     return c.filter(cond)
@@ -141,7 +142,16 @@ def clicks_outside(spark, sf, country: str = "US", exclude: bool = True):
 SELECT website, COUNT(*) AS clicks, SUM(time_spent) AS time_spent
 FROM {_CLICK_SQL} c WHERE user_country <> 'US' GROUP BY website""")
 def q_country_filter(spark, sf):
-    """FLT-3: clicks and time per website with the US excluded."""
+    """FLT-3 as written: clicks and time per website with the US dropped."""
+    return clicks_outside(spark, sf, exclude=True).groupBy("website").agg(
+        F.count(F.lit(1)).alias("clicks"), F.sum("time_spent").alias("time_spent"))
+
+
+@query("q_country_only", f"""
+SELECT website, COUNT(*) AS clicks, SUM(time_spent) AS time_spent
+FROM {_CLICK_SQL} c WHERE user_country = 'US' GROUP BY website""")
+def q_country_only(spark, sf):
+    """FLT-3 as intended (D4 default): clicks and time per website, US only."""
     return clicks_outside(spark, sf).groupBy("website").agg(
         F.count(F.lit(1)).alias("clicks"), F.sum("time_spent").alias("time_spent"))
 

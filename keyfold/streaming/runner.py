@@ -69,7 +69,8 @@ def file_stream(spark: SparkSession, folder: str, schema,
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      checkpoint: str | None = None, out: str | None = None) -> DataFrame:
+                      checkpoint: str | None = None, out: str | None = None,
+                      progress: list | None = None) -> DataFrame:
     """SNK-4: process everything available, then stop; return the written rows.
 
     Without ``foreach_batch`` the sink is parquet (append only, exactly once
@@ -88,6 +89,8 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if progress is not None:
+        progress.extend(q.recentProgress)
     return spark.read.parquet(target) if target else None
 
 

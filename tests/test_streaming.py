@@ -80,8 +80,10 @@ def test_late_rows_are_dropped(spark):
     put([(6, t0 + timedelta(days=1, seconds=1), 1)])
     s = event_time(file_stream(spark, src, schema), "ts", "3500 milliseconds")
     agg = tumbling_stream(s, "ts", "10 seconds", [], [F.count(F.lit(1)).alias("n")])
-    out = run_available_now(agg, "late")
+    progress = []
+    out = run_available_now(agg, "late", progress=progress)
     got = sorted((r.window_start, r.n) for r in out.collect())
+    assert dropped_by_watermark(progress) >= 1
     # the late row (10 s window starting at t0) is not counted
     assert got[0] == (t0, 1)
     assert (t0 + timedelta(seconds=20), 1) in got and (t0 + timedelta(seconds=60), 1) in got
