@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
+_NULL_BUCKET = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -122,12 +123,15 @@ def _publish(aggs: Sequence[RunAgg], folded: dict[str, Column]) -> list[Column]:
 
 
 def running(df: DataFrame, key, order, aggs: Sequence[RunAgg],
-            bucket_width: int | None = None) -> DataFrame:
+            bucket_width: int | None = None, carry_levels: int = 1) -> DataFrame:
     """Append running folds to every row of ``df``.
 
     ``key``: grouping column(s); ``order``: column(s) giving a total arrival
     order within a key.  With ``bucket_width`` the two-level prefix plan is
-    used, bucketing on ``order[0] div bucket_width`` (``order[0]`` integral).
+    used, bucketing on ``order[0] div bucket_width`` (``order[0]`` integral);
+    ``carry_levels`` more levels fold the bucket totals the same way, so no
+    window ever holds more than ~``bucket_width`` rows of one key until
+    N > bucket_width ** (carry_levels + 2).
     """
     key, order = _cols(key), _cols(order)
     base_cols = [F.col(c) for c in df.columns]
@@ -137,30 +141,71 @@ def running(df: DataFrame, key, order, aggs: Sequence[RunAgg],
         folded = {a.name: _FOLDS[a.op](a.expr).over(w) for a in aggs}
         return df.select(*base_cols, *_publish(aggs, folded))
 
-    b = df.withColumn("_bkt", F.expr(f"`{order[0]}` div {int(bucket_width)}"))
-    wl = (Window.partitionBy(*key, "_bkt").orderBy(*order)
+    # One struct column carries the key: struct equality matches nested nulls,
+    # so null keys survive the joins, and the row window, the totals and the
+    # carry join all cluster on the same (_key, _bkt) -- the row side is
+    # shuffled once; only the small carry side moves for the join.
+    # _bkt is non-nullable (null sequence -> a first sentinel bucket, as the
+    # simple form orders nulls first): no isnotnull filter is inferred into
+    # one branch only, so both uses of the totals share one exchange.
+    b = df.select("*", F.struct(*[F.col(k) for k in key]).alias("_key"),
+                  F.coalesce(F.expr(f"`{order[0]}` div {int(bucket_width)}"),
+                             F.lit(_NULL_BUCKET)).alias("_bkt"))
+    wl = (Window.partitionBy("_key", "_bkt").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[_FOLDS[a.op](a.expr).over(wl).alias(f"_l{i}")
                             for i, a in enumerate(aggs)])
     # totals per (key, bucket): partial + final aggregate, one row per bucket
     # (hash aggregate for numeric folds; struct folds -- arg-min/max, first --
     # aggregate sort-based, still partial before the shuffle)
-    totals = b.groupBy(*key, "_bkt").agg(
+    totals = b.groupBy("_key", "_bkt").agg(
         *[_FOLDS[a.op](a.expr).alias(f"_t{i}") for i, a in enumerate(aggs)])
-    wc = (Window.partitionBy(*key).orderBy("_bkt")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(key)],
-                          F.col("_bkt").alias("_cb"),
-                          *[_FOLDS[a.op](F.col(f"_t{i}")).over(wc).alias(f"_c{i}")
-                            for i, a in enumerate(aggs)])
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(key)]
-    cond.append(F.col("_bkt") == F.col("_cb"))
-    joined = local.join(carry, cond, "inner")
+    carry = _exclusive_prefix(totals, aggs, int(bucket_width), carry_levels)
+    carry = carry.select(F.col("_key").alias("_ck"), F.col("_bkt").alias("_cb"),
+                         *[f"_c{i}" for i in range(len(aggs))])
+    joined = local.join(carry, (F.col("_key") == F.col("_ck")) & (F.col("_bkt") == F.col("_cb")),
+                        "inner")
     folded = {a.name: a.combine(F.col(f"_c{i}"), F.col(f"_l{i}"))
               for i, a in enumerate(aggs)}
     return joined.select(*[F.col(c) for c in df.columns], *_publish(aggs, folded))
 
 
+def _exclusive_prefix(totals: DataFrame, aggs: Sequence[RunAgg], width: int,
+                      levels: int) -> DataFrame:
+    """Fold of all earlier buckets of the key, for every (``_key``, ``_bkt``) row.
+
+    ``totals`` holds one row per (key, bucket) with the bucket folds ``_t{i}``;
+    the result has ``_c{i}`` (null for a key's first bucket).  With
+    ``levels > 0`` the same two-level trick is applied to the buckets
+    themselves: buckets are grouped ``width`` at a time, an exclusive window
+    runs inside each group and the groups' own prefix is carried in
+    recursively -- so the top window per key sees N / width**(levels + 1)
+    rows, whatever N is.
+    """
+    n = len(aggs)
+    if levels <= 0:
+        wc = (Window.partitionBy("_key").orderBy("_bkt")
+              .rowsBetween(Window.unboundedPreceding, -1))
+        return totals.select("_key", "_bkt", *[_FOLDS[a.op](F.col(f"_t{i}")).over(wc)
+                                               .alias(f"_c{i}") for i, a in enumerate(aggs)])
+    t2 = totals.withColumn("_sup", F.coalesce(F.expr(f"_bkt div {width}"),
+                                              F.lit(_NULL_BUCKET)))
+    wi = (Window.partitionBy("_key", "_sup").orderBy("_bkt")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    inner = t2.select("_key", "_bkt", "_sup", *[_FOLDS[a.op](F.col(f"_t{i}")).over(wi)
+                                                .alias(f"_x{i}") for i, a in enumerate(aggs)])
+    sup_totals = t2.groupBy("_key", "_sup").agg(
+        *[_FOLDS[a.op](F.col(f"_t{i}")).alias(f"_t{i}") for i, a in enumerate(aggs)]) \
+        .withColumnRenamed("_sup", "_bkt")
+    up = _exclusive_prefix(sup_totals, aggs, width, levels - 1)
+    up = up.select(F.col("_key").alias("_uk"), F.col("_bkt").alias("_usup"),
+                   *[F.col(f"_c{i}").alias(f"_y{i}") for i in range(n)])
+    j = inner.join(up, (F.col("_key") == F.col("_uk")) & (F.col("_sup") == F.col("_usup")),
+                   "inner")
+    return j.select("_key", "_bkt", *[a.combine(F.col(f"_y{i}"), F.col(f"_x{i}"))
+                                      .alias(f"_c{i}") for i, a in enumerate(aggs)])
+
+
 def first_occurrence_flag(df: DataFrame, cols, order, name: str = "is_first") -> DataFrame:
     """1 on the earliest row (by ``order``) of each ``cols`` combination, else 0.
 

@@ -101,3 +101,16 @@ def test_bucketed_plan_has_no_single_key_window(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     # the row-level window is partitioned by (key, bucket), not by the key alone
     assert "_bkt" in plan
+
+
+@pytest.mark.parametrize("levels", [0, 1, 2, 3])
+def test_carry_levels_match_brute_force(spark, levels):
+    rows = [(i, i % 3, (i * 7919) % 23 - 11) for i in range(200)]
+    pdf = pd.DataFrame(rows, columns=["seq", "k", "v"])
+    df = spark.createDataFrame(pdf, "seq long, k long, v long")
+    r = running(df, "k", "seq", [run_sum("v", "s"), run_min("v", "mn")], 2,
+                carry_levels=levels).toPandas()
+    exp = _brute(pdf, "k", "seq", "v")
+    assert len(r) == 200
+    for row in r.itertuples():
+        assert (row.s, row.mn) == exp[row.seq]

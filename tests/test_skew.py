@@ -17,7 +17,10 @@ def _hot(spark, n=6000):
 
 
 def test_hot_key_running_is_spread_over_tasks(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the shuffle layout visible
+    # keep the shuffle layout visible, and plan as for large inputs (the tiny
+    # test frame would otherwise be broadcast whole)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = _hot(spark)
         r = running(df, "k", "seq", [run_sum("v", "s"), run_count("n")], bucket_width=500)
@@ -32,8 +35,15 @@ def test_hot_key_running_is_spread_over_tasks(spark):
         simple = running(df, "k", "seq", [run_sum("v", "s"), run_count("n")])
         assert tasks_of_hot_key(simple) == 1
         assert r.exceptAll(simple).count() == 0 and simple.exceptAll(r).count() == 0
+        # the row side is shuffled once: by (key, bucket) for the window, and
+        # the carry join reuses that partitioning
+        plan = r._jdf.queryExecution().executedPlan().toString()
+        row_side = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(_key" in ln
+                    and "_bkt" in ln]
+        assert row_side
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_hot_instant_sessions_split_across_range_partitions(spark):
