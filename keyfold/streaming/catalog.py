@@ -16,6 +16,7 @@ from keyfold.plans.q_running import EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_PREFIX, WO
 from keyfold.plans.registry import ORACLE, cents, events, money, query, table
 from keyfold.session import shared_dir
 from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_stream,
+                                         release_batches_stream,
                                          running_distinct_stream, running_stream,
                                          session_stream, split_stream, tumbling_stream,
                                          window_change_stream)
@@ -139,6 +140,35 @@ def q_stream_fixed_batches(spark, sf):
                       F.col("last_seq").alias("last_event_id"))
 
 
+@query("q_stream_released_rows", f"""
+WITH r AS (SELECT event_id, user_id % 4 AS bucket,
+                  (ROW_NUMBER() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1) // 100
+                    AS batch_no FROM events),
+t AS (SELECT bucket, COUNT(*) // 100 AS full_batches FROM r GROUP BY bucket)
+SELECT r.bucket, r.batch_no, r.event_id FROM r JOIN t USING (bucket)
+WHERE r.batch_no < t.full_batches""")
+def q_stream_released_rows(spark, sf):
+    """SNK-6 as a stream, row form: every row released in a batch of exactly 100
+    per buffer, with its batch number; the incomplete remainder stays buffered."""
+    def plan(s):
+        s = s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"),
+                     F.col("event_id").alias("payload"))
+        return release_batches_stream(s, "bucket", "event_id", "payload", 100)
+    out = _events_replay(spark, sf, "q_stream_released_rows", plan)
+    return out.select("bucket", F.col("chunk_no").alias("batch_no"),
+                      F.col("seq").alias("event_id"))
+
+
+@query("q_released_rows", ORACLE.get("q_stream_released_rows") or "")
+def q_released_rows(spark, sf):
+    """SNK-6 batch form, row level: the rows of every full batch of 100 per buffer."""
+    from keyfold.operators.count_window import fixed_batches
+    from keyfold.plans.registry import bucket_width
+    b = fixed_batches(events(spark, sf).select("event_id", "user_id"),
+                      F.pmod(F.col("user_id"), F.lit(4)), "event_id", 100, bucket_width(spark))
+    return b.select("bucket", "batch_no", "event_id")
+
+
 def _windowed(size, slide=None):
     def plan(s):
         s = _real(event_time(s, "ts", LATENESS)).withColumn("cents", cents("value"))

@@ -66,6 +66,18 @@ def count_chunk_stream(stream: DataFrame, key, seq: str, value: str, n: int,
         CountChunks(key, seq, value, n, scale), schema, "Append", "None")
 
 
+def release_batches_stream(stream: DataFrame, bucket, seq: str, value: str, n: int) -> DataFrame:
+    """SNK-6 on a stream: buffer rows per bucket (list state, at most n - 1
+    kept) and release them in batches of exactly ``n``, each row tagged with
+    its ``chunk_no``; the buffer survives restarts through the checkpoint."""
+    key = _cols(bucket)
+    schema = T.StructType(_field_types(stream, key) + [
+        T.StructField("chunk_no", T.LongType()), T.StructField("seq", T.LongType()),
+        T.StructField("v", T.LongType())])
+    return stream.groupBy(*key).transformWithStateInPandas(
+        CountChunks(key, seq, value, n, rows=True), schema, "Append", "None")
+
+
 def tumbling_stream(stream: DataFrame, ts: str, size: str, key, aggs,
                     slide: str | None = None) -> DataFrame:
     """WIN-1..3/6 on a watermarked stream (append: each window once)."""

@@ -102,8 +102,10 @@ class CountChunks(StatefulProcessor):
     its number, size, first/last sequence, sum and value text; keep at most
     ``n - 1`` pending values across micro-batches (and restarts)."""
 
-    def __init__(self, key: Sequence[str], seq: str, value: str, n: int, scale: int = 0):
+    def __init__(self, key: Sequence[str], seq: str, value: str, n: int, scale: int = 0,
+                 rows: bool = False):
         self.key, self.seq, self.value, self.n, self.scale = list(key), seq, value, n, scale
+        self.rows = rows  # release the member rows (seq, v, chunk_no) instead of summaries
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", "seq long, v long")
@@ -118,7 +120,14 @@ class CountChunks(StatefulProcessor):
         pdf = pdf.sort_values("seq", kind="stable").reset_index(drop=True)
         full = len(pdf) // self.n
         base = self.next_no.get()[0] if self.next_no.exists() else 0
-        if full:
+        if full and self.rows:
+            body = pdf.iloc[: full * self.n].copy()
+            body.insert(0, "chunk_no", base + np.arange(len(body), dtype=np.int64) // self.n)
+            for i, k in enumerate(self.key):
+                body.insert(i, k, key[i])
+            self.next_no.update((int(base + full),))
+            yield body
+        elif full:
             body = pdf.iloc[: full * self.n]
             grp = np.arange(len(body)) // self.n
             g = body.groupby(grp)
