@@ -16,7 +16,7 @@ from keyfold.plans.q_running import EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_PREFIX, WO
 from keyfold.plans.registry import ORACLE, cents, events, money, query, table
 from keyfold.session import shared_dir
 from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_stream,
-                                         release_batches_stream,
+                                         release_batches_stream, window_top_stream,
                                          running_distinct_stream, running_stream,
                                          session_stream, split_stream, tumbling_stream,
                                          window_change_stream)
@@ -195,6 +195,27 @@ def q_stream_sliding(spark, sf):
                       money(F.col("_c")).alias("total_value"))
 
 
+def _window_top(largest):
+    def plan(s):
+        return window_top_stream(_real(event_time(s, "ts", LATENESS)), "ts", "1 day",
+                                 "event_type", largest)
+    return plan
+
+
+@query("q_stream_window_max_clicks", ORACLE["q_window_max_clicks"])
+def q_stream_window_max_clicks(spark, sf):
+    """WIN-3 -> WIN-4 as a stream: per window, the site with the most clicks."""
+    return _events_replay(spark, sf, "q_stream_window_max_clicks", _window_top(True),
+                          end_marker=True)
+
+
+@query("q_stream_window_min_clicks", ORACLE["q_window_min_clicks"])
+def q_stream_window_min_clicks(spark, sf):
+    """WIN-3 -> WIN-5 as a stream: per window, the site with the fewest clicks."""
+    return _events_replay(spark, sf, "q_stream_window_min_clicks", _window_top(False),
+                          end_marker=True)
+
+
 @query("q_stream_session", ORACLE["q_session_sum"])
 def q_stream_session(spark, sf):
     """WIN-7 as a stream: global event-time sessions, gap 10 minutes."""

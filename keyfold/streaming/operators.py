@@ -89,6 +89,23 @@ def tumbling_stream(stream: DataFrame, ts: str, size: str, key, aggs,
                     *[c for c in g.columns if c != "_w"])
 
 
+def window_top_stream(stream: DataFrame, ts: str, size: str, key: str, largest: bool = True
+                      ) -> DataFrame:
+    """WIN-3 -> WIN-4/5 on a stream: clicks per (window, key), then per window
+    the key with the most (fewest) clicks -- two chained windowed aggregates in
+    append mode; the second groups on ``window_time`` of the first.  Ties go
+    to the smallest key."""
+    per = stream.groupBy(F.window(ts, size).alias("_w"), key).agg(
+        F.count(F.lit(1)).alias("clicks"))
+    n = F.col("clicks")
+    best = F.min(F.struct((-n if largest else n).alias("_o"), F.col(key).alias("_k"),
+                          n.alias("_n")))
+    g = per.groupBy(F.window(F.window_time("_w"), size).alias("_w2")).agg(best.alias("_b"))
+    return g.select(F.col("_w2.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("_w2.end").cast("timestamp_ntz").alias("window_end"),
+                    F.col("_b._k").alias(key), F.col("_b._n").alias("clicks"))
+
+
 def session_stream(stream: DataFrame, ts: str, gap: str, aggs, key=None) -> DataFrame:
     """WIN-7 on a stream.  Spark rejects an un-keyed streaming session window,
     so the global form groups by a constant; its work per micro-batch is
