@@ -142,7 +142,7 @@ def millis_timestamp(tok: Column, _parts: Column) -> tuple[Column, Column]:
     return ts, ms.isNotNull()
 
 
-# --- the reference's line formats (field order fixed by the inputs) ------
+# --- the original line formats (field order fixed by the inputs) -------
 
 def parse_sales(df: DataFrame, mode: str = "reject"):
     """PRJ-1/2: ``date,month,category,product,profit`` (date kept as text)."""

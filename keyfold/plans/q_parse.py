@@ -1,6 +1,6 @@
 """Line parsers (PRJ-1..11) on lines built from the driver's tables.
 
-Each query renders table rows as the reference's comma-separated line format
+Each query renders table rows in the original comma-separated line formats
 with ``concat_ws``, parses them back with the library parser, and returns the
 typed columns (or the rejects).  The oracle computes the same typed columns
 straight from the table.
