@@ -45,12 +45,16 @@ def _gap_micros(gap: str) -> int:
 
 
 def _partial_sessions(gap_us: int, keyed: bool):
-    """Per-partition session builder for ``mapInPandas`` (input sorted)."""
+    """Per-partition session builder for ``mapInPandas`` (input sorted).
+
+    Vectorised per Arrow batch: session breaks, starts, sums and counts are
+    numpy operations; only the session still open at a batch end is carried
+    (as scalars) into the next batch.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_s = None  # [key, start, last, total, n] of the session still open
+        open_s = None  # (key, start, last, total, n) of the session still open
         head = True    # the next emitted session is the partition's first
-        rows: list[tuple] = []
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -62,42 +66,42 @@ def _partial_sessions(gap_us: int, keyed: bool):
             if open_s is not None:
                 brk[0] = bool(ts[0] - open_s[2] > gap_us) or keys[0] != open_s[0]
             starts = np.flatnonzero(brk)
-            cont = starts[0] if len(starts) else len(ts)
+            cont = int(starts[0]) if len(starts) else len(ts)
             if open_s is not None and cont > 0:  # rows continuing the open session
-                open_s[2] = int(ts[cont - 1])
-                open_s[3] += int(val[:cont].sum())
-                open_s[4] += int(cont)
-            if len(starts):
-                if open_s is not None:
-                    rows.append((*open_s, head, False))
-                    head = False
-                bounds = np.append(starts, len(ts))
-                sums = np.add.reduceat(val, starts)
-                for j in range(len(starts) - 1):
-                    a, b = bounds[j], bounds[j + 1]
-                    rows.append((keys[a], int(ts[a]), int(ts[b - 1]), int(sums[j]),
-                                 int(b - a), head, False))
-                    head = False
-                a = bounds[-2]
-                open_s = [keys[a], int(ts[a]), int(ts[-1]), int(sums[-1]), int(len(ts) - a)]
-            if len(rows) >= 8192:
-                yield _to_frame(rows)
-                rows = []
+                open_s = (open_s[0], open_s[1], int(ts[cont - 1]),
+                          open_s[3] + int(val[:cont].sum()), open_s[4] + cont)
+            if not len(starts):
+                continue
+            bounds = np.append(starts, len(ts))
+            sums = np.add.reduceat(val, starts)
+            closed = len(starts) - 1  # sessions that end inside this batch
+            parts = []
+            if open_s is not None:
+                parts.append(_to_frame([open_s], head, False))
+                head = False
+            if closed:
+                parts.append(pd.DataFrame({
+                    "skey": keys[starts[:-1]], "s_start": ts[starts[:-1]],
+                    "s_last": ts[bounds[1:-1] - 1], "total": sums[:-1],
+                    "n": np.diff(bounds)[:-1].astype(np.int64),
+                    "is_head": np.arange(closed) == 0 if head else np.zeros(closed, bool),
+                    "is_tail": np.zeros(closed, bool)}))
+                head = False
+            a = int(bounds[-2])
+            open_s = (keys[a], int(ts[a]), int(ts[-1]), int(sums[-1]), len(ts) - a)
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
         if open_s is not None:
-            rows.append((*open_s, head, True))
-        if rows:
-            yield _to_frame(rows)
+            yield _to_frame([open_s], head, True)
 
     return run
 
 
-def _to_frame(rows) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=["skey", "s_start", "s_last", "total", "n",
-                                     "is_head", "is_tail"])
-    df["s_start"] = df["s_start"].astype("int64")
-    df["s_last"] = df["s_last"].astype("int64")
-    df["total"] = df["total"].astype("int64")
-    df["n"] = df["n"].astype("int64")
+def _to_frame(sessions, is_head: bool, is_tail: bool) -> pd.DataFrame:
+    df = pd.DataFrame(sessions, columns=["skey", "s_start", "s_last", "total", "n"])
+    for c in ("s_start", "s_last", "total", "n"):
+        df[c] = df[c].astype("int64")
+    df["is_head"], df["is_tail"] = is_head, is_tail
     return df
 
 

@@ -106,10 +106,10 @@ def q_stream_distinct(spark, sf):
     return out.select("event_id", "event_type", F.col("distinct_n").alias("distinct_users"))
 
 
-def _chunks(spark, sf, name):
+def _chunks(spark, sf, name, text=False):
     def plan(s):
         s = s.select("event_id", "user_id", cents("value").alias("cents"))
-        return count_chunk_stream(s, "user_id", "event_id", "cents", 10, scale=2)
+        return count_chunk_stream(s, "user_id", "event_id", "cents", 10, scale=2, text=text)
     return _events_replay(spark, sf, name, plan)
 
 
@@ -123,7 +123,7 @@ def q_stream_count_chunk(spark, sf):
 @query("q_stream_count_chunk_list", ORACLE["q_count_chunk_list"])
 def q_stream_count_chunk_list(spark, sf):
     """ST-2 as a stream: the 10 values as text and their sum (list state)."""
-    out = _chunks(spark, sf, "q_stream_count_chunk_list")
+    out = _chunks(spark, sf, "q_stream_count_chunk_list", text=True)
     return out.select("user_id", "chunk_no", "values_text", money(F.col("total")).alias("total"))
 
 

@@ -55,15 +55,16 @@ def running_distinct_stream(stream: DataFrame, key, order, member: str) -> DataF
 
 
 def count_chunk_stream(stream: DataFrame, key, seq: str, value: str, n: int,
-                       scale: int = 0) -> DataFrame:
-    """ST-1..3 / SNK-6: groups of exactly ``n`` arrivals per key."""
+                       scale: int = 0, text: bool = False) -> DataFrame:
+    """ST-1..3 / SNK-6: groups of exactly ``n`` arrivals per key (``text``: also
+    the values as text, each after one space, ``scale`` decimals)."""
     key = _cols(key)
     schema = T.StructType(_field_types(stream, key) + [
         T.StructField("chunk_no", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("first_seq", T.LongType()), T.StructField("last_seq", T.LongType()),
         T.StructField("total", T.LongType()), T.StructField("values_text", T.StringType())])
     return stream.groupBy(*key).transformWithStateInPandas(
-        CountChunks(key, seq, value, n, scale), schema, "Append", "None")
+        CountChunks(key, seq, value, n, scale, text=text), schema, "Append", "None")
 
 
 def release_batches_stream(stream: DataFrame, bucket, seq: str, value: str, n: int) -> DataFrame:

@@ -103,9 +103,10 @@ class CountChunks(StatefulProcessor):
     ``n - 1`` pending values across micro-batches (and restarts)."""
 
     def __init__(self, key: Sequence[str], seq: str, value: str, n: int, scale: int = 0,
-                 rows: bool = False):
+                 rows: bool = False, text: bool = False):
         self.key, self.seq, self.value, self.n, self.scale = list(key), seq, value, n, scale
         self.rows = rows  # release the member rows (seq, v, chunk_no) instead of summaries
+        self.text = text  # build the " v1 v2 ..." text of each group
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", "seq long, v long")
@@ -128,17 +129,16 @@ class CountChunks(StatefulProcessor):
             self.next_no.update((int(base + full),))
             yield body
         elif full:
-            body = pdf.iloc[: full * self.n]
-            grp = np.arange(len(body)) // self.n
-            g = body.groupby(grp)
+            # fixed-size groups of sorted rows: a reshape, no per-group Python
+            seqs = pdf["seq"].to_numpy(dtype=np.int64)[: full * self.n].reshape(full, self.n)
+            vals = pdf["v"].to_numpy(dtype=np.int64)[: full * self.n].reshape(full, self.n)
             out = pd.DataFrame({
                 "chunk_no": base + np.arange(full, dtype=np.int64),
-                "n": g.size().to_numpy(dtype=np.int64),
-                "first_seq": g["seq"].min().to_numpy(dtype=np.int64),
-                "last_seq": g["seq"].max().to_numpy(dtype=np.int64),
-                "total": g["v"].sum().to_numpy(dtype=np.int64),
-                "values_text": g["v"].agg(
-                    lambda s: "".join(" " + _decimal_text(x, self.scale) for x in s)).to_numpy(),
+                "n": np.full(full, self.n, dtype=np.int64),
+                "first_seq": seqs[:, 0], "last_seq": seqs[:, -1],
+                "total": vals.sum(axis=1),
+                "values_text": ([" " + " ".join(_decimal_text(x, self.scale) for x in row)
+                                 for row in vals] if self.text else None),
             })
             for i, k in enumerate(self.key):
                 out.insert(i, k, key[i])
