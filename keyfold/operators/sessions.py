@@ -40,11 +40,12 @@ def _gap_micros(gap: str) -> int:
     n, unit = gap.split()
     scale = {"millisecond": 1_000, "milliseconds": 1_000, "second": 1_000_000,
              "seconds": 1_000_000, "minute": 60_000_000, "minutes": 60_000_000,
-             "hour": 3_600_000_000, "hours": 3_600_000_000}[unit]
+             "hour": 3_600_000_000, "hours": 3_600_000_000,
+             "day": 86_400_000_000, "days": 86_400_000_000}[unit]
     return int(float(n) * scale)
 
 
-def _partial_sessions(gap_us: int, keyed: bool):
+def _partial_sessions(gap_us: int):
     """Per-partition session builder for ``mapInPandas`` (input sorted).
 
     Vectorised per Arrow batch: session breaks, starts, sums and counts are
@@ -138,7 +139,7 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
         T.StructField("s_last", T.LongType()), T.StructField("total", T.LongType()),
         T.StructField("n", T.LongType()), T.StructField("is_head", T.BooleanType()),
         T.StructField("is_tail", T.BooleanType())])
-    partial = ranged.mapInPandas(_partial_sessions(gap_us, keyed), schema)
+    partial = ranged.mapInPandas(_partial_sessions(gap_us), schema)
 
     # Inner sessions are final: each becomes its own window group.  Edge rows
     # (at most 2 per range partition, a bounded set) share the null group and
