@@ -15,7 +15,8 @@ from keyfold.plans import q_state, q_windows  # noqa: F401  (batch oracles regis
 from keyfold.plans.q_running import EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_PREFIX, WORD_SPLIT
 from keyfold.plans.registry import ORACLE, cents, events, money, query, table
 from keyfold.session import shared_dir
-from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_stream,
+from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_asof_writer,
+                                         exclude_stream,
                                          release_batches_stream, window_top_stream,
                                          running_distinct_stream, running_stream,
                                          session_stream, split_stream, tumbling_stream,
@@ -262,6 +263,21 @@ def q_stream_exclude(spark, sf):
     return out.select("event_id", "user_id", "event_type")
 
 
+@query("q_stream_excluded_asof", ORACLE["q_excluded_asof"])
+def q_stream_excluded_asof(spark, sf):
+    """JN-2 as a stream: the exclusion list grows while the stream runs; an
+    announcement affects only rows handled after it."""
+    base = shared_dir(spark, "stream-out", "excluded_asof")
+    writer = exclude_asof_writer(
+        spark, "user_id", "ts",
+        (F.col("event_type") == EXCLUDE_TYPE) & (F.col("value") > EXCLUDE_ABOVE),
+        f"{base}/list", f"{base}/out")
+    _events_replay(spark, sf, "q_stream_excluded_asof",
+                   lambda s: s.select("event_id", "user_id", "event_type", "ts", "value"),
+                   foreach_batch=writer)
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
+
+
 @query("q_stream_split", """
 SELECT 'all' AS output, CAST(CAST(event_id AS INTEGER) AS VARCHAR) AS v FROM events
 UNION ALL

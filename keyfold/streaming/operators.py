@@ -148,6 +148,37 @@ def exclude_stream_dynamic(exclusion_reader, on: str, write_batch):
     return run
 
 
+def exclude_asof_writer(spark, on: str, ts: str, announces, list_dir: str, out_dir: str,
+                        key_type: str = "bigint"):
+    """JN-2 on a stream, as a ``foreachBatch`` function: ids announced by rows
+    matching ``announces`` are excluded from then on.
+
+    Per micro-batch: rows of ids announced in earlier micro-batches are dropped
+    (anti join against the list folder), rows of ids announced in this batch
+    are kept only before the id's first announcement (as-of), then this
+    batch's announcements are added to the list.  Output and list are written
+    to one folder per epoch (overwritten on a retry), so a replayed batch
+    writes the same files once.
+    """
+    # an empty, typed list partition so the first micro-batch can read the list
+    spark.createDataFrame([], f"{on} {key_type}").write.mode("overwrite") \
+         .parquet(f"{list_dir}/epoch=-1")
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            ann = batch.filter(announces).groupBy(on).agg(F.min(ts).alias("_ex_from"))
+            prev = spark.read.parquet(list_dir).filter(F.col("epoch") < epoch).select(on)
+            kept = batch.join(prev.distinct(), on, "left_anti")
+            kept = kept.join(ann, on, "left").filter(
+                F.col("_ex_from").isNull() | (F.col(ts) < F.col("_ex_from"))).drop("_ex_from")
+            kept.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+            ann.select(on).write.mode("overwrite").parquet(f"{list_dir}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+    return run
+
+
 def split_stream(outputs: dict, targets: dict[str, str]):
     """SPL-1 on a stream: one ``foreachBatch`` writes every side output of the
     same micro-batch (``outputs``: name -> function of the batch frame)."""
