@@ -263,6 +263,22 @@ def q_stream_exclude(spark, sf):
     return out.select("event_id", "user_id", "event_type")
 
 
+@query("q_stream_running_dept_count", ORACLE["q_running_dept_count"])
+def q_stream_running_dept_count(spark, sf):
+    """RUN-14 as a stream: exclusion list (stream-static anti join), then the
+    running count per department, one row per surviving record."""
+    ex = events(spark, sf).filter((F.col("event_type") == EXCLUDE_TYPE)
+                                  & (F.col("value") > EXCLUDE_ABOVE))
+
+    def plan(s):
+        kept = exclude_stream(s.select("event_id", "user_id", "event_type"), ex, "user_id")
+        return running_stream(kept.select("event_id", "event_type",
+                                          F.lit(1).cast("long").alias("one")),
+                              "event_type", "event_id", "one")
+    out = _events_replay(spark, sf, "q_stream_running_dept_count", plan)
+    return out.select("event_id", "event_type", F.col("run_n").alias("running_count"))
+
+
 @query("q_stream_excluded_asof", ORACLE["q_excluded_asof"])
 def q_stream_excluded_asof(spark, sf):
     """JN-2 as a stream: the exclusion list grows while the stream runs; an
