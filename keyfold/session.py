@@ -62,26 +62,25 @@ def ensure_stream_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A folder under the cluster's shared checkpoint dir.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a folder under the working directory is taken and registered.
-    Never a machine-local temp dir on a cluster.
+    The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
+    here, never written); else the SparkContext's checkpoint dir is used.  Only
+    when neither is set (local tests) a folder under the working directory is
+    registered with ``setCheckpointDir``.  Never a machine-local temp dir on a
+    cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = os.path.abspath(os.path.join(os.getcwd(), "spark-checkpoints"))
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(os.path.abspath(os.path.join(os.getcwd(), "spark-checkpoints")))
+        root = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex[:12])
     return "/".join([root.rstrip("/")] + tail)
 
 
-
 def pickle_by_value(module_name: str) -> None:
     """Ship a module's task code inside the pickled functions.
 

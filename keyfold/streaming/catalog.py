@@ -17,7 +17,8 @@ from keyfold.plans.registry import ORACLE, cents, events, money, query, table
 from keyfold.session import shared_dir
 from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_asof_writer,
                                          exclude_stream,
-                                         release_batches_stream, window_top_stream,
+                                         release_batches_stream, running_record_stream,
+                                         window_top_stream,
                                          running_distinct_stream, running_stream,
                                          session_stream, split_stream, tumbling_stream,
                                          window_change_stream)
@@ -83,6 +84,39 @@ def q_stream_running_min_max(spark, sf):
                       money(F.col("run_max")).alias("running_max"))
 
 
+def _records(spark, sf, name):
+    def plan(s):
+        s = s.select("event_id", "event_type", "user_id", cents("value").alias("cents"))
+        return running_record_stream(s, "event_type", "event_id", "cents", "user_id")
+    return _events_replay(spark, sf, name, plan)
+
+
+@query("q_stream_running_min_by", ORACLE["q_running_min_by"])
+def q_stream_running_min_by(spark, sf):
+    """RUN-3 as a stream: the record holding the running minimum (earliest wins)."""
+    out = _records(spark, sf, "q_stream_running_min_by")
+    return out.select("event_id", "event_type", F.col("min_seq").alias("min_by_event_id"),
+                      F.col("min_payload").alias("min_by_user_id"),
+                      money(F.col("min_value")).alias("min_by_value"))
+
+
+@query("q_stream_running_max_by", ORACLE["q_running_max_by"])
+def q_stream_running_max_by(spark, sf):
+    """RUN-5 as a stream: the record holding the running maximum (earliest wins)."""
+    out = _records(spark, sf, "q_stream_running_max_by")
+    return out.select("event_id", "event_type", F.col("max_seq").alias("max_by_event_id"),
+                      F.col("max_payload").alias("max_by_user_id"),
+                      money(F.col("max_value")).alias("max_by_value"))
+
+
+@query("q_stream_running_sum", ORACLE["q_running_sum"])
+def q_stream_running_sum(spark, sf):
+    """RUN-1 as a stream: running sum with the key's first record's field."""
+    out = _records(spark, sf, "q_stream_running_sum")
+    return out.select("event_id", "event_type", money(F.col("run_sum")).alias("running_sum"),
+                      F.col("first_payload").alias("first_user_id"))
+
+
 @query("q_stream_word_count", ORACLE["q_running_word_count"])
 def q_stream_word_count(spark, sf):
     """RUN-7 as a stream: running count of each prefix word over whole documents."""

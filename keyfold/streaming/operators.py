@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.streaming.processors import (CountChunks, PreviousWindowChange, RunningDistinct,
-                                          RunningFold)
+                                          RunningFold, RunningRecord)
 
 
 def _cols(x) -> list[str]:
@@ -45,6 +45,19 @@ def running_stream(stream: DataFrame, key, order, value: str, carry=()) -> DataF
         RunningFold(key, order, value, carry), schema, "Append", "None")
 
 
+def running_record_stream(stream: DataFrame, key, seq: str, value: str, payload: str
+                          ) -> DataFrame:
+    """RUN-1/3/5: first record's payload and the records holding the running
+    min / max of an integral ``value`` (earliest wins ties), per input row."""
+    key = _cols(key)
+    schema = T.StructType(_field_types(stream, key + [seq]) + [
+        T.StructField(n, T.LongType()) for n in (
+            "run_n", "run_sum", "first_payload", "min_value", "min_seq", "min_payload",
+            "max_value", "max_seq", "max_payload")])
+    return stream.groupBy(*key).transformWithStateInPandas(
+        RunningRecord(key, seq, value, payload), schema, "Append", "None")
+
+
 def running_distinct_stream(stream: DataFrame, key, order, member: str) -> DataFrame:
     """RUN-13: running number of distinct ``member`` values per key."""
     key, order = _cols(key), _cols(order)

@@ -184,3 +184,60 @@ class PreviousWindowChange(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RunningRecord(StatefulProcessor):
+    """RUN-1/3/5: per key and per row, the running count and sum, the first
+    record's payload and the records holding the running minimum / maximum of
+    ``value`` (earliest wins ties).  State: the current winners, O(1) per key."""
+
+    _STATE = ("first_p long, mn_v long, mn_s long, mn_p long, "
+              "mx_v long, mx_s long, mx_p long, n long, s long")
+
+    def __init__(self, key: Sequence[str], seq: str, value: str, payload: str):
+        self.key, self.seq, self.value, self.payload = list(key), seq, value, payload
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", self._STATE)
+
+    @staticmethod
+    def _winner(v, s, p, better, carry):
+        """Running winner (value, seq, payload) per row; a row replaces the
+        winner only when strictly better, so the earliest record wins ties."""
+        acc = np.minimum.accumulate if better == "min" else np.maximum.accumulate
+        if carry is None:
+            prev = np.concatenate([[v[0]], acc(v)[:-1]])
+        else:
+            prev = acc(np.concatenate([[carry[0]], v]))[:-1]
+        new = (v < prev) if better == "min" else (v > prev)
+        if carry is None:
+            new[0] = True
+        w = np.maximum.accumulate(np.where(new, np.arange(len(v)), -1))
+        at = np.maximum(w, 0)
+        c = carry or (0, 0, 0)
+        return (np.where(w >= 0, v[at], c[0]), np.where(w >= 0, s[at], c[1]),
+                np.where(w >= 0, p[at], c[2]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows, [self.seq])
+        v = pdf[self.value].to_numpy(dtype=np.int64)
+        s = pdf[self.seq].to_numpy(dtype=np.int64)
+        p = pdf[self.payload].to_numpy(dtype=np.int64)
+        st = self.best.get() if self.best.exists() else None
+        first = st[0] if st else int(p[0])
+        mn = self._winner(v, s, p, "min", (st[1], st[2], st[3]) if st else None)
+        mx = self._winner(v, s, p, "max", (st[4], st[5], st[6]) if st else None)
+        n = (st[7] if st else 0) + np.arange(1, len(v) + 1, dtype=np.int64)
+        tot = (st[8] if st else 0) + np.cumsum(v)
+        self.best.update((int(first), int(mn[0][-1]), int(mn[1][-1]), int(mn[2][-1]),
+                          int(mx[0][-1]), int(mx[1][-1]), int(mx[2][-1]),
+                          int(n[-1]), int(tot[-1])))
+        out = pdf[self.key + [self.seq]].copy()
+        out["run_n"], out["run_sum"] = n, tot
+        out["first_payload"] = np.full(len(pdf), first, dtype=np.int64)
+        out["min_value"], out["min_seq"], out["min_payload"] = mn
+        out["max_value"], out["max_seq"], out["max_payload"] = mx
+        yield out
+
+    def close(self) -> None:
+        pass

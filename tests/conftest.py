@@ -16,10 +16,9 @@ def spark(tmp_path_factory):
                       extra={"spark.ui.enabled": "false"})
     s.sparkContext.setLogLevel("ERROR")
     # tests own their checkpoint folder only when the environment names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = str(tmp_path_factory.mktemp("ckpt"))
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # (spark.checkpoint.dir is static: register the folder with the context)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
 
