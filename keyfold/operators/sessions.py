@@ -46,11 +46,14 @@ def _gap_micros(gap: str) -> int:
 
 
 def _partial_sessions(gap_us: int):
-    """Per-partition session builder for ``mapInPandas`` (input sorted).
-
-    Vectorised per Arrow batch: session breaks, starts, sums and counts are
-    numpy operations; only the session still open at a batch end is carried
-    (as scalars) into the next batch.
+    """Per-partition session builder for ``mapInPandas``.
+
+    Input: segments sorted by (key, start) -- ``t`` start, ``t2`` last event
+    time, ``c`` rows, ``v`` total; a raw row is a segment with ``t2 == t`` and
+    ``c == 1``.  A segment opens a new session when its key changes or its
+    start lies more than ``gap`` after the latest ``t2`` seen in the session
+    (a per-key running max).  Vectorised per Arrow batch; only the session
+    open at a batch end is carried (as scalars) into the next batch.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,21 +63,37 @@ def _partial_sessions(gap_us: int):
             if pdf.empty:
                 continue
             ts = pdf["t"].to_numpy(dtype=np.int64)
+            t2 = pdf["t2"].to_numpy(dtype=np.int64)
+            cnt = pdf["c"].to_numpy(dtype=np.int64)
             val = pdf["v"].to_numpy(dtype=np.int64)
             keys = pdf["skey"].to_numpy(dtype=object)
-            brk = np.ones(len(ts), dtype=bool)
-            brk[1:] = (np.diff(ts) > gap_us) | (keys[1:] != keys[:-1])
+            new_key = np.ones(len(ts), dtype=bool)
+            new_key[1:] = keys[1:] != keys[:-1]
             if open_s is not None:
-                brk[0] = bool(ts[0] - open_s[2] > gap_us) or keys[0] != open_s[0]
+                new_key[0] = keys[0] != open_s[0]
+            # latest t2 before each segment within its key run (carry included)
+            grp = np.cumsum(new_key)
+            cm = pd.Series(t2).groupby(grp).cummax().to_numpy(dtype=np.int64)
+            prev = np.empty_like(cm)
+            prev[1:] = cm[:-1]
+            prev[new_key] = np.iinfo(np.int64).min // 2
+            if open_s is not None and not new_key[0]:
+                first_run = grp == grp[0]
+                prev[first_run] = np.maximum(prev[first_run], open_s[2])
+            brk = new_key | (ts > prev + gap_us)
+            if open_s is not None and not new_key[0]:
+                brk[0] = bool(ts[0] > open_s[2] + gap_us)
             starts = np.flatnonzero(brk)
             cont = int(starts[0]) if len(starts) else len(ts)
-            if open_s is not None and cont > 0:  # rows continuing the open session
-                open_s = (open_s[0], open_s[1], int(ts[cont - 1]),
-                          open_s[3] + int(val[:cont].sum()), open_s[4] + cont)
+            if open_s is not None and cont > 0:  # segments continuing the open session
+                open_s = (open_s[0], open_s[1], max(open_s[2], int(t2[:cont].max())),
+                          open_s[3] + int(val[:cont].sum()), open_s[4] + int(cnt[:cont].sum()))
             if not len(starts):
                 continue
             bounds = np.append(starts, len(ts))
             sums = np.add.reduceat(val, starts)
+            ns = np.add.reduceat(cnt, starts)
+            lasts = np.maximum.reduceat(t2, starts)
             closed = len(starts) - 1  # sessions that end inside this batch
             parts = []
             if open_s is not None:
@@ -83,13 +102,12 @@ def _partial_sessions(gap_us: int):
             if closed:
                 parts.append(pd.DataFrame({
                     "skey": keys[starts[:-1]], "s_start": ts[starts[:-1]],
-                    "s_last": ts[bounds[1:-1] - 1], "total": sums[:-1],
-                    "n": np.diff(bounds)[:-1].astype(np.int64),
+                    "s_last": lasts[:-1], "total": sums[:-1], "n": ns[:-1],
                     "is_head": np.arange(closed) == 0 if head else np.zeros(closed, bool),
                     "is_tail": np.zeros(closed, bool)}))
                 head = False
             a = int(bounds[-2])
-            open_s = (keys[a], int(ts[a]), int(ts[-1]), int(sums[-1]), len(ts) - a)
+            open_s = (keys[a], int(ts[a]), int(lasts[-1]), int(sums[-1]), int(ns[-1]))
             if parts:
                 yield pd.concat(parts, ignore_index=True)
         if open_s is not None:
@@ -124,16 +142,31 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
 
     Returns ``[key,] session_start, session_end, n, total``.
     """
-    gap_us = _gap_micros(gap)
     v = F.col(value) if isinstance(value, str) else value
-    keyed = key is not None
-    kcol = F.col(key).cast("string") if keyed else F.lit("")
-    slim = df.select(kcol.alias("skey"), _micros(F.col(ts)).alias("t"),
-                     v.cast("long").alias("v"), F.col(seq).alias("_seq"))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (slim.repartitionByRange(n, "skey", "t", "_seq")
+    kcol = F.col(key).cast("string") if key is not None else F.lit("")
+    t = _micros(F.col(ts))
+    segs = df.select(kcol.alias("skey"), t.alias("t"), t.alias("t2"),
+                     F.lit(1).cast("long").alias("c"), v.cast("long").alias("v"),
+                     F.col(seq).cast("long").alias("_seq"))
+    out = session_segments(segs, gap, partitions)
+    return out.select(
+        *([F.col("skey").alias(key)] if key is not None else []),
+        _from_micros(F.col("s_start")).alias("session_start"),
+        _from_micros(F.col("s_last") + F.lit(_gap_micros(gap))).alias("session_end"),
+        F.col("n"), F.col("total"))
+
+
+def session_segments(segs: DataFrame, gap: str, partitions: int | None = None) -> DataFrame:
+    """Merge segments ``(skey, t, t2, c, v, _seq)`` -- wall-clock microseconds,
+    rows, total; ``_seq`` breaks ties -- into sessions
+    ``(skey, s_start, s_last, n, total)``.  Raw rows and already-built open
+    sessions mix freely, which is what the stream form feeds in.
+    """
+    gap_us = _gap_micros(gap)
+    n = partitions or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (segs.repartitionByRange(n, "skey", "t", "_seq")
               .sortWithinPartitions("skey", "t", "_seq")
-              .select("skey", "t", "v"))
+              .select("skey", "t", "t2", "c", "v"))
     schema = T.StructType([
         T.StructField("skey", T.StringType()), T.StructField("s_start", T.LongType()),
         T.StructField("s_last", T.LongType()), T.StructField("total", T.LongType()),
@@ -143,23 +176,15 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
 
     # Inner sessions are final: each becomes its own window group.  Edge rows
     # (at most 2 per range partition, a bounded set) share the null group and
-    # are chained in event-time order.  One pass over the partial sessions.
+    # are chained in start order, against the running max of their ends.
     edge = F.col("is_head") | F.col("is_tail")
     grp = F.when(edge, F.lit(None)).otherwise(F.struct("skey", "s_start"))
     staged = partial.withColumn("_grp", grp)
-    w = Window.partitionBy("_grp").orderBy("skey", "s_start", "s_last")
-    prev_last = F.lag("s_last").over(w)
-    brk = (prev_last.isNull() | (F.lag("skey").over(w) != F.col("skey"))
-           | ((F.col("s_start") - prev_last) > F.lit(gap_us)))
+    w = Window.partitionBy("_grp", "skey").orderBy("s_start", "s_last")
+    prev_last = F.max("s_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    brk = prev_last.isNull() | ((F.col("s_start") - prev_last) > F.lit(gap_us))
     isl = staged.withColumn("_isl", F.sum(F.when(brk, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    allp = isl.groupBy("_grp", "_isl").agg(
-        F.first("skey").alias("skey"), F.min("s_start").alias("s_start"),
-        F.max("s_last").alias("s_last"), F.sum("total").alias("total"),
-        F.sum("n").alias("n"))
-    out = allp.select(
-        *([F.col("skey").alias(key)] if keyed else []),
-        _from_micros(F.col("s_start")).alias("session_start"),
-        _from_micros(F.col("s_last") + F.lit(gap_us)).alias("session_end"),
-        F.col("n"), F.col("total"))
-    return out
+    return isl.groupBy("_grp", "skey", "_isl").agg(
+        F.min("s_start").alias("s_start"), F.max("s_last").alias("s_last"),
+        F.sum("total").alias("total"), F.sum("n").alias("n")).drop("_grp", "_isl")

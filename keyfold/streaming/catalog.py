@@ -16,12 +16,11 @@ from keyfold.plans.q_running import EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_PREFIX, WO
 from keyfold.plans.registry import ORACLE, cents, events, money, query, table
 from keyfold.session import shared_dir
 from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_asof_writer,
-                                         exclude_stream,
-                                         release_batches_stream, running_record_stream,
-                                         window_top_stream,
-                                         running_distinct_stream, running_stream,
-                                         session_stream, split_stream, tumbling_stream,
-                                         window_change_stream)
+                                         exclude_stream, release_batches_stream,
+                                         running_distinct_stream, running_record_stream,
+                                         running_stream, session_stream, session_writer,
+                                         split_stream, tumbling_stream, window_change_stream,
+                                         window_top_stream)
 from keyfold.streaming.runner import END_OF_INPUT_TS, replay
 
 # Fixed query parameters
@@ -253,13 +252,41 @@ def q_stream_window_min_clicks(spark, sf):
 
 @query("q_stream_session", ORACLE["q_session_sum"])
 def q_stream_session(spark, sf):
-    """WIN-7 as a stream: global event-time sessions, gap 10 minutes."""
+    """WIN-7 as a stream: global event-time sessions, gap 10 minutes, each
+    micro-batch sessionised by the distributed batch operator (open sessions
+    kept as state between epochs)."""
+    base = shared_dir(spark, "stream-out", "session")
+    writer = session_writer(spark, "ts", "10 minutes", "cents", "event_id", LATENESS,
+                            f"{base}/state", f"{base}/out")
+    _events_replay(spark, sf, "q_stream_session",
+                   lambda s: s.select("event_id", "ts", cents("value").alias("cents")),
+                   foreach_batch=writer, end_marker=True)
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("session_start", "session_end", "n",
+                      money(F.col("total")).alias("total_value"))
+
+
+@query("q_stream_session_keyed", """
+WITH o AS (SELECT event_type, ts, event_id, CAST(ROUND(value * 100) AS BIGINT) AS c,
+                  LAG(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev_ts
+           FROM events),
+f AS (SELECT *, CASE WHEN prev_ts IS NULL OR ts - prev_ts > INTERVAL 1 HOUR
+                     THEN 1 ELSE 0 END AS brk FROM o),
+i AS (SELECT *, SUM(brk) OVER (PARTITION BY event_type ORDER BY ts, event_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM f)
+SELECT event_type, MIN(ts) AS session_start, MAX(ts) + INTERVAL 1 HOUR AS session_end,
+       COUNT(*) AS n, CAST(SUM(c) AS DOUBLE) / 100 AS total_value
+FROM i GROUP BY event_type, isl""")
+def q_stream_session_keyed(spark, sf):
+    """WIN-7 keyed form as a stream: Spark's own session window per key
+    (gap 1 hour) with a watermark; per-key state in the state store."""
     def plan(s):
         s = _real(event_time(s, "ts", LATENESS)).withColumn("cents", cents("value"))
-        return session_stream(s, "ts", "10 minutes",
-                              [F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")])
-    out = _events_replay(spark, sf, "q_stream_session", plan, end_marker=True)
-    return out.select("session_start", "session_end", "n",
+        return session_stream(s, "ts", "1 hour",
+                              [F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_c")],
+                              key="event_type")
+    out = _events_replay(spark, sf, "q_stream_session_keyed", plan, end_marker=True)
+    return out.select("event_type", "session_start", "session_end", "n",
                       money(F.col("_c")).alias("total_value"))
 
 

@@ -135,6 +135,73 @@ def session_stream(stream: DataFrame, ts: str, gap: str, aggs, key=None) -> Data
                     *[c for c in g.columns if c not in ("_s", "_all", *keys)])
 
 
+def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str,
+                   state_dir: str, out_dir: str, key: str | None = None):
+    """WIN-7 on a stream without one task per micro-batch, as a ``foreachBatch``
+    function.
+
+    Spark's streaming session window needs a grouping key, so a global
+    session would put each micro-batch in one task.  Here every micro-batch
+    is sessionised by the distributed batch operator instead:
+
+    1. rows behind the previous watermark (max event time - ``lateness``) are
+       dropped as late;
+    2. the open sessions of the previous epoch (segments) and the new rows are
+       merged by :func:`keyfold.operators.sessions.session_segments` (range
+       partitioning + one ordered pass + edge stitching);
+    3. sessions whose end (last event + gap) the new watermark has passed are
+       emitted, the rest are written back as the next epoch's open state.
+
+    State, output and the max event time are written to one folder per epoch
+    under the shared checkpoint folder (overwritten on a retry), so a
+    replayed micro-batch gives the same files.
+    """
+    from keyfold.operators.sessions import (_from_micros, _gap_micros, _micros,
+                                            session_segments)
+    gap_us, late_us = _gap_micros(gap), _gap_micros(lateness)
+    seg_schema = "skey string, t long, t2 long, c long, v long, _seq long"
+    meta_dir = f"{state_dir}-meta"
+    spark.createDataFrame([], seg_schema).write.mode("overwrite").parquet(f"{state_dir}/epoch=-1")
+    spark.createDataFrame([(-(1 << 62),)], "max_t long").write.mode("overwrite") \
+         .parquet(f"{meta_dir}/epoch=-1")
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        prev = spark.read.schema(seg_schema).parquet(f"{state_dir}/epoch={epoch - 1}")
+        max_prev = spark.read.schema("max_t long").parquet(f"{meta_dir}/epoch={epoch - 1}") \
+                        .first()[0]
+        kcol = F.col(key).cast("string") if key is not None else F.lit("")
+        rows = batch.select(kcol.alias("skey"), _micros(F.col(ts)).alias("t"),
+                            F.col(value).cast("long").alias("v"),
+                            F.col(seq).cast("long").alias("_seq")).persist()
+        sess = None
+        try:
+            fresh = rows.filter(F.col("t") >= F.lit(max_prev - late_us))  # late rows dropped
+            segs = fresh.select("skey", "t", F.col("t").alias("t2"),
+                                F.lit(1).cast("long").alias("c"), "v", "_seq") \
+                        .unionByName(prev)
+            sess = session_segments(segs, gap).persist()
+            seen = rows.agg(F.max("t")).first()[0]
+            max_now = max(max_prev, seen if seen is not None else max_prev)
+            done = (F.col("s_last") + F.lit(gap_us)) < F.lit(max_now - late_us)
+            sess.filter(done).select(
+                *([F.col("skey").alias(key)] if key is not None else []),
+                _from_micros(F.col("s_start")).alias("session_start"),
+                _from_micros(F.col("s_last") + F.lit(gap_us)).alias("session_end"),
+                "n", "total").write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+            sess.filter(~done).select(
+                "skey", F.col("s_start").alias("t"), F.col("s_last").alias("t2"),
+                F.col("n").alias("c"), F.col("total").alias("v"),
+                F.col("s_start").alias("_seq")) \
+                .write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch}")
+            spark.createDataFrame([(int(max_now),)], "max_t long").write.mode("overwrite") \
+                 .parquet(f"{meta_dir}/epoch={epoch}")
+        finally:
+            rows.unpersist()
+            if sess is not None:
+                sess.unpersist()
+    return run
+
+
 def window_change_stream(stats: DataFrame, key, columns: Sequence[str]) -> DataFrame:
     """WIN-9: chain a windowed aggregate (append) into a processor holding the
     previous window's maxima per key."""

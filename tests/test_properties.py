@@ -49,3 +49,23 @@ def test_sessions_brute_force(spark, gaps, parts, keyed):
             last, n = x, n + 1
         exp.append((key, start, n))
     assert got == sorted(exp)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 200), st.integers(0, 30), st.integers(1, 3)),
+                min_size=1, max_size=40), st.integers(1, 5))
+def test_segments_merge_brute_force(spark, segs, parts):
+    from keyfold.operators.sessions import session_segments
+    gap = 10_000_000  # 10 s in micros
+    rows = [("", s * 1_000_000, (s + d) * 1_000_000, c, c * 2, i)
+            for i, (s, d, c) in enumerate(segs)]
+    df = spark.createDataFrame(rows, "skey string, t long, t2 long, c long, v long, _seq long")
+    got = sorted((r.s_start, r.s_last, r.n) for r in
+                 session_segments(df, "10 seconds", partitions=parts).collect())
+    exp = []
+    for _k, t, t2, c, _v, _i in sorted(rows, key=lambda r: (r[1], r[5])):
+        if exp and t <= exp[-1][1] + gap:
+            exp[-1] = (exp[-1][0], max(exp[-1][1], t2), exp[-1][2] + c)
+        else:
+            exp.append((t, t2, c))
+    assert got == sorted(exp)
