@@ -105,3 +105,27 @@ def test_stream_session_gap_edges(spark):
                          [F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")])
     got = sorted((r.n, r.total) for r in run_available_now(agg, "sess").collect())
     assert got == [(1, 5), (3, 15)]
+
+
+def test_session_writer_spans_batches_and_drops_late_rows(spark):
+    from keyfold.streaming.operators import session_writer
+    src, base = shared_dir(spark, "sw-src"), shared_dir(spark, "sw")
+    t0 = datetime(2024, 1, 1)
+    schema = "seq long, ts timestamp_ntz, v long"
+    writer = session_writer(spark, "ts", "10 seconds", "v", "seq", "0 seconds",
+                            f"{base}/state", f"{base}/out")
+    ckpt = shared_dir(spark, "sw-ck")
+    pieces = [
+        [(1, t0, 1), (2, t0 + timedelta(seconds=8), 1)],            # session A opens
+        [(3, t0 + timedelta(seconds=15), 1)],                        # A continues in batch 2
+        [(4, t0 + timedelta(seconds=2), 1),                          # late: dropped
+         (5, t0 + timedelta(seconds=60), 1)],                        # B opens, closes A
+        [(6, t0 + timedelta(days=1), 0)],                            # closes B
+    ]
+    for rows in pieces:
+        spark.createDataFrame(rows, schema).repartition(1).write.mode("append").parquet(src)
+        run_available_now(file_stream(spark, src, schema, None), "sw",
+                          foreach_batch=writer, checkpoint=ckpt)
+    got = sorted((r.session_start, r.n, r.total)
+                 for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [(t0, 3, 3), (t0 + timedelta(seconds=60), 1, 1)]
