@@ -121,9 +121,11 @@ def window_top_stream(stream: DataFrame, ts: str, size: str, key: str, largest:
 
 
 def session_stream(stream: DataFrame, ts: str, gap: str, aggs, key=None) -> DataFrame:
-    """WIN-7 on a stream.  Spark rejects an un-keyed streaming session window,
-    so the global form groups by a constant; its work per micro-batch is
-    bounded by the trigger size (``maxFilesPerTrigger``)."""
+    """WIN-7 on a stream with Spark's own session window (state per key in the
+    state store).  Meant for keyed sessions: without ``key`` it groups by a
+    constant (Spark rejects an un-keyed streaming session window), which puts
+    each micro-batch in one task -- for global sessions use
+    :func:`session_writer`, which sessionises every micro-batch distributed."""
     keys = _cols(key) if key else []
     if not keys:
         stream = stream.withColumn("_all", F.lit(0))
