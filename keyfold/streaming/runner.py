@@ -32,9 +32,10 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
     files, as a long-running query sees data arrive.  Order between pieces
     never depends on file times.
 
-    ``end_marker`` (a row) is appended after the data, twice, each in its own
-    run: the watermark it raises is applied from the run after it, which
-    flushes every real window, as a bounded source's final watermark does.
+    ``end_marker`` (a row) arrives with the last piece and once more in a run
+    of its own: the watermark it raises is applied from the run after it,
+    which flushes every real window, as a bounded source's final watermark
+    does.
     """
     ensure_stream_conf(spark)
     folder = shared_dir(spark, "replay", name)
@@ -48,7 +49,8 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
         row = {c: None for c in df.columns}
         row.update(end_marker)
         marker = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
-        pieces += [marker, marker]
+        pieces[-1] = pieces[-1].unionByName(marker)
+        pieces.append(marker)
     for piece in pieces:
         piece.write.mode("append").parquet(folder)
         run_available_now(plan(file_stream(spark, folder, df.schema, None)), name,
