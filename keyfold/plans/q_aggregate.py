@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from keyfold.operators.aggregate import group_count, group_distinct, top_group
 from keyfold.operators.joins import bounded_broadcast
-from keyfold.plans.q_running import _WORDS_SQL, words
+from keyfold.plans.q_running import _WORDS_SQL, WORD_PREFIX, words
 from keyfold.plans.registry import CENTS_SQL, cents, events, money, query, table
+from keyfold.session import shared_dir
+from keyfold.sources.text import read_lines
 
 
 @query("q_prefix_word_count", f"""
@@ -116,3 +118,18 @@ def q_avg_time(spark, sf):
     e = events(spark, sf).select("event_type", cents("value").alias("_c"))
     return e.groupBy("event_type").agg(
         (F.sum("_c").cast("double") / F.count(F.lit(1)) / 100).alias("avg_value"))
+
+
+@query("q_line_count", f"""
+SELECT line, COUNT(*) AS n
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE starts_with(line, '{WORD_PREFIX}') GROUP BY line""")
+def q_line_count(spark, sf):
+    """SRC-1 + FLT-1 + AGG-1 on text files: the whole documents are written as
+    text (Spark job, shared folder), read back as lines, and the lines that
+    start with the prefix are counted per distinct line."""
+    folder = shared_dir(spark, "text", "documents")
+    table(spark, sf, "documents").select("text").write.text(folder)
+    lines = read_lines(spark, folder, numbered=False)
+    return group_count(lines.filter(F.col("value").startswith(WORD_PREFIX)), "value", "n") \
+        .withColumnRenamed("value", "line")
