@@ -161,6 +161,17 @@ def q_stream_count_chunk_list(spark, sf):
     return out.select("user_id", "chunk_no", "values_text", money(F.col("total")).alias("total"))
 
 
+@query("q_stream_count_chunk_reduce", ORACLE["q_count_chunk_reduce"])
+def q_stream_count_chunk_reduce(spark, sf):
+    """ST-3 as a stream: every 10 (key, value) pairs of an event type folded by
+    the sum reducer; the hot keys are the 5 event types."""
+    def plan(s):
+        return count_chunk_stream(s.select("event_id", "event_type", "user_id"),
+                                  "event_type", "event_id", "user_id", 10)
+    out = _events_replay(spark, sf, "q_stream_count_chunk_reduce", plan)
+    return out.select("event_type", "chunk_no", "total")
+
+
 @query("q_stream_fixed_batches", ORACLE["q_fixed_batches"])
 def q_stream_fixed_batches(spark, sf):
     """SNK-6 as a stream: batches of exactly 100 per buffer; the rest stays in state."""
