@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.llm import op3_quality as op3
+from keyfold.llm import op5_url as op5
+from keyfold.llm import op6_mix as op6
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +81,127 @@ v AS (
   FROM m)
 SELECT *, failed_rules = '' AS kept FROM v
 """
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as outcomes by page number: bad if of low quality or toxic."""
+    bad = F.when(F.col("quality").isNull() & F.col("toxic").isNull(), None).otherwise(
+        (F.coalesce(F.col("quality") == 0, F.lit(False))
+         | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("long"))
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return op5.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir))
+
+
+def _fits_sql(h: str, p: str) -> str:
+    return f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+
+
+_RULES = sorted(op5.RULES, key=lambda r: -len(r[1] + r[2]))
+_TWO = ", ".join(f"'{s}'" for s in op5.SECOND_LEVEL)
+
+
+def _strength_sql(groups: str) -> str:
+    return f"""(SELECT CASE WHEN coalesce(most, 0) = 0 OR more <= 0 THEN {op5.STRONGEST} ELSE
+      least({op5.STRONGEST}, greatest({op5.WEAKEST}, 1 / least(1.0, more / most) - 1)) END FROM
+      (SELECT sum(m * pow(b / m - prior, 2) - prior * (1 - prior)) AS more,
+              sum((m - 1) * prior * (1 - prior)) AS most FROM {groups} WHERE m > 0))"""
+
+
+ORACLE["op5_url_filters"] = rf"""
+WITH r AS (
+  SELECT page_id, CASE WHEN contains(url, '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+o AS (
+  SELECT host, count(*) AS m, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS b
+  FROM p JOIN labels ON page_id = doc_id
+  WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY host),
+n AS (
+  SELECT host, string_split(host, '.') AS l FROM (SELECT DISTINCT host FROM p)),
+c AS (
+  SELECT n.host, coalesce(m, 0) AS m, coalesce(b, 0) AS b,
+         array_to_string(l[-2:], '.') AS two,
+         CASE WHEN two IN ({_TWO}) THEN two ELSE l[-1] END AS suffix,
+         CASE WHEN regexp_matches(n.host, '^[0-9.]+(:[0-9]+)?$') THEN n.host
+              WHEN two IN ({_TWO}) THEN array_to_string(l[-3:], '.') ELSE two END AS domain
+  FROM n LEFT JOIN o ON n.host = o.host),
+s AS (
+  SELECT suffix, sum(m) AS m, sum(b) AS b,
+         (SELECT (sum(b) + 0.5::DOUBLE) / (sum(m) + 1.0::DOUBLE) FROM c) AS prior
+  FROM c GROUP BY suffix),
+sk AS (SELECT {_strength_sql('s')} AS k),
+d AS (
+  SELECT domain, sum(c.m) AS m, sum(c.b) AS b,
+         any_value((s.b + k * prior) / (s.m + k)) AS prior
+  FROM c JOIN s ON c.suffix = s.suffix, sk GROUP BY domain),
+dk AS (SELECT {_strength_sql('d')} AS k),
+h AS (
+  SELECT host, c.m, c.b, (d.b + k * prior) / (d.m + k) AS prior
+  FROM c JOIN d ON c.domain = d.domain, dk),
+hk AS (SELECT {_strength_sql('h')} AS k),
+ab AS (
+  SELECT host, m, b, b + k * prior AS x, m - b + k * (1 - prior) AS y FROM h, hk),
+v AS (
+  SELECT host, m, b, CASE WHEN x / (x + y) - {op5.Z}
+    * sqrt(x * y / (pow(x + y, 2) * (x + y + 1))) > {op5.MAX_BAD}
+    THEN 'block' ELSE 'allow' END AS own FROM ab)
+SELECT page_id, host, path,
+  CASE {" ".join(f"WHEN {_fits_sql(h, x)} THEN '{h}{x}'" for _, h, x in _RULES)} END AS rule,
+  CASE {" ".join(f"WHEN {_fits_sql(h, x)} THEN '{w}'" for w, h, x in _RULES)} ELSE own END AS verdict,
+  CAST(m AS BIGINT) AS labelled, CAST(b AS BIGINT) AS labelled_bad
+FROM p JOIN v USING (host)
+"""
+
+
+@query
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return op6.copies(op6.sizes(docs)).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+_W = ", ".join(map(str, op6.WEIGHTS))
+ORACLE["op6_mix"] = rf"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD_SQL}')) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [{_W}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(op6.WEIGHTS)} + 1] AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT source, source_size, w,
+         (sum(source_size) OVER () - coalesce(sum({op6.CAP} * source_size) OVER b, 0))::DOUBLE
+         / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS level
+  FROM s WINDOW b AS (ORDER BY {op6.CAP} * source_size / w, source
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (
+  SELECT arg_min(level, {op6.CAP} * source_size / w) AS level FROM o
+  WHERE {op6.CAP} * source_size > w * level),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN {op6.CAP} * source_size <= w * l.level THEN CAST({op6.CAP} * source_size AS DOUBLE)
+              ELSE w * l.level END AS target,
+         ('0x' || substr(md5('{op6.SEED}' || coalesce(source, '')), 1, 4))::INT / 65536.0::DOUBLE AS u
+  FROM o, l),
+k AS (
+  SELECT doc_id, size, source_size, target, u,
+         row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS rank,
+         CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE target / source_size END AS rate
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT *, CAST(least(floor(u + rank * rate) - floor(u + (rank - 1) * rate), ceil(rate)) AS BIGINT)
+    AS copies FROM k)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
+"""
