@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keyfold.llm import op3_quality as op3
 from keyfold.llm import op5_url as op5
 from keyfold.llm import op6_mix as op6
+from keyfold.llm import op9_simhash as op9
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +206,12 @@ c AS (
     AS copies FROM k)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    sig = op9.groups_of(op9.signatures(table(spark, sf_dir, "documents")))
+    return sig.select(F.col("id").alias("doc_id"),
+                      F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
