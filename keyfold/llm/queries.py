@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyfold.llm import op1_tiling as op1
 from keyfold.llm import op3_quality as op3
 from keyfold.llm import op5_url as op5
 from keyfold.llm import op6_mix as op6
@@ -215,3 +216,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sig.select(F.col("id").alias("doc_id"),
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that leaks a benchmark item, with the item and its tiles."""
+    found = op1.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("tiles", F.array_join(F.transform("tiles", lambda t: F.concat_ws(
+        ":", t["item_at"], t["doc_at"], t["words"])), ","))
