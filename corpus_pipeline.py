@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import op3_quality
+from keyfold.llm import op1_tiling, op3_quality, op6_mix, op7_pack, op9_simhash
 from keyfold.llm.common import table, written
 
 
@@ -18,8 +18,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return op3_quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return op9_simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return op1_tiling.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return op6_mix.mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed id matrix."""
+    return op7_pack.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing to target weights", mixing),
+    ("token packing", packing),
 ]
 
 #: Tiling, link components and packing are outside SQL; the stages are tested
@@ -29,8 +53,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, name.replace(" ", "-").replace("/", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -231,6 +231,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id",
                   np.asarray(f, dtype="i8").view("u8"), k)]
             for a, p, f in zip(item, at, found)])
 
+    tiles = tiles.asNondeterministic()  # run once, not once more for the filter
     out = pairs.withColumn("tiles", tiles("seeds", "at", "found"))
     covered = F.aggregate("tiles", F.lit(0), lambda a, t: a + t["words"])
     out = out.select("doc", "item", "words", covered.alias("covered"), "tiles") \

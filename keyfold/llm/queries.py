@@ -11,6 +11,7 @@ from keyfold.llm import op1_tiling as op1
 from keyfold.llm import op3_quality as op3
 from keyfold.llm import op5_url as op5
 from keyfold.llm import op6_mix as op6
+from keyfold.llm import op7_pack as op7
 from keyfold.llm import op9_simhash as op9
 from keyfold.llm.common import table
 
@@ -224,3 +225,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op1.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("tiles", F.array_join(F.transform("tiles", lambda t: F.concat_ws(
         ":", t["item_at"], t["doc_at"], t["words"])), ","))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed id matrix of all documents, row by row."""
+    return op7.pack(table(spark, sf_dir, "documents"))
