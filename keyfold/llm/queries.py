@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.llm import op1_tiling as op1
+from keyfold.llm import op10_secrets as op10
 from keyfold.llm import op3_quality as op3
 from keyfold.llm import op5_url as op5
 from keyfold.llm import op6_mix as op6
@@ -231,3 +232,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed id matrix of all documents, row by row."""
     return op7.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document; the models learn from all of them."""
+    docs = table(spark, sf_dir, "documents")
+    return op10.scan(docs, op10.train(op10.count_corpus(docs)))
