@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from keyfold.llm import op1_tiling as op1
 from keyfold.llm import op10_secrets as op10
+from keyfold.llm import op2_lines as op2
 from keyfold.llm import op3_quality as op3
+from keyfold.llm import op4_warc as op4
 from keyfold.llm import op5_url as op5
 from keyfold.llm import op6_mix as op6
 from keyfold.llm import op7_pack as op7
+from keyfold.llm import op8_quotes as op8
 from keyfold.llm import op9_simhash as op9
 from keyfold.llm.common import table
 
@@ -239,3 +242,76 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document; the models learn from all of them."""
     docs = table(spark, sf_dir, "documents")
     return op10.scan(docs, op10.train(op10.count_corpus(docs)))
+
+
+@query
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, in the reply order of its conversation."""
+    return op8.link(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without the boilerplate lines of its host."""
+    out = op2.dedup(op2.split_lines(table(spark, sf_dir, "pages")))
+    return out.select(F.col("page").alias("page_id"), "host", "n_lines", "n_dropped",
+                      F.array_join("lines", "\n").alias("text"))
+
+
+_ENTITIES = "t"
+for _e, _c in op2.ENTITIES:
+    _ENTITIES = "replace({}, '{}', '{}')".format(_ENTITIES, _e, _c.replace("'", "''"))
+ORACLE["op2_line_dedup"] = rf"""
+WITH h AS (
+  SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+    regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '{op2.HIDDEN}', ' ', 'g'), '{op2.BLOCK}', chr(10), 'g'), '{op2.TAG}', '', 'g') AS t
+  FROM pages),
+p AS (
+  SELECT r, page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    list_filter(list_transform(string_split(regexp_replace({_ENTITIES}, '[ \t\r\f]+', ' ', 'g'),
+      chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM h),
+n AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+s AS (
+  SELECT host, line, count(*) AS n
+  FROM (SELECT host, unnest(list_distinct(l)) AS line FROM p) GROUP BY host, line),
+b AS (
+  SELECT host, list(line) AS bad FROM s JOIN n USING (host)
+  WHERE n >= {op2.LEAST} AND n > pages * {op2.RATIO} GROUP BY host),
+k AS (
+  SELECT page_id, p.host, CAST(len(l) AS BIGINT) AS n_lines,
+         CASE WHEN bad IS NULL THEN l ELSE list_filter(l, lambda x: NOT list_contains(bad, x)) END
+           AS kept FROM p LEFT JOIN b ON p.host = b.host)
+SELECT page_id, host, n_lines, CAST(n_lines - len(kept) AS BIGINT) AS n_dropped,
+       coalesce(array_to_string(kept, chr(10)), '') AS text FROM k
+"""
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its archived record says, through the merged index."""
+    return op4.histories(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey")
+
+
+ORACLE["op4_warc"] = rf"""
+WITH p AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS sha FROM pages),
+m AS (SELECT sha, max(page_id) AS of FROM p WHERE n >= {op4.SHARED} GROUP BY sha),
+u AS (
+  SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.sha AS payload_digest,
+    CASE WHEN of IS NULL OR of IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END
+      AS record_type,
+    CASE WHEN of IS NOT DISTINCT FROM page_id THEN NULL ELSE of END AS refers_to,
+    replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS v
+  FROM p LEFT JOIN m ON p.sha = m.sha)
+SELECT * EXCLUDE (v), CASE WHEN regexp_matches(v, '^[^:/?#]*://') THEN
+    array_to_string(list_reverse(string_split(lower(
+      regexp_extract(v, '^[^:/?#]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.')), ',')
+    || regexp_extract(v, '^[^:/?#]*://(?:[^/?#@]*@)?[^/?#:]*(:[0-9]*)?', 1) || ')'
+    || lower(coalesce(nullif(regexp_extract(v,
+      '^[^:/?#]*://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?([^#]*)', 1), ''), '/'))
+  ELSE lower(v) END AS urlkey FROM u
+"""
