@@ -98,7 +98,7 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame
         "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
         F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad"))
     total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    base = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
+    base = total["bad"] / total["n"] if total["n"] else 0.0
 
     def mean(k):
         return ((F.col("b") + k * F.col("prior")) / (F.col("m") + k))

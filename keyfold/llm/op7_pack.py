@@ -188,7 +188,7 @@ def unpack(rows: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER,
            end: int = END) -> DataFrame:
     """doc, text of packed rows: the exact way back, for checks.
 
-    Pieces of a document are put together again, so one document is one group.
+    Pieces are put together by document id, which has to be unique.
     """
     spark = rows.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(spark, tokenizer))

@@ -142,7 +142,7 @@ c AS (
   FROM n LEFT JOIN o ON n.host = o.host),
 s AS (
   SELECT suffix, sum(m) AS m, sum(b) AS b,
-         (SELECT (sum(b) + 0.5::DOUBLE) / (sum(m) + 1.0::DOUBLE) FROM c) AS prior
+         (SELECT coalesce(sum(b)::DOUBLE / nullif(sum(m), 0), 0) FROM c) AS prior
   FROM c GROUP BY suffix),
 sk AS (SELECT {_strength_sql('s')} AS k),
 d AS (
