@@ -6,22 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def average(total: Column, count: Column) -> Column:
-    """PRJ-12: ``sum * 1.0 / count`` as double."""
-    return total.cast("double") / count.cast("double")
-
-
 def int_div(a: Column, b: Column) -> Column:
-    """Exact integer division truncating toward zero (Java ``a / b`` on ints).
-
-    The remainder is removed with ``pmod`` first, so the division is exact and
-    no floating rounding can move the result across an integer.
-    """
-    a, b = a.cast("long"), b.cast("long")
-    aa, ab = F.abs(a), F.abs(b)
-    q = ((aa - F.pmod(aa, ab)) / ab).cast("long")
-    return F.when(b == 0, F.lit(None).cast("long")).otherwise(
-        F.when((a < 0) != (b < 0), -q).otherwise(q))
+    """Exact integer division truncating toward zero (Java ``a / b`` on ints);
+    null when ``b`` is 0."""
+    return F.call_function("div", a.cast("long"), F.nullif(b.cast("long"), F.lit(0).cast("long")))
 
 
 def int_average(total: Column, count: Column) -> Column:
@@ -29,11 +17,6 @@ def int_average(total: Column, count: Column) -> Column:
     return int_div(total, count)
 
 
-def percent_change(cur: Column, prev: Column) -> Column:
-    """PRJ-17: ``(cur - prev) / prev * 100``; null when ``prev`` is 0 or null."""
-    return F.try_divide(cur.cast("double") - prev.cast("double"), prev.cast("double")) * 100.0
-
-
 def two_decimals(x: Column) -> Column:
     """PRJ-16: ``%.2f`` text (Spark rounds half up: 0.125 -> 0.13)."""
     return F.format_string("%.2f", x)
@@ -44,6 +27,7 @@ def stamp(date: Column, time: Column) -> Column:
     return F.concat_ws(":", date, time)
 
 
+# The wording of the report and alert lines below.
 def window_report(r) -> Column:
     """PRJ-16: the per-window statistics line, numeric columns kept beside it.
 

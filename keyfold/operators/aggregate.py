@@ -13,9 +13,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.functions.format import int_div
-
-
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
@@ -25,27 +22,6 @@ def group_count(df: DataFrame, key, name: str = "n") -> DataFrame:
     return df.groupBy(*_cols(key)).agg(F.count(F.lit(1)).alias(name))
 
 
-def group_sum(df: DataFrame, key, value, name: str) -> DataFrame:
-    """AGG-2: total per key."""
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*_cols(key)).agg(F.sum(v).alias(name))
-
-
-def group_avg(df: DataFrame, key, value, name: str, count_name: str | None = None) -> DataFrame:
-    """AGG-4/5 + PRJ-12: ``sum * 1.0 / count`` per key, as double."""
-    v = F.col(value) if isinstance(value, str) else value
-    aggs = [(F.sum(v).cast("double") / F.count(F.lit(1))).alias(name)]
-    if count_name:
-        aggs.append(F.count(F.lit(1)).alias(count_name))
-    return df.groupBy(*_cols(key)).agg(*aggs)
-
-
-def group_int_avg(df: DataFrame, key, value, name: str) -> DataFrame:
-    """PRJ-13: integer average ``sum div count`` (truncating) per key."""
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*_cols(key)).agg(int_div(F.sum(v), F.count(F.lit(1))).alias(name))
-
-
 def group_distinct(df: DataFrame, key, value: str, name: str) -> DataFrame:
     """AGG-6c: distinct values per key (exact)."""
     return df.groupBy(*_cols(key)).agg(F.count_distinct(F.col(value)).alias(name))
@@ -55,12 +31,14 @@ def top_group(df: DataFrame, key: str, total: str, largest: bool = True,
               by: Sequence[str] | None = None) -> DataFrame:
     """AGG-3 / WIN-4/5: the key with the largest (or smallest) ``total``.
 
-    ``df`` holds one row per key (e.g. the output of :func:`group_sum`);
+    ``df`` holds one row per key; keys without a total (null) never win;
     ``by`` optionally makes it per group (e.g. per window).  Ties go to the
     smallest key.  ``min`` over ``struct(order, key)`` is a partial aggregate.
     """
     t = F.col(total)
     order = -t if largest else t
     best = F.min(F.struct(order.alias("_o"), F.col(key).alias("_k"), t.alias("_v")))
-    g = df.groupBy(*(by or [])).agg(best.alias("_best"))
+    g = df.filter(t.isNotNull()).groupBy(*(by or [])).agg(best.alias("_best"))
+    if not by:  # a global aggregate gives a row even when no key has a total
+        g = g.filter(F.col("_best").isNotNull())
     return g.select(*(by or []), F.col("_best._k").alias(key), F.col("_best._v").alias(total))

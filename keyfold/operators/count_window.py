@@ -15,7 +15,6 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.operators.joins import bounded_broadcast
 from keyfold.operators.running import run_count, running
 
 
@@ -71,8 +70,8 @@ def fixed_batches(df: DataFrame, bucket: Column, seq: str, n: int,
     b = df.withColumn("bucket", bucket)
     numbered = number_arrivals(b, "bucket", seq, bucket_width)
     numbered = numbered.withColumn("batch_no", F.expr(f"(_rn - 1) div {int(n)}"))
-    # one row per bucket value: shipped to every task behind the size check
+    # one row per bucket value; Spark broadcasts it by its size
     full = numbered.groupBy("bucket").agg(F.max("_rn").alias("_tot"))
-    out = numbered.join(bounded_broadcast(full), "bucket").filter(
+    out = numbered.join(full, "bucket").filter(
         F.col("batch_no") < F.expr(f"_tot div {int(n)}"))
     return out.drop("_tot", "_rn")

@@ -5,29 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 
-
-def exclude_static(main: DataFrame, exclusion: DataFrame, on: str,
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def exclude_static(main: DataFrame, exclusion: DataFrame, on: str) -> DataFrame:
     """JN-1: drop main rows whose ``on`` id is in the exclusion list.
 
-    The list is broadcast only when it has at most ``max_broadcast_rows`` rows
-    (checked); otherwise it is a shuffled left-anti join.
+    A left-anti join that Spark broadcasts by the list's size in bytes
+    (``spark.sql.autoBroadcastJoinThreshold``) and shuffles otherwise.
     """
-    ids = exclusion.select(on).distinct()
-    return main.join(bounded_broadcast(ids, max_broadcast_rows), on, "left_anti")
+    return main.join(exclusion.select(on).distinct(), on, "left_anti")
 
 
-def exclude_from(main: DataFrame, exclusion: DataFrame, on: str, ts: str, ex_ts: str,
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def exclude_from(main: DataFrame, exclusion: DataFrame, on: str, ts: str, ex_ts: str
+                 ) -> DataFrame:
     """JN-2: an exclusion affects only main rows after it took effect.
 
     A main row survives when its id was never excluded, or its time is before
     the id's first exclusion (``ts < min(ex_ts)``).
     """
     first = exclusion.groupBy(on).agg(F.min(ex_ts).alias("_ex_from"))
-    side = bounded_broadcast(first, max_broadcast_rows)
-    j = main.join(side, on, "left")
+    j = main.join(first, on, "left")
     return j.filter(F.col("_ex_from").isNull() | (F.col(ts) < F.col("_ex_from"))) \
             .drop("_ex_from")

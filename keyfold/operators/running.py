@@ -90,10 +90,13 @@ def _unpack(prefix: str, fields: Sequence[str]):
 
 
 def run_min_by(value, seq: str, fields: Sequence[str], prefix: str) -> RunAgg:
-    """Whole record holding the running minimum of ``value``; earliest wins ties."""
+    """Whole record holding the running minimum of ``value``; earliest wins ties,
+    and a null value loses to every other."""
     v = F.col(value) if isinstance(value, str) else value
-    return RunAgg(prefix + "rec", "min", _struct_payload(v, F.col(seq), fields),
-                  _unpack(prefix, fields))
+    return RunAgg(prefix + "rec", "min",
+                  F.struct(v.isNull().alias("_z"), _struct_payload(v, F.col(seq), fields)
+                           .alias("_r")),
+                  lambda c: _unpack(prefix, fields)(c["_r"]))
 
 
 def run_max_by(value, seq: str, fields: Sequence[str], prefix: str) -> RunAgg:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,13 +64,15 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A folder under the cluster's shared checkpoint dir.
 
     The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
-    here, never written); else the SparkContext's checkpoint dir is used.  Only
-    when neither is set (local tests) a folder under the working directory is
-    registered with ``setCheckpointDir``.  Never a machine-local temp dir on a
-    cluster.
+    here, never written); else the SparkContext's checkpoint dir is used.  When
+    neither is set a local master gets a folder under the working directory,
+    registered with ``setCheckpointDir``; a cluster gets an error, as its
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         sc.setCheckpointDir(os.path.abspath(os.path.join(os.getcwd(), "spark-checkpoints")))
         root = sc.getCheckpointDir()

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def tuple_text(*cols) -> Column:
-    """A row rendered like a printed tuple: ``(June,12.0)``."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    """A row rendered like a printed tuple: ``(June,12.0)``; a null field as ``null``."""
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("null"))
+             for c in cols]
     return F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
 
 

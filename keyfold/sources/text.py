@@ -10,31 +10,35 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def with_line_numbers(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Number rows 1..n in scan order without moving them to one task.
-
-    Distributed zip-with-index: ``monotonically_increasing_id`` encodes
-    (partition, row-in-partition); rows per partition are counted (one row per
-    partition), turned into offsets with a window over that tiny table, and
-    joined back by partition id.  For a single text file scan order is line
-    order.
+def with_line_numbers(df: DataFrame, file: str = "file", line: str = "line",
+                      name: str = "seq") -> DataFrame:
+    """Number the rows of a file scan: ``line`` within its file and ``name``
+    over all files, both from 1, files in order of their path.
+
+    A split of a file (path and start offset) is read by one task in order, so
+    a row's place in it is its running row number there; splits are counted
+    (one row per split), prefix sums in path and offset order become offsets,
+    and rows join their split's.  No task holds more than its own split.
     """
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
-                   .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per input partition: a bounded table, broadcast is safe
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(
-            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("_off"))
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, (F.col("_off") + F.col("_row") + 1).alias(name))
+    m = F.col("_metadata")
+    tagged = df.select(*df.columns, m["file_path"].alias(file),
+                       m["file_block_start"].alias("_start"),
+                       F.monotonically_increasing_id().alias("_mid"))
+    counts = tagged.groupBy(file, "_start").agg(F.count(F.lit(1)).alias("_n"),
+                                                F.min("_mid").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(file, "_start").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    in_file = F.coalesce(F.sum("_n").over(Window.partitionBy(file).orderBy("_start").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    splits = counts.select(file, "_start", "_first", before.alias("_all"), in_file.alias("_own"))
+    at = F.col("_mid") - F.col("_first") + 1
+    return tagged.join(splits, [file, "_start"]).select(
+        *df.columns, file, (F.col("_own") + at).alias(line), (F.col("_all") + at).alias(name))
 
 
 def read_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
-    """SRC-1: lines of text files as ``value`` (+ ``seq`` line number from 1)."""
+    """SRC-1: lines of text files as ``value`` (+ ``file``, ``line`` within it and
+    ``seq`` over all files in path order, both from 1)."""
     df = spark.read.text(path)
     return with_line_numbers(df) if numbered else df
 

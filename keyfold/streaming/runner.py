@@ -42,9 +42,14 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
     ckpt = shared_dir(spark, "stream-ckpt", name)
     out = None if foreach_batch is not None else shared_dir(spark, "stream-out", name)
     lo, hi = df.agg(F.min(seq), F.max(seq)).first()
-    step = (hi - lo) // chunks + 1
-    pieces = [df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
-              for i in range(chunks)]
+    if lo is None:  # no row has a place in the order: one piece
+        pieces = [df]
+    else:
+        step = (hi - lo) // chunks + 1
+        pieces = [df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
+                  for i in range(chunks)]
+        # rows without a place come first, as in the batch form
+        pieces[0] = df.filter(F.col(seq).isNull() | (F.col(seq) < lo + step))
     if end_marker is not None:
         row = {c: None for c in df.columns}
         row.update(end_marker)

@@ -1,7 +1,7 @@
 import contextlib
 import io
 
-from keyfold.operators.joins import bounded_broadcast
+from keyfold.operators.exclude import exclude_static
 from keyfold.sinks import to_console
 
 
@@ -12,17 +12,20 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_broadcast_only_under_the_row_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as for large sides
+def test_exclusion_is_broadcast_by_bytes_and_runs_no_job_to_plan(spark):
+    big = spark.range(100).withColumnRenamed("id", "k")
+    side = spark.range(5).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in _plan(exclude_static(big, side, "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    group = "planning"
+    spark.sparkContext.setJobGroup(group, "")
     try:
-        big = spark.range(100).withColumnRenamed("id", "k")
-        side = spark.range(5).withColumnRenamed("id", "k")
-        under = big.join(bounded_broadcast(side, max_rows=10), "k", "left_anti")
-        over = big.join(bounded_broadcast(side, max_rows=2), "k", "left_anti")
-        assert "BroadcastHashJoin" in _plan(under)
+        over = exclude_static(big, side, "k")
         assert "BroadcastHashJoin" not in _plan(over)
-        assert under.count() == over.count() == 95
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        assert over.count() == 95
     finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
