@@ -14,8 +14,9 @@ The global (un-keyed) form is the hard one: it has a single group.  Plan:
    the open session across batches, and emits partial sessions.  Sessions
    strictly inside a partition are final.
 3. Only the first and last partial session of each partition can continue in
-   a neighbouring partition.  Those edge rows (at most 2 per partition, a
-   bounded table) are stitched with one ordered window and re-aggregated.
+   a neighbouring partition -- and, where segments have a length, the sessions
+   that start within reach of a segment of an earlier partition.  Those edge
+   rows are stitched with one ordered window and re-aggregated.
 
 No task ever holds more than one range partition, and nothing passes through
 the driver.
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.session import pickle_by_value
+from keyfold.session import pickle_by_value, shared_dir
 
 pickle_by_value(__name__)
 
@@ -144,23 +145,28 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
     """
     v = F.col(value) if isinstance(value, str) else value
     kcol = F.col(key).cast("string") if key is not None else F.lit("")
+    kind = df.select(v.alias("v")).schema[0].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"session totals are exact sums of integers, not of {kind.simpleString()}")
     t = _micros(F.col(ts))
     segs = df.select(kcol.alias("skey"), t.alias("t"), t.alias("t2"),
                      F.lit(1).cast("long").alias("c"), v.cast("long").alias("v"),
                      F.col(seq).cast("long").alias("_seq"))
     out = session_segments(segs, gap, partitions)
     return out.select(
-        *([F.col("skey").alias(key)] if key is not None else []),
+        *([F.col("skey").cast(df.schema[key].dataType).alias(key)] if key is not None else []),
         _from_micros(F.col("s_start")).alias("session_start"),
         _from_micros(F.col("s_last") + F.lit(_gap_micros(gap))).alias("session_end"),
         F.col("n"), F.col("total"))
 
 
-def session_segments(segs: DataFrame, gap: str, partitions: int | None = None) -> DataFrame:
+def session_segments(segs: DataFrame, gap: str, partitions: int | None = None,
+                     reaching: bool = False) -> DataFrame:
     """Merge segments ``(skey, t, t2, c, v, _seq)`` -- wall-clock microseconds,
     rows, total; ``_seq`` breaks ties -- into sessions
     ``(skey, s_start, s_last, n, total)``.  Raw rows and already-built open
-    sessions mix freely, which is what the stream form feeds in.
+    sessions mix freely (``reaching``: segments may have a length), which is what
+    the stream form feeds in.
     """
     gap_us = _gap_micros(gap)
     n = partitions or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -175,9 +181,20 @@ def session_segments(segs: DataFrame, gap: str, partitions: int | None = None) -
     partial = ranged.mapInPandas(_partial_sessions(gap_us), schema)
 
     # Inner sessions are final: each becomes its own window group.  Edge rows
-    # (at most 2 per range partition, a bounded set) share the null group and
-    # are chained in start order, against the running max of their ends.
+    # share the null group and are chained in start order, against the running
+    # max of their ends.
     edge = F.col("is_head") | F.col("is_tail")
+    if reaching:
+        # how far the segments of earlier partitions reach: one row per partition
+        # and key.  The checkpoint fixes which session is in which partition.
+        shared_dir(segs.sparkSession)
+        partial = partial.withColumn("_part", F.spark_partition_id()).checkpoint()
+        ends = partial.groupBy("skey", "_part").agg(F.max("s_last").alias("_end"))
+        earlier = Window.partitionBy("skey").orderBy("_part").rowsBetween(
+            Window.unboundedPreceding, -1)
+        ends = ends.withColumn("_reach", F.max("_end").over(earlier)).drop("_end")
+        partial = partial.join(ends, ["skey", "_part"])
+        edge = edge | F.coalesce(F.col("s_start") <= F.col("_reach") + F.lit(gap_us), F.lit(False))
     grp = F.when(edge, F.lit(None)).otherwise(F.struct("skey", "s_start"))
     staged = partial.withColumn("_grp", grp)
     w = Window.partitionBy("_grp", "skey").orderBy("s_start", "s_last")

@@ -57,6 +57,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so it registers."""
-    from keyfold.plans import (q_aggregate, q_parse, q_running, q_state,  # noqa: F401
-                               q_windows)
+    from keyfold.plans import (q_aggregate, q_parse, q_roundtrip, q_running,  # noqa: F401
+                               q_state, q_windows)
     from keyfold.streaming import catalog  # noqa: F401

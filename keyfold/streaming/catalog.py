@@ -12,14 +12,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keyfold.plans import q_state, q_windows  # noqa: F401  (batch oracles registered first)
-from keyfold.plans.q_running import EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_PREFIX, WORD_SPLIT
-from keyfold.plans.registry import ORACLE, cents, events, money, query, table
+from keyfold.plans.q_running import (EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_DOC_BUCKET, WORD_PREFIX,
+                                     WORD_SPLIT)
+from keyfold.operators.running import (run_count, run_first, run_max, run_max_by, run_min,
+                                       run_min_by, run_sum)
+from keyfold.plans.registry import ORACLE, bucket_width, cents, events, money, query, table
 from keyfold.session import shared_dir
-from keyfold.streaming.operators import (count_chunk_stream, event_time, exclude_asof_writer,
-                                         exclude_stream, release_batches_stream,
-                                         running_distinct_stream, running_record_stream,
-                                         running_stream, session_stream, session_writer,
-                                         split_stream, tumbling_stream, window_change_stream,
+from keyfold.streaming.carry import chunk_writer, distinct_flags, running_writer
+from keyfold.streaming.operators import (event_time, exclude_asof_writer, exclude_stream,
+                                         session_stream, session_writer, split_stream,
+                                         tumbling_stream, window_change_stream,
                                          window_top_stream)
 from keyfold.streaming.runner import END_OF_INPUT_TS, replay
 
@@ -47,28 +49,46 @@ def _real(df):
     return df.filter(F.col("ts") < F.lit(END_OF_INPUT_TS).cast("timestamp"))
 
 
-def _running(key, seq, value_expr):
-    def plan(s):
-        s = s.select(seq, key, value_expr.alias("fold_value"))
-        return running_stream(s, key, seq, "fold_value")
-    return plan
+def _running_replay(spark, rows, name, plan, key, order, stages, keep, seq="event_id",
+                    width=None, flags=None):
+    """Replay ``rows`` through the running folds; what the stream wrote."""
+    base = shared_dir(spark, "stream-out", name)
+    prepare = distinct_flags(spark, key, order, flags, base) if flags else None
+    writer = running_writer(spark, key, order, stages, keep, base,
+                            width or bucket_width(spark), prepare)
+    replay(spark, rows, seq, REPLAY_PIECES, name, plan, foreach_batch=writer)
+    return spark.read.parquet(f"{base}/out").drop("epoch")
+
+
+def _running_events(spark, sf, name, stages, plan=None, **kw):
+    def columns(s):
+        return s.select("event_id", F.col("event_id").alias("event_id_"), "event_type", "user_id",
+                        "value", cents("value").alias("cents"))
+    return _running_replay(spark, events(spark, sf), name, plan or columns, "event_type",
+                           "event_id", stages, ["event_id", "event_type"], **kw)
 
 
 @query("q_stream_running_avg", ORACLE["q_running_avg"])
 def q_stream_running_avg(spark, sf):
     """RUN-6 as a stream: running average per key, one row per input row."""
-    out = _events_replay(spark, sf, "q_stream_running_avg",
-                         _running("event_type", "event_id", cents("value")))
+    out = _running_events(spark, sf, "q_stream_running_avg",
+                          [[run_sum("cents", "_s"), run_count("_n")]])
     return out.select("event_id", "event_type",
-                      (F.col("run_sum").cast("double") / F.col("run_n") / 100).alias("running_avg"))
+                      (F.col("_s").cast("double") / F.col("_n") / 100).alias("running_avg"))
 
 
 @query("q_stream_running_clicks", ORACLE["q_running_clicks"])
 def q_stream_running_clicks(spark, sf):
     """RUN-11 as a stream: running clicks per site, per record."""
-    out = _events_replay(spark, sf, "q_stream_running_clicks",
-                         _running("event_type", "event_id", F.lit(1).cast("long")))
-    return out.select("event_id", "event_type", F.col("run_n").alias("clicks"))
+    return _running_events(spark, sf, "q_stream_running_clicks", [[run_count("clicks")]])
+
+
+@query("q_stream_running_clicks_max", ORACLE["q_running_clicks_max"])
+def q_stream_running_clicks_max(spark, sf):
+    """RUN-12 as a stream: running clicks, then the running maximum of that count."""
+    out = _running_events(spark, sf, "q_stream_running_clicks_max",
+                          [[run_count("clicks")], [run_max("clicks", "max_clicks")]])
+    return out.drop("clicks")
 
 
 @query("q_stream_running_min_max", """
@@ -76,44 +96,73 @@ SELECT event_id, event_type, MIN(value) OVER w AS running_min, MAX(value) OVER w
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_stream_running_min_max(spark, sf):
-    """RUN-2/4 as a stream: running minimum and maximum per key."""
-    out = _events_replay(spark, sf, "q_stream_running_min_max",
-                         _running("event_type", "event_id", cents("value")))
-    return out.select("event_id", "event_type", money(F.col("run_min")).alias("running_min"),
-                      money(F.col("run_max")).alias("running_max"))
-
-
-def _records(spark, sf, name):
-    def plan(s):
-        s = s.select("event_id", "event_type", "user_id", cents("value").alias("cents"))
-        return running_record_stream(s, "event_type", "event_id", "cents", "user_id")
-    return _events_replay(spark, sf, name, plan)
+    """RUN-2/4 as a stream: running minimum and maximum per key, as doubles."""
+    return _running_events(spark, sf, "q_stream_running_min_max",
+                           [[run_min("value", "running_min"), run_max("value", "running_max")]])
 
 
 @query("q_stream_running_min_by", ORACLE["q_running_min_by"])
 def q_stream_running_min_by(spark, sf):
     """RUN-3 as a stream: the record holding the running minimum (earliest wins)."""
-    out = _records(spark, sf, "q_stream_running_min_by")
-    return out.select("event_id", "event_type", F.col("min_seq").alias("min_by_event_id"),
-                      F.col("min_payload").alias("min_by_user_id"),
-                      money(F.col("min_value")).alias("min_by_value"))
+    out = _running_events(spark, sf, "q_stream_running_min_by", [[run_min_by(
+        "value", "event_id", ["event_id_", "user_id", "value"], "min_by_")]])
+    return out.withColumnRenamed("min_by_event_id_", "min_by_event_id")
 
 
 @query("q_stream_running_max_by", ORACLE["q_running_max_by"])
 def q_stream_running_max_by(spark, sf):
     """RUN-5 as a stream: the record holding the running maximum (earliest wins)."""
-    out = _records(spark, sf, "q_stream_running_max_by")
-    return out.select("event_id", "event_type", F.col("max_seq").alias("max_by_event_id"),
-                      F.col("max_payload").alias("max_by_user_id"),
-                      money(F.col("max_value")).alias("max_by_value"))
+    out = _running_events(spark, sf, "q_stream_running_max_by", [[run_max_by(
+        "value", "event_id", ["event_id_", "user_id", "value"], "max_by_")]])
+    return out.withColumnRenamed("max_by_event_id_", "max_by_event_id")
 
 
 @query("q_stream_running_sum", ORACLE["q_running_sum"])
 def q_stream_running_sum(spark, sf):
     """RUN-1 as a stream: running sum with the key's first record's field."""
-    out = _records(spark, sf, "q_stream_running_sum")
-    return out.select("event_id", "event_type", money(F.col("run_sum")).alias("running_sum"),
-                      F.col("first_payload").alias("first_user_id"))
+    out = _running_events(spark, sf, "q_stream_running_sum", [[
+        run_sum("cents", "_s"), run_first("event_id", ["user_id"], "first_")]])
+    return out.select("event_id", "event_type", money(F.col("_s")).alias("running_sum"),
+                      "first_user_id")
+
+
+def _running_orders(spark, sf, name, key, stages):
+    rows = table(spark, sf, "orders")
+
+    def plan(s):
+        c = cents("o_totalprice")
+        return s.select("o_orderkey", key, c.alias("cents"),
+                        F.when(F.col("o_orderstatus") == "F", c)
+                        .otherwise(F.lit(0).cast("long")).alias("fcents"))
+    return _running_replay(spark, rows, name, plan, key, "o_orderkey", stages,
+                           ["o_orderkey", key], seq="o_orderkey")
+
+
+@query("q_stream_running_sum_max", ORACLE["q_running_sum_max"])
+def q_stream_running_sum_max(spark, sf):
+    """RUN-8 as a stream: running total per key, then the running maximum of it."""
+    out = _running_orders(spark, sf, "q_stream_running_sum_max", "o_orderpriority",
+                          [[run_sum("cents", "_t")], [run_max("_t", "_m")]])
+    return out.select("o_orderkey", "o_orderpriority", money(F.col("_t")).alias("running_total"),
+                      money(F.col("_m")).alias("running_max_total"))
+
+
+def _finished_avg(spark, sf, name, key):
+    out = _running_orders(spark, sf, name, key, [[run_sum("fcents", "_s"), run_count("_n")]])
+    return out.select("o_orderkey", key,
+                      (F.col("_s").cast("double") / F.col("_n") / 100).alias("running_avg"))
+
+
+@query("q_stream_running_avg_source", ORACLE["q_running_avg_source"])
+def q_stream_running_avg_source(spark, sf):
+    """RUN-9 as a stream: running average per pickup, idle rows as 0."""
+    return _finished_avg(spark, sf, "q_stream_running_avg_source", "o_orderpriority")
+
+
+@query("q_stream_running_avg_driver", ORACLE["q_running_avg_driver"])
+def q_stream_running_avg_driver(spark, sf):
+    """RUN-10 as a stream: running average per driver over all rows."""
+    return _finished_avg(spark, sf, "q_stream_running_avg_driver", "o_custkey")
 
 
 @query("q_stream_word_count", ORACLE["q_running_word_count"])
@@ -121,68 +170,73 @@ def q_stream_word_count(spark, sf):
     """RUN-7 as a stream: running count of each prefix word over whole documents."""
     def plan(s):
         w = s.select("doc_id", F.posexplode(F.split("text", WORD_SPLIT)).alias("pos", "word"))
-        w = w.filter(F.col("word").startswith(WORD_PREFIX)).select(
-            "doc_id", F.col("pos").cast("long").alias("pos"), "word",
-            F.lit(1).cast("long").alias("one"))
-        return running_stream(w, "word", ["doc_id", "pos"], "one")
+        return w.filter(F.col("word").startswith(WORD_PREFIX)).select(
+            "doc_id", F.col("pos").cast("long").alias("pos"), "word")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    out = replay(spark, docs, "doc_id", REPLAY_PIECES, "q_stream_word_count", plan)
-    return out.select("doc_id", "pos", "word", F.col("run_n").alias("running_count"))
+    return _running_replay(spark, docs, "q_stream_word_count", plan, "word", ["doc_id", "pos"],
+                           [[run_count("running_count")]], ["doc_id", "pos", "word"],
+                           seq="doc_id", width=WORD_DOC_BUCKET)
 
 
 @query("q_stream_distinct", ORACLE["q_running_distinct"])
 def q_stream_distinct(spark, sf):
     """RUN-13 as a stream: running distinct users per site, per record."""
-    def plan(s):
-        return running_distinct_stream(s.select("event_id", "event_type", "user_id"),
-                                       "event_type", "event_id", "user_id")
-    out = _events_replay(spark, sf, "q_stream_distinct", plan)
-    return out.select("event_id", "event_type", F.col("distinct_n").alias("distinct_users"))
+    return _running_events(spark, sf, "q_stream_distinct", [[run_sum("is_new", "distinct_users")]],
+                           lambda s: s.select("event_id", "event_type", "user_id"),
+                           flags="user_id")
 
 
-def _chunks(spark, sf, name, text=False):
-    def plan(s):
-        s = s.select("event_id", "user_id", cents("value").alias("cents"))
-        return count_chunk_stream(s, "user_id", "event_id", "cents", 10, scale=2, text=text)
-    return _events_replay(spark, sf, name, plan)
+def _chunks(spark, sf, name, key, plan, emit, n=10):
+    base = shared_dir(spark, "stream-out", name)
+    writer = chunk_writer(spark, key, "event_id", n, emit, base, bucket_width(spark))
+    _events_replay(spark, sf, name, plan, foreach_batch=writer)
+    return spark.read.parquet(f"{base}/out").drop("epoch")
 
 
 @query("q_stream_count_chunk", ORACLE["q_count_chunk_sum"])
 def q_stream_count_chunk(spark, sf):
-    """ST-1 as a stream: sum of every 10 values per key (value + count state)."""
-    out = _chunks(spark, sf, "q_stream_count_chunk")
-    return out.select("user_id", "chunk_no", money(F.col("total")).alias("total"))
+    """ST-1 as a stream: sum of every 10 values per key."""
+    return _chunks(spark, sf, "q_stream_count_chunk", "user_id",
+                   lambda s: s.select("event_id", "user_id", cents("value").alias("cents")),
+                   lambda d: d.groupBy("user_id", "chunk_no").agg(
+                       money(F.sum("cents")).alias("total")))
 
 
 @query("q_stream_count_chunk_list", ORACLE["q_count_chunk_list"])
 def q_stream_count_chunk_list(spark, sf):
-    """ST-2 as a stream: the 10 values as text and their sum (list state)."""
-    out = _chunks(spark, sf, "q_stream_count_chunk_list", text=True)
-    return out.select("user_id", "chunk_no", "values_text", money(F.col("total")).alias("total"))
+    """ST-2 as a stream: the 10 values as text and their sum."""
+    def emit(d):
+        v = F.sort_array(F.collect_list(F.struct("event_id", "dec")))
+        g = d.groupBy("user_id", "chunk_no").agg(v.alias("v"), F.sum("dec").alias("t"))
+        return g.select("user_id", "chunk_no", F.concat(F.lit(" "), F.array_join(
+            F.transform("v", lambda x: x["dec"].cast("string")), " ")).alias("values_text"),
+            F.col("t").cast("double").alias("total"))
+    return _chunks(spark, sf, "q_stream_count_chunk_list", "user_id", lambda s: s.select(
+        "event_id", "user_id", F.col("value").cast("decimal(18,2)").alias("dec")), emit)
 
 
 @query("q_stream_count_chunk_reduce", ORACLE["q_count_chunk_reduce"])
 def q_stream_count_chunk_reduce(spark, sf):
     """ST-3 as a stream: every 10 (key, value) pairs of an event type folded by
     the sum reducer; the hot keys are the 5 event types."""
-    def plan(s):
-        return count_chunk_stream(s.select("event_id", "event_type", "user_id"),
-                                  "event_type", "event_id", "user_id", 10)
-    out = _events_replay(spark, sf, "q_stream_count_chunk_reduce", plan)
-    return out.select("event_type", "chunk_no", "total")
+    return _chunks(spark, sf, "q_stream_count_chunk_reduce", "event_type",
+                   lambda s: s.select("event_id", "event_type", "user_id"),
+                   lambda d: d.groupBy("event_type", "chunk_no").agg(
+                       F.sum("user_id").alias("total")))
+
+
+def _bucketed(s):
+    return s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"))
 
 
 @query("q_stream_fixed_batches", ORACLE["q_fixed_batches"])
 def q_stream_fixed_batches(spark, sf):
-    """SNK-6 as a stream: batches of exactly 100 per buffer; the rest stays in state."""
-    def plan(s):
-        s = s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"),
-                     F.lit(0).cast("long").alias("zero"))
-        return count_chunk_stream(s, "bucket", "event_id", "zero", 100)
-    out = _events_replay(spark, sf, "q_stream_fixed_batches", plan)
-    return out.select("bucket", F.col("chunk_no").alias("batch_no"), F.col("n").alias("n_rows"),
-                      F.col("first_seq").alias("first_event_id"),
-                      F.col("last_seq").alias("last_event_id"))
+    """SNK-6 as a stream: batches of exactly 100 per buffer; the rest waits."""
+    return _chunks(spark, sf, "q_stream_fixed_batches", "bucket", _bucketed,
+                   lambda d: d.groupBy("bucket", F.col("chunk_no").alias("batch_no")).agg(
+                       F.count(F.lit(1)).alias("n_rows"),
+                       F.min("event_id").alias("first_event_id"),
+                       F.max("event_id").alias("last_event_id")), 100)
 
 
 @query("q_stream_released_rows", f"""
@@ -194,14 +248,10 @@ SELECT r.bucket, r.batch_no, r.event_id FROM r JOIN t USING (bucket)
 WHERE r.batch_no < t.full_batches""")
 def q_stream_released_rows(spark, sf):
     """SNK-6 as a stream, row form: every row released in a batch of exactly 100
-    per buffer, with its batch number; the incomplete remainder stays buffered."""
-    def plan(s):
-        s = s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"),
-                     F.col("event_id").alias("payload"))
-        return release_batches_stream(s, "bucket", "event_id", "payload", 100)
-    out = _events_replay(spark, sf, "q_stream_released_rows", plan)
-    return out.select("bucket", F.col("chunk_no").alias("batch_no"),
-                      F.col("seq").alias("event_id"))
+    per buffer, with its batch number; the incomplete remainder waits."""
+    return _chunks(spark, sf, "q_stream_released_rows", "bucket", _bucketed,
+                   lambda d: d.select("bucket", F.col("chunk_no").alias("batch_no"), "event_id"),
+                   100)
 
 
 @query("q_released_rows", ORACLE.get("q_stream_released_rows") or "")
@@ -277,6 +327,53 @@ def q_stream_session(spark, sf):
                       money(F.col("total")).alias("total_value"))
 
 
+def _disorder_sql(slices: int = 4, gap: str = "INTERVAL 10 MINUTE", late: str = "INTERVAL 3 DAY"):
+    """The same arrivals step by step: slice p of the events (event_id modulo
+    ``slices``) meets the sessions still open, what ended before the watermark
+    of the slices before it is dropped, what the next watermark passes is out."""
+    steps = [f"""a AS (SELECT event_id, ts, CAST(ROUND(value * 100) AS BIGINT) AS c,
+      event_id % {slices} AS p FROM events),
+    open0 AS (SELECT ts AS s, ts AS e, 0 AS n, c, event_id AS i FROM a WHERE false)"""]
+    for p in range(slices):
+        mark = lambda k: f"(SELECT max(ts) - {late} FROM a WHERE p < {k})"
+        last = p == slices - 1
+        steps.append(f"""
+    in{p} AS (SELECT ts AS s, ts AS e, 1 AS n, c, event_id AS i FROM a WHERE p = {p}
+      UNION ALL SELECT * FROM open{p}),
+    far{p} AS (SELECT *, max(e) OVER (ORDER BY s, i ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING) AS reach FROM in{p}),
+    isl{p} AS (SELECT *, sum(CASE WHEN reach IS NULL OR s - reach > {gap} THEN 1 ELSE 0 END)
+      OVER (ORDER BY s, i ROWS UNBOUNDED PRECEDING) AS g FROM far{p}),
+    ses{p} AS (SELECT * FROM (SELECT min(s) AS s, max(e) AS e, sum(n) AS n, sum(c) AS c,
+      min(i) AS i FROM isl{p} GROUP BY g)
+      WHERE {mark(p)} IS NULL OR e + {gap} >= {mark(p)}),
+    done{p} AS (SELECT * FROM ses{p} WHERE {str(last).lower()} OR e + {gap} < {mark(p + 1)}),
+    open{p + 1} AS (SELECT * FROM ses{p} WHERE NOT {str(last).lower()}
+      AND e + {gap} >= {mark(p + 1)})""")
+    found = " UNION ALL ".join(f"SELECT * FROM done{p}" for p in range(slices))
+    return f"""WITH {",".join(steps)}
+    SELECT s AS session_start, e + {gap} AS session_end, CAST(n AS BIGINT) AS n,
+           CAST(c AS DOUBLE) / 100 AS total_value FROM ({found})"""
+
+
+@query("q_stream_session_disorder", _disorder_sql())
+def q_stream_session_disorder(spark, sf):
+    """WIN-7, WM-1, WM-3: sessions of rows that arrive out of order, some within
+    the lateness (3 days) and many behind it."""
+    base = shared_dir(spark, "stream-out", "session_disorder")
+    writer = session_writer(spark, "ts", "10 minutes", "cents", "event_id", "3 days",
+                            f"{base}/state", f"{base}/out")
+    rows = events(spark, sf).select("event_id", "ts", cents("value").alias("cents")) \
+        .withColumn("slice", F.col("event_id") % 4)
+    from datetime import datetime
+    replay(spark, rows, "slice", 4, "q_stream_session_disorder", lambda s: s,
+           foreach_batch=writer, end_marker={
+               "event_id": END_EVENT_ID, "ts": datetime.fromisoformat(END_OF_INPUT_TS), "cents": 0})
+    out = spark.read.parquet(f"{base}/out")
+    return out.filter(F.col("session_start") < F.lit(END_OF_INPUT_TS).cast("timestamp_ntz")).select(
+        "session_start", "session_end", "n", money(F.col("total")).alias("total_value"))
+
+
 @query("q_stream_session_keyed", """
 WITH o AS (SELECT event_type, ts, event_id, CAST(ROUND(value * 100) AS BIGINT) AS c,
                   LAG(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev_ts
@@ -342,13 +439,9 @@ def q_stream_running_dept_count(spark, sf):
     ex = events(spark, sf).filter((F.col("event_type") == EXCLUDE_TYPE)
                                   & (F.col("value") > EXCLUDE_ABOVE))
 
-    def plan(s):
-        kept = exclude_stream(s.select("event_id", "user_id", "event_type"), ex, "user_id")
-        return running_stream(kept.select("event_id", "event_type",
-                                          F.lit(1).cast("long").alias("one")),
-                              "event_type", "event_id", "one")
-    out = _events_replay(spark, sf, "q_stream_running_dept_count", plan)
-    return out.select("event_id", "event_type", F.col("run_n").alias("running_count"))
+    return _running_events(
+        spark, sf, "q_stream_running_dept_count", [[run_count("running_count")]],
+        lambda s: exclude_stream(s.select("event_id", "user_id", "event_type"), ex, "user_id"))
 
 
 @query("q_stream_excluded_asof", ORACLE["q_excluded_asof"])

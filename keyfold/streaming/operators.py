@@ -4,8 +4,7 @@ Windowed aggregations are Spark's own stateful operators with a watermark
 (``withWatermark`` + ``groupBy(window/session_window)``, append mode: a window
 is emitted once, when the watermark passes its end; state older than the
 watermark is dropped, and so are rows arriving behind it -- WM-1..3).  Per
-record and count-triggered operators use ``transformWithStateInPandas``
-processors.
+record and count-triggered operators are in :mod:`keyfold.streaming.carry`.
 """
 
 from __future__ import annotations
@@ -16,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.streaming.processors import (CountChunks, PreviousWindowChange, RunningDistinct,
-                                          RunningFold, RunningRecord)
+from keyfold.streaming.processors import PreviousWindowChange
 
 
 def _cols(x) -> list[str]:
@@ -36,62 +34,6 @@ def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def running_stream(stream: DataFrame, key, order, value: str, carry=()) -> DataFrame:
-    """Running count/sum/min/max per key, one row per input row."""
-    key, order, carry = _cols(key), _cols(order), list(carry)
-    schema = T.StructType(_field_types(stream, key + order + carry) + [
-        T.StructField(n, T.LongType()) for n in ("run_n", "run_sum", "run_min", "run_max")])
-    return stream.groupBy(*key).transformWithStateInPandas(
-        RunningFold(key, order, value, carry), schema, "Append", "None")
-
-
-def running_record_stream(stream: DataFrame, key, seq: str, value: str, payload: str
-                          ) -> DataFrame:
-    """RUN-1/3/5: first record's payload and the records holding the running
-    min / max of an integral ``value`` (earliest wins ties), per input row."""
-    key = _cols(key)
-    schema = T.StructType(_field_types(stream, key + [seq]) + [
-        T.StructField(n, T.LongType()) for n in (
-            "run_n", "run_sum", "first_payload", "min_value", "min_seq", "min_payload",
-            "max_value", "max_seq", "max_payload")])
-    return stream.groupBy(*key).transformWithStateInPandas(
-        RunningRecord(key, seq, value, payload), schema, "Append", "None")
-
-
-def running_distinct_stream(stream: DataFrame, key, order, member: str) -> DataFrame:
-    """RUN-13: running number of distinct ``member`` values per key."""
-    key, order = _cols(key), _cols(order)
-    schema = T.StructType(_field_types(stream, key + order)
-                          + [T.StructField("distinct_n", T.LongType())])
-    return stream.groupBy(*key).transformWithStateInPandas(
-        RunningDistinct(key, order, member), schema, "Append", "None")
-
-
-def count_chunk_stream(stream: DataFrame, key, seq: str, value: str, n: int,
-                       scale: int = 0, text: bool = False) -> DataFrame:
-    """ST-1..3 / SNK-6: groups of exactly ``n`` arrivals per key (``text``: also
-    the values as text, each after one space, ``scale`` decimals)."""
-    key = _cols(key)
-    schema = T.StructType(_field_types(stream, key) + [
-        T.StructField("chunk_no", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("first_seq", T.LongType()), T.StructField("last_seq", T.LongType()),
-        T.StructField("total", T.LongType()), T.StructField("values_text", T.StringType())])
-    return stream.groupBy(*key).transformWithStateInPandas(
-        CountChunks(key, seq, value, n, scale, text=text), schema, "Append", "None")
-
-
-def release_batches_stream(stream: DataFrame, bucket, seq: str, value: str, n: int) -> DataFrame:
-    """SNK-6 on a stream: buffer rows per bucket (list state, at most n - 1
-    kept) and release them in batches of exactly ``n``, each row tagged with
-    its ``chunk_no``; the buffer survives restarts through the checkpoint."""
-    key = _cols(bucket)
-    schema = T.StructType(_field_types(stream, key) + [
-        T.StructField("chunk_no", T.LongType()), T.StructField("seq", T.LongType()),
-        T.StructField("v", T.LongType())])
-    return stream.groupBy(*key).transformWithStateInPandas(
-        CountChunks(key, seq, value, n, rows=True), schema, "Append", "None")
-
-
 def tumbling_stream(stream: DataFrame, ts: str, size: str, key, aggs,
                     slide: str | None = None) -> DataFrame:
     """WIN-1..3/6 on a watermarked stream (append: each window once)."""
@@ -138,7 +80,8 @@ def session_stream(stream: DataFrame, ts: str, gap: str, aggs, key=None) -> Data
 
 
 def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str,
-                   state_dir: str, out_dir: str, key: str | None = None):
+                   state_dir: str, out_dir: str, key: str | None = None,
+                   partitions: int | None = None):
     """WIN-7 on a stream without one task per micro-batch, as a ``foreachBatch``
     function.
 
@@ -146,13 +89,15 @@ def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str
     session would put each micro-batch in one task.  Here every micro-batch
     is sessionised by the distributed batch operator instead:
 
-    1. rows behind the previous watermark (max event time - ``lateness``) are
-       dropped as late;
-    2. the open sessions of the previous epoch (segments) and the new rows are
+    1. the open sessions of the previous epoch (segments) and the new rows are
        merged by :func:`keyfold.operators.sessions.session_segments` (range
        partitioning + one ordered pass + edge stitching);
-    3. sessions whose end (last event + gap) the new watermark has passed are
-       emitted, the rest are written back as the next epoch's open state.
+    2. a merged session that ended (last event + gap) before the previous
+       watermark (max event time - ``lateness``) holds late rows only -- every
+       open session ends after it -- and is dropped: a row is late when its
+       window, merged with what it touches, has already expired;
+    3. sessions whose end the new watermark has passed are emitted, the rest are
+       written back as the next epoch's open state.
 
     State, output and the max event time are written to one folder per epoch
     under the shared checkpoint folder (overwritten on a retry), so a
@@ -177,16 +122,18 @@ def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str
                             F.col(seq).cast("long").alias("_seq")).persist()
         sess = None
         try:
-            fresh = rows.filter(F.col("t") >= F.lit(max_prev - late_us))  # late rows dropped
-            segs = fresh.select("skey", "t", F.col("t").alias("t2"),
-                                F.lit(1).cast("long").alias("c"), "v", "_seq") \
-                        .unionByName(prev)
-            sess = session_segments(segs, gap).persist()
+            segs = rows.select("skey", "t", F.col("t").alias("t2"),
+                               F.lit(1).cast("long").alias("c"), "v", "_seq") \
+                       .unionByName(prev)
+            end = F.col("s_last") + F.lit(gap_us)
+            sess = session_segments(segs, gap, partitions, reaching=True) \
+                .filter(end >= F.lit(max_prev - late_us)).persist()
             seen = rows.agg(F.max("t")).first()[0]
             max_now = max(max_prev, seen if seen is not None else max_prev)
-            done = (F.col("s_last") + F.lit(gap_us)) < F.lit(max_now - late_us)
+            done = end < F.lit(max_now - late_us)
             sess.filter(done).select(
-                *([F.col("skey").alias(key)] if key is not None else []),
+                *([F.col("skey").cast(batch.schema[key].dataType).alias(key)]
+                  if key is not None else []),
                 _from_micros(F.col("s_start")).alias("session_start"),
                 _from_micros(F.col("s_last") + F.lit(gap_us)).alias("session_end"),
                 "n", "total").write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")

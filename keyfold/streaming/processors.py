@@ -1,15 +1,11 @@
-"""``transformWithStateInPandas`` processors for the per-record and
-count-triggered operators.
+"""``transformWithStateInPandas`` processor chained behind a windowed aggregate.
 
-Each keeps O(1) or O(n) state per key (n = group size), never the key's
-history.  Rows of one key inside one micro-batch are ordered by the sequence
-columns before folding; micro-batches arrive in sequence order (the stream's
-arrival order).  All folds over a batch are vectorised with numpy.
+It sees one row per key and window, so what a task holds of a key in one
+micro-batch is bounded by the windows that close in it; state is O(1) per key.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -26,134 +22,6 @@ def _frame(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
 
 
-class RunningFold(StatefulProcessor):
-    """RUN-1/2/4/6/7/11: running count, sum, min and max of an integral value
-    per key, one output row per input row."""
-
-    def __init__(self, key: Sequence[str], order: Sequence[str], value: str,
-                 carry: Sequence[str] = ()):
-        self.key, self.order, self.value, self.carry = list(key), list(order), value, list(carry)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "n long, s long, mn long, mx long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, self.order)
-        v = pdf[self.value].to_numpy(dtype=np.int64)
-        if self.acc.exists():
-            n0, s0, mn0, mx0 = self.acc.get()
-        else:
-            n0, s0, mn0, mx0 = 0, 0, None, None
-        n = n0 + np.arange(1, len(v) + 1, dtype=np.int64)
-        s = s0 + np.cumsum(v)
-        mn = np.minimum.accumulate(v)
-        mx = np.maximum.accumulate(v)
-        if mn0 is not None:
-            mn = np.minimum(mn, mn0)
-            mx = np.maximum(mx, mx0)
-        self.acc.update((int(n[-1]), int(s[-1]), int(mn[-1]), int(mx[-1])))
-        out = pdf[self.key + self.order + self.carry].copy()
-        out["run_n"], out["run_sum"], out["run_min"], out["run_max"] = n, s, mn, mx
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
-class RunningDistinct(StatefulProcessor):
-    """RUN-13: running number of distinct members per key (a set in map state,
-    each member stored once), one output row per input row."""
-
-    def __init__(self, key: Sequence[str], order: Sequence[str], member: str):
-        self.key, self.order, self.member = list(key), list(order), member
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "member long", "flag boolean")
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, self.order)
-        members = pdf[self.member].to_numpy(dtype=np.int64)
-        first_in_batch = ~pd.Series(members).duplicated().to_numpy()
-        new = first_in_batch.copy()
-        for i in np.flatnonzero(first_in_batch):
-            m = (int(members[i]),)
-            if self.seen.containsKey(m):
-                new[i] = False
-            else:
-                self.seen.updateValue(m, (True,))
-        c0 = self.count.get()[0] if self.count.exists() else 0
-        run = c0 + np.cumsum(new.astype(np.int64))
-        self.count.update((int(run[-1]),))
-        out = pdf[self.key + self.order].copy()
-        out["distinct_n"] = run
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
-def _decimal_text(units: int, scale: int) -> str:
-    return str(Decimal(int(units)).scaleb(-scale)) if scale else str(int(units))
-
-
-class CountChunks(StatefulProcessor):
-    """ST-1/2/3 and SNK-6: every ``n`` arrivals of a key form a group; emit
-    its number, size, first/last sequence, sum and value text; keep at most
-    ``n - 1`` pending values across micro-batches (and restarts)."""
-
-    def __init__(self, key: Sequence[str], seq: str, value: str, n: int, scale: int = 0,
-                 rows: bool = False, text: bool = False):
-        self.key, self.seq, self.value, self.n, self.scale = list(key), seq, value, n, scale
-        self.rows = rows  # release the member rows (seq, v, chunk_no) instead of summaries
-        self.text = text  # build the " v1 v2 ..." text of each group
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getListState("pending", "seq long, v long")
-        self.next_no = handle.getValueState("next_no", "chunk_no long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)[[self.seq, self.value]]
-        pdf.columns = ["seq", "v"]
-        if self.pending.exists():
-            old = pd.DataFrame(list(self.pending.get()), columns=["seq", "v"])
-            pdf = pd.concat([old, pdf], ignore_index=True)
-        pdf = pdf.sort_values("seq", kind="stable").reset_index(drop=True)
-        full = len(pdf) // self.n
-        base = self.next_no.get()[0] if self.next_no.exists() else 0
-        if full and self.rows:
-            body = pdf.iloc[: full * self.n].copy()
-            body.insert(0, "chunk_no", base + np.arange(len(body), dtype=np.int64) // self.n)
-            for i, k in enumerate(self.key):
-                body.insert(i, k, key[i])
-            self.next_no.update((int(base + full),))
-            yield body
-        elif full:
-            # fixed-size groups of sorted rows: a reshape, no per-group Python
-            seqs = pdf["seq"].to_numpy(dtype=np.int64)[: full * self.n].reshape(full, self.n)
-            vals = pdf["v"].to_numpy(dtype=np.int64)[: full * self.n].reshape(full, self.n)
-            out = pd.DataFrame({
-                "chunk_no": base + np.arange(full, dtype=np.int64),
-                "n": np.full(full, self.n, dtype=np.int64),
-                "first_seq": seqs[:, 0], "last_seq": seqs[:, -1],
-                "total": vals.sum(axis=1),
-                "values_text": ([" " + " ".join(_decimal_text(x, self.scale) for x in row)
-                                 for row in vals] if self.text else None),
-            })
-            for i, k in enumerate(self.key):
-                out.insert(i, k, key[i])
-            self.next_no.update((int(base + full),))
-            yield out
-        rest = pdf.iloc[full * self.n:]
-        if len(rest):
-            self.pending.put([(int(a), int(b)) for a, b in zip(rest["seq"], rest["v"])])
-        else:
-            self.pending.clear()
-
-    def close(self) -> None:
-        pass
-
-
 class PreviousWindowChange(StatefulProcessor):
     """WIN-9 / ST-4: change of each window's max price and max volume against
     the key's previous (non-empty) window, 0.0 when there is none."""
@@ -169,7 +37,7 @@ class PreviousWindowChange(StatefulProcessor):
         price = pdf["max_price"].to_numpy(dtype=np.float64)
         vol = pdf["max_volume"].to_numpy(dtype=np.float64)
         if self.prev.exists():
-            p0, v0 = self.prev.get()
+            p0, v0 = [np.nan if x is None else x for x in self.prev.get()]
         else:
             p0, v0 = np.nan, np.nan
         pp = np.concatenate([[p0], price[:-1]])
@@ -177,67 +45,11 @@ class PreviousWindowChange(StatefulProcessor):
         with np.errstate(divide="ignore", invalid="ignore"):
             pc = np.where(np.isnan(pp) | (pp == 0), 0.0, (price - pp) / pp * 100.0)
             vc = np.where(np.isnan(pv) | (pv == 0), 0.0, (vol - pv) / pv * 100.0)
-        self.prev.update((float(price[-1]), int(vol[-1])))
+        self.prev.update((None if np.isnan(price[-1]) else float(price[-1]),
+                          None if np.isnan(vol[-1]) else int(vol[-1])))
         out = pdf[self.columns].copy()
         out["price_change_pct"], out["volume_change_pct"] = pc, vc
         yield out
 
     def close(self) -> None:
         pass
-
-
-class RunningRecord(StatefulProcessor):
-    """RUN-1/3/5: per key and per row, the running count and sum, the first
-    record's payload and the records holding the running minimum / maximum of
-    ``value`` (earliest wins ties).  State: the current winners, O(1) per key."""
-
-    _STATE = ("first_p long, mn_v long, mn_s long, mn_p long, "
-              "mx_v long, mx_s long, mx_p long, n long, s long")
-
-    def __init__(self, key: Sequence[str], seq: str, value: str, payload: str):
-        self.key, self.seq, self.value, self.payload = list(key), seq, value, payload
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", self._STATE)
-
-    @staticmethod
-    def _winner(v, s, p, better, carry):
-        """Running winner (value, seq, payload) per row; a row replaces the
-        winner only when strictly better, so the earliest record wins ties."""
-        acc = np.minimum.accumulate if better == "min" else np.maximum.accumulate
-        if carry is None:
-            prev = np.concatenate([[v[0]], acc(v)[:-1]])
-        else:
-            prev = acc(np.concatenate([[carry[0]], v]))[:-1]
-        new = (v < prev) if better == "min" else (v > prev)
-        if carry is None:
-            new[0] = True
-        w = np.maximum.accumulate(np.where(new, np.arange(len(v)), -1))
-        at = np.maximum(w, 0)
-        c = carry or (0, 0, 0)
-        return (np.where(w >= 0, v[at], c[0]), np.where(w >= 0, s[at], c[1]),
-                np.where(w >= 0, p[at], c[2]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, [self.seq])
-        v = pdf[self.value].to_numpy(dtype=np.int64)
-        s = pdf[self.seq].to_numpy(dtype=np.int64)
-        p = pdf[self.payload].to_numpy(dtype=np.int64)
-        st = self.best.get() if self.best.exists() else None
-        first = st[0] if st else int(p[0])
-        mn = self._winner(v, s, p, "min", (st[1], st[2], st[3]) if st else None)
-        mx = self._winner(v, s, p, "max", (st[4], st[5], st[6]) if st else None)
-        n = (st[7] if st else 0) + np.arange(1, len(v) + 1, dtype=np.int64)
-        tot = (st[8] if st else 0) + np.cumsum(v)
-        self.best.update((int(first), int(mn[0][-1]), int(mn[1][-1]), int(mn[2][-1]),
-                          int(mx[0][-1]), int(mx[1][-1]), int(mx[2][-1]),
-                          int(n[-1]), int(tot[-1])))
-        out = pdf[self.key + [self.seq]].copy()
-        out["run_n"], out["run_sum"] = n, tot
-        out["first_payload"] = np.full(len(pdf), first, dtype=np.int64)
-        out["min_value"], out["min_seq"], out["min_payload"] = mn
-        out["max_value"], out["max_seq"], out["max_payload"] = mx
-        yield out
-
-    def close(self) -> None:
-        pass

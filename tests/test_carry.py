@@ -1,0 +1,123 @@
+"""Running and count-triggered operators on streams: types, nulls, hot keys, order."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyfold.operators.running import (run_count, run_first, run_max, run_min, run_min_by, run_sum,
+                                       running)
+from keyfold.operators.sessions import session_segments, session_windows
+from keyfold.session import shared_dir
+from keyfold.streaming.carry import chunk_writer, distinct_flags, running_writer
+from keyfold.streaming.operators import session_writer
+
+
+def _play(writer, *batches):
+    for epoch, b in enumerate(batches):
+        writer(b, epoch)
+        writer(b, epoch)  # a repeated epoch writes the same again
+
+
+def test_strings_doubles_and_nulls_as_in_batch(spark):
+    rows = [(1, "a", 2.5, "x"), (2, "a", None, "y"), (3, None, 1.0, None), (4, "a", 2.5, "z"),
+            (5, None, None, "q"), (6, "a", -1.0, None), (7, "b", None, "n")]
+    df = spark.createDataFrame(rows, "s long, k string, v double, p string")
+    aggs = [run_sum("v", "t"), run_count("n"), run_min("v", "lo"), run_max("v", "hi"),
+            run_first("s", ["p"], "first_"), run_min_by("v", "s", ["p", "v"], "min_")]
+    base = shared_dir(spark, "carry")
+    _play(running_writer(spark, "k", "s", [aggs], ["s", "k"], base, 2),
+          df.filter("s < 3"), df.filter("s >= 3 and s < 6"), df.filter("s >= 6"))
+    cols = ["s", "k", "t", "n", "lo", "hi", "first_p", "min_p", "min_v"]
+    got = spark.read.parquet(f"{base}/out").select(cols)
+    want = running(df, "k", "s", aggs).select(cols)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert {r.s: r.t for r in got.collect()}[4] == 5.0
+
+
+def test_distinct_strings(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.choice("ab"), rng.choice(["u", "v", "w", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "s long, k string, m string")
+    base = shared_dir(spark, "carry")
+    _play(running_writer(spark, "k", "s", [[run_sum("is_new", "n")]], ["s", "k"], base, 7,
+                         distinct_flags(spark, "k", "s", "m", base)),
+          df.filter("s < 20"), df.filter("s >= 20"))
+    seen, want = {"a": set(), "b": set()}, {}
+    for s, k, m in rows:
+        seen[k] |= {m} - {None}
+        want[s] = len(seen[k])
+    assert {r.s: r.n for r in spark.read.parquet(f"{base}/out").collect()} == want
+
+
+def test_a_hot_key_spreads_over_tasks(spark):
+    df = spark.range(4000).select(F.col("id").alias("s"), (F.col("id") % 2 == 0).alias("k"))
+    out = running(df.repartition(3), "k", "s", [run_count("n")], 100)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = out.filter("k").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert tasks >= 3
+
+
+def test_chunks_wait_across_epochs(spark):
+    df = spark.range(50).select(F.col("id").alias("s"), (F.col("id") % 3).alias("k"))
+    base = shared_dir(spark, "carry")
+    _play(chunk_writer(spark, "k", "s", 4, lambda d: d.groupBy("k", "chunk_no").agg(
+        F.array_sort(F.collect_list("s")).alias("v")), base, 5),
+        df.filter("s < 2"), df.filter("s >= 2 and s < 31"), df.filter("s >= 31"))
+    got = {(r.k, r.chunk_no): r.v for r in spark.read.parquet(f"{base}/out").collect()}
+    want = {}
+    for k in range(3):
+        own = [s for s in range(50) if s % 3 == k]
+        want |= {(k, i // 4): own[i:i + 4] for i in range(0, len(own) - len(own) % 4, 4)}
+    assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 16])
+def test_a_long_segment_takes_in_what_it_covers(spark, parts):
+    s = 1_000_000
+    rows = [("", 0, 100 * s, 2, 0, 0)] + [("", t * s, t * s, 1, 1, t) for t in (5, 20, 40, 60, 80)] \
+        + [("", 130 * s, 130 * s, 1, 1, 9)]
+    segs = spark.createDataFrame(rows, "skey string, t long, t2 long, c long, v long, _seq long")
+    got = [(r.s_start, r.s_last, r.n) for r in
+           session_segments(segs, "10 seconds", parts, reaching=True).collect()]
+    assert sorted(got) == [(0, 100 * s, 7), (130 * s, 130 * s, 1)]
+
+
+def _sessions(spark, batches, lateness, parts=None):
+    base = shared_dir(spark, "late")
+    w = session_writer(spark, "ts", "10 seconds", "v", "s", lateness, f"{base}/state",
+                       f"{base}/out", partitions=parts)
+    n = 0
+    for epoch, times in enumerate([*batches, [10_000_000]]):
+        rows = [(n + i, t, 1) for i, t in enumerate(times)]
+        n += len(rows)
+        w(spark.createDataFrame(rows, "s long, t long, v long").select(
+            "s", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "v"), epoch)
+    return sorted((r.session_start.timestamp(), r.session_end.timestamp(), r.n) for r in
+                  spark.read.parquet(f"{base}/out").collect())
+
+
+def test_a_row_whose_window_is_open_is_not_late(spark):
+    # watermark 20 s: the row at 15 s ends at 25 s and joins 20 s; 4 s is late
+    out = _sessions(spark, [[0, 20], [15, 4]], "0 seconds")
+    assert [(b - a, n) for a, b, n in out][-1] == (15.0, 2) and sum(n for _, _, n in out) == 3
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 16])
+def test_rows_within_the_lateness_join_one_session(spark, parts):
+    inside = [random.Random(3).randrange(2000) for _ in range(80)]
+    out = _sessions(spark, [list(range(0, 2001, 5)), inside], "1 hour", parts)
+    assert [n for _, _, n in out] == [481]
+
+
+def test_session_keys_keep_their_type_and_totals_are_whole(spark):
+    df = spark.createDataFrame([(1, 7, 3), (2, 7, 4)], "s long, k long, v long").select(
+        "*", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    out = session_windows(df, "ts", "10 seconds", "v", "s", key="k").collect()
+    assert [(r.k, r.n, r.total) for r in out] == [(7, 2, 7)]
+    with pytest.raises(TypeError):
+        session_windows(df, "ts", "10 seconds", F.col("v") * 0.5, "s")

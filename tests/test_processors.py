@@ -1,66 +1,34 @@
-"""Stream processors driven directly with an in-memory state handle (no Spark)."""
+"""The window-change processor driven with an in-memory state handle (no Spark)."""
 
 import pandas as pd
 
-from keyfold.streaming.processors import CountChunks, RunningFold, RunningRecord
+from keyfold.streaming.processors import PreviousWindowChange
 
 
 class _State:
-    def __init__(self):
-        self.v = None
+    v = None
 
     def exists(self):
         return self.v is not None
 
     def get(self):
-        return iter(self.v) if isinstance(self.v, list) else self.v
+        return self.v
 
     def update(self, t):
         self.v = t
 
-    def put(self, rows):
-        self.v = list(rows)
-
-    def clear(self):
-        self.v = None
-
 
 class _Handle:
     def getValueState(self, name, schema):
         return _State()
 
-    def getListState(self, name, schema):
-        return _State()
-
-
-def _run(proc, *batches):
-    proc.init(_Handle())
-    out = []
-    for b in batches:
-        out += list(proc.handleInputRows((1,), iter([b]), None))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame()
-
-
-def _batch(seqs, vals):
-    return pd.DataFrame({"seq": seqs, "k": [1] * len(seqs), "v": vals, "p": [10 + s for s in seqs]})
-
-
-def test_running_record_across_batches_and_ties():
-    # batch 2 arrives unsorted; value 20 ties at seq 4 and 6 -> earliest (4) wins
-    out = _run(RunningRecord(["k"], "seq", "v", "p"),
-               _batch([1, 2, 3], [50, 30, 40]), _batch([6, 4, 5], [20, 20, 60]))
-    out = out.sort_values("seq")
-    assert out.min_seq.tolist() == [1, 2, 2, 4, 4, 4]
-    assert out.max_seq.tolist() == [1, 1, 1, 1, 5, 5]
-    assert out.first_payload.tolist() == [11] * 6
-    assert out.run_sum.tolist() == [50, 80, 120, 140, 200, 220]
-
 
-def test_running_fold_and_count_chunks():
-    out = _run(RunningFold(["k"], ["seq"], "v"), _batch([1, 2], [5, -1]), _batch([3], [7]))
-    assert out.run_sum.tolist() == [5, 4, 11] and out.run_min.tolist() == [5, -1, -1]
-    chunks = _run(CountChunks(["k"], "seq", "v", 2, scale=2, text=True),
-                  _batch([1, 2, 3], [100, 205, 7]), _batch([4, 5], [1, 1]))
-    assert chunks.total.tolist() == [305, 8]
-    assert chunks.values_text.tolist() == [" 1.00 2.05", " 0.07 0.01"]
-    assert chunks.chunk_no.tolist() == [0, 1]
+def test_change_goes_on_over_windows_without_volume():
+    p = PreviousWindowChange(["k"], ["window_start"])
+    p.init(_Handle())
+    frame = lambda w, price, vol: pd.DataFrame(
+        {"window_start": w, "max_price": price, "max_volume": vol})
+    a = next(p.handleInputRows((1,), iter([frame([2, 1], [20.0, 10.0], [None, 5])]), None))
+    assert a.price_change_pct.tolist() == [0.0, 100.0] and a.volume_change_pct.isna().tolist() == [False, True]
+    b = next(p.handleInputRows((1,), iter([frame([3], [10.0], [8])]), None))
+    assert b.price_change_pct.tolist() == [-50.0] and b.volume_change_pct.tolist() == [0.0]

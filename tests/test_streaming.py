@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from keyfold.session import shared_dir
-from keyfold.streaming.operators import (count_chunk_stream, event_time, session_stream,
+from keyfold.streaming.carry import chunk_writer
+from keyfold.streaming.operators import (event_time, session_stream,
                                          tumbling_stream)
 from keyfold.streaming.runner import dropped_by_watermark, file_stream, run_available_now
 
@@ -48,9 +49,11 @@ def test_restart_from_checkpoint_continues(spark):
     schema = "seq long, key long, v long"
 
     def run():
-        s = file_stream(spark, src, schema)
-        return run_available_now(count_chunk_stream(s, "key", "seq", "v", 10), "restart",
-                                 checkpoint=ckpt, out=out)
+        run_available_now(file_stream(spark, src, schema), "restart", checkpoint=ckpt,
+                          foreach_batch=chunk_writer(
+                              spark, "key", "seq", 10, lambda d: d.groupBy("key", "chunk_no")
+                              .agg(F.sum("v").alias("total")), out, 4))
+        return spark.read.parquet(f"{out}/out")
 
     first = run().count()
     _pairs_file(spark, src, rows[40:])  # new data after the stop

@@ -5,8 +5,9 @@ from keyfold.functions.parse import parse_sales
 from keyfold.session import shared_dir
 from keyfold.sinks import run_to_files
 from keyfold.sources.text import line_stream
-from keyfold.streaming.operators import (exclude_stream_dynamic, processing_time_windows,
-                                         running_stream)
+from keyfold.operators.running import run_count, run_sum
+from keyfold.streaming.carry import running_writer
+from keyfold.streaming.operators import exclude_stream_dynamic, processing_time_windows
 from keyfold.streaming.runner import run_available_now
 
 
@@ -20,9 +21,12 @@ def test_text_line_stream_running_average_golden(spark):
     # SRC-2: the same stream of lines; the replay carries its line number
     s = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).json(src)
     good, _bad = parse_sales(s)
-    r = running_stream(good, "month", "seq", "profit")
-    out = run_available_now(r, "golden_avg").orderBy("seq").collect()
-    assert [(x.month, x.run_sum / x.run_n) for x in out] == RUNNING_AVG_FIRST8
+    base = shared_dir(spark, "golden")
+    run_available_now(good, "golden_avg", foreach_batch=running_writer(
+        spark, "month", "seq", [[run_sum("profit", "s"), run_count("n")]], ["seq", "month"],
+        base, 3))
+    out = spark.read.parquet(f"{base}/out").orderBy("seq").collect()
+    assert [(x.month, x.s / x.n) for x in out] == RUNNING_AVG_FIRST8
 
 
 def test_text_source_reads_lines(spark, tmp_path):
