@@ -121,7 +121,7 @@ def test_session_writer_spans_batches_and_drops_late_rows(spark):
     pieces = [
         [(1, t0, 1), (2, t0 + timedelta(seconds=8), 1)],            # session A opens
         [(3, t0 + timedelta(seconds=15), 1)],                        # A continues in batch 2
-        [(4, t0 + timedelta(seconds=2), 1),                          # late: dropped
+        [(4, t0 - timedelta(seconds=30), 1),                         # late: dropped
          (5, t0 + timedelta(seconds=60), 1)],                        # B opens, closes A
         [(6, t0 + timedelta(days=1), 0)],                            # closes B
     ]
