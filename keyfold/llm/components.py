@@ -26,11 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # read from a table, the minima do not tie the edges to their own partitioning,
+        # and Spark may split the edges of one node over tasks
+        low = written(both.groupBy("u").agg(F.min("v").alias("m"))
+                      .select("u", F.least("u", "m").alias("m")), "components-low")
         large = (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"),
                                                             F.col("m").alias("v"))).distinct()
         large = written(large, "components")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"),
                                                              F.col("m").alias("v"))
         e = written(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "components")

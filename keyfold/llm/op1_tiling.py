@@ -247,6 +247,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text",
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
     found = leaks(docs.select(key.alias("_key"), F.col(text).alias("text")), items,
                   doc_id="_key", text="text", **kw).select("_key").distinct()
+    found = written(found, "tiling-found")
     return keyed.join(found, "_key", "left_anti").select("_row.*")
 
 
