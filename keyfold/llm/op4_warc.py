@@ -1,8 +1,9 @@
 """WARC archives and their index, merged to globally ordered capture histories.
 
 ``write_archives`` turns every page into one WARC/1.1 record and lets Spark
-write them as text files whose line end is the record end, so archives land
-wherever Spark can write.  Of records with equal payloads of ``shared`` bytes or
+write them as gzipped text files whose line end is the record end, so archives
+land wherever Spark can write; places in the index are those of the unpacked
+archive.  Of records with equal payloads of ``shared`` bytes or
 more, those of the largest page number carry the payload and all others revisit
 it.  ``read_archives`` reads whole archive files (their size is bounded when
 they are written), walks the records by Content-Length and gives one index entry
@@ -22,6 +23,7 @@ record and gives no entry.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 
@@ -34,7 +36,7 @@ from keyfold.session import pickle_by_value, shared_dir
 
 #: Payloads shorter than this are always written.
 SHARED = 1000
-#: Bytes of an archive file, about; a larger record has a file of its own.
+#: Bytes of an archive before packing, about; a larger record has a file of its own.
 ARCHIVE = 16 << 20
 #: Index entries a merging task holds, about.
 MERGED = 200_000
@@ -53,7 +55,9 @@ def records(pages: DataFrame, page="page_id", url="url", html="html",
     # a payload of any number of copies is one row here, counted before the shuffle
     last = p.filter(F.col("n") >= shared).groupBy("sha").agg(
         F.max("page").alias("of"), F.count(F.lit(1)).alias("k")).filter("k > 1 and of is not null")
-    p = p.join(last.select("sha", "of"), "sha", "left")
+    # read from a table, the counts do not tie the pages to their own partitioning,
+    # and Spark may split the pages of one payload over tasks
+    p = p.join(written(last.select("sha", "of"), "warc-copies"), "sha", "left")
     again = F.col("of").isNotNull() & ~F.col("page").eqNullSafe(F.col("of"))
     stamp = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(
         F.pmod(F.col("page").cast("long"), F.lit(1 << 31)), F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -83,7 +87,7 @@ def write_archives(pages: DataFrame, path: str, archive: int = ARCHIVE, **kw) ->
     each = ((s["b"] or 0) + 500 * s["n"]) / max(1, s["n"])
     per_file = max(1, int(archive / max(1.0, each)))
     (records(pages, **kw).write.option("lineSep", EOL + EOL).option("maxRecordsPerFile", per_file)
-     .text(path))
+     .option("compression", "gzip").text(path))
 
 
 def urlkey(url: str) -> str:
@@ -152,9 +156,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for name, content in zip(b.column(0), b.column(1)):
                 yield _batch(entries(name.as_py().rpartition("/")[2],
-                                     memoryview(content.as_buffer())))
+                                     memoryview(gzip.decompress(content.as_buffer()))))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)
     return files.select("path", "content").mapInArrow(read, ENTRY)
 
 
