@@ -209,6 +209,36 @@ def _exclusive_prefix(totals: DataFrame, aggs: Sequence[RunAgg], width: int,
                                       .alias(f"_c{i}") for i, a in enumerate(aggs)])
 
 
+def running_total_max(df: DataFrame, key, order, value: str, bucket_width: int,
+                      total: str = "run_total", top: str = "run_max_total") -> DataFrame:
+    """RUN-8/12: running total of ``value`` and the running maximum of that total.
+
+    (total, maximum) of a range of rows is a monoid -- the maximum of two ranges
+    is that of the first, or the first's total plus that of the second -- so one
+    bucketed pass gives both: rows are shuffled once by (key, bucket), the
+    buckets' pairs come from that same shuffle, and a window over them (N / width
+    rows per key) gives what each bucket carries in.
+    """
+    key, order = _cols(key), _cols(order)
+    b = df.select("*", F.struct(*[F.col(k) for k in key]).alias("_key"),
+                  F.coalesce(F.expr(f"`{order[0]}` div {int(bucket_width)}"),
+                             F.lit(_NULL_BUCKET)).alias("_bkt"))
+    wl = (Window.partitionBy("_key", "_bkt").orderBy(*order)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = b.withColumn("_ls", F.sum(value).over(wl)).withColumn("_lm", F.max("_ls").over(wl))
+    pairs = local.groupBy("_key", "_bkt").agg(F.sum(value).alias("_s"), F.max("_lm").alias("_m"))
+    before = (Window.partitionBy("_key").orderBy("_bkt")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = pairs.withColumn("_cs", F.sum("_s").over(before))
+    reach = F.coalesce(F.col("_cs") + F.col("_m"), F.col("_m"))
+    carry = carry.select(F.col("_key").alias("_ck"), F.col("_bkt").alias("_cb"), "_cs",
+                         F.max(reach).over(before).alias("_cm"))
+    out = local.join(carry, (F.col("_key") == F.col("_ck")) & (F.col("_bkt") == F.col("_cb")))
+    run = F.coalesce(F.col("_cs") + F.col("_ls"), F.col("_ls"), F.col("_cs"))
+    most = F.greatest("_cm", F.coalesce(F.col("_cs") + F.col("_lm"), F.col("_lm")))
+    return out.select(*[F.col(c) for c in df.columns], run.alias(total), most.alias(top))
+
+
 def first_occurrence_flag(df: DataFrame, cols, order, name: str = "is_first") -> DataFrame:
     """1 on the earliest row (by ``order``) of each ``cols`` combination, else 0.
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from keyfold.operators.exclude import exclude_static
 from keyfold.operators.running import (first_occurrence_flag, run_count, run_first, run_max,
-                                       run_max_by, run_min, run_min_by, run_sum, running)
+                                       run_max_by, run_min, run_min_by, run_sum, running,
+                                       running_total_max)
 from keyfold.plans.registry import (CENTS_SQL, bucket_width, cents, events, money, query,
                                     table)
 
@@ -133,9 +134,9 @@ SELECT event_id, event_type, MAX(clicks) OVER w AS max_clicks
 FROM c WINDOW w AS ({_W.format(k='event_type', s='event_id')})""")
 def q_running_clicks_max(spark, sf):
     """RUN-12: running clicks, then the running max of that count per site."""
-    w = bucket_width(spark)
-    c = running(_ev(spark, sf), "event_type", "event_id", [run_count("clicks")], w)
-    r = running(c, "event_type", "event_id", [run_max("clicks", "max_clicks")], w)
+    e = _ev(spark, sf).withColumn("one", F.lit(1).cast("long"))
+    r = running_total_max(e, "event_type", "event_id", "one", bucket_width(spark),
+                          "clicks", "max_clicks")
     return r.select("event_id", "event_type", "max_clicks")
 
 
@@ -180,10 +181,8 @@ SELECT o_orderkey, o_orderpriority, CAST(t AS DOUBLE) / 100 AS running_total,
 FROM s WINDOW w AS ({_W.format(k='o_orderpriority', s='o_orderkey')})""")
 def q_running_sum_max(spark, sf):
     """RUN-8: running total per key, then the running max of that total."""
-    w = bucket_width(spark)
-    s = running(_orders(spark, sf), "o_orderpriority", "o_orderkey",
-                [run_sum("cents", "_t")], w)
-    r = running(s, "o_orderpriority", "o_orderkey", [run_max("_t", "_m")], w)
+    r = running_total_max(_orders(spark, sf), "o_orderpriority", "o_orderkey", "cents",
+                          bucket_width(spark), "_t", "_m")
     return r.select("o_orderkey", "o_orderpriority",
                     money(F.col("_t")).alias("running_total"),
                     money(F.col("_m")).alias("running_max_total"))

@@ -114,3 +114,21 @@ def test_carry_levels_match_brute_force(spark, levels):
     assert len(r) == 200
     for row in r.itertuples():
         assert (row.s, row.mn) == exp[row.seq]
+
+
+def test_running_maximum_of_a_running_total(spark):
+    import random
+
+    from keyfold.operators.running import running_total_max
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([None, -5, -1, 2, 3])) for i in range(200)]
+    df = spark.createDataFrame(rows, "s long, k string, v long")
+    got = {r.s: (r.run_total, r.run_max_total)
+           for r in running_total_max(df, "k", "s", "v", 16).collect()}
+    total, top = {}, {}
+    for s, k, v in rows:
+        if v is not None:
+            total[k] = total.get(k, 0) + v
+        if k in total:
+            top[k] = max(top.get(k, total[k]), total[k])
+        assert got[s] == (total.get(k), top.get(k))
