@@ -173,7 +173,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id",
     # the bitmap by bytes: BITMAP / 8 rows at most
     bit = F.pmod(F.col("seed"), F.lit(BITMAP))
     one = F.call_function("shiftleft", F.lit(1), F.pmod(bit, F.lit(8)).cast("int"))
-    used = bench.select(F.explode("seeds").alias("seed")).distinct()
+    # from a table, so that a seed that very many documents hold may split over tasks
+    used = written(bench.select(F.explode("seeds").alias("seed")).distinct(), "tiling-seeds")
     rows = used.groupBy(F.floor(bit / 8).cast("int").alias("byte")) \
         .agg(F.bit_or(one).alias("bits")).toPandas()
     bitmap = np.zeros(BITMAP // 8, dtype="u1")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import ascii_lower
+from keyfold.llm.common import ascii_lower, written
 
 #: (verdict, host, path prefix)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -127,7 +127,8 @@ def judge(pages: DataFrame, labels: DataFrame, page: str = "page_id", url: str =
         .select("host", "bad")
     # a host of any size is one row here, counted before the shuffle
     hosts = p.groupBy("host").agg(F.count(F.lit(1)).alias("_pages")).select("host")
-    known = reputation(hosts, outcomes, z)
+    # from a table, so that the pages of a hot host may split over tasks
+    known = written(reputation(hosts, outcomes, z), "url-hosts")
     rule, fixed = apply_rules(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_at_least") > max_bad, F.lit("block")).otherwise(F.lit("allow"))
     return p.join(known, "host", "left").select(
