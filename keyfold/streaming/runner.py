@@ -18,6 +18,8 @@ from keyfold.session import ensure_stream_conf, shared_dir
 # Event time far beyond any real row: the end-of-input marker that advances
 # the watermark past every real window, as a bounded source's final watermark.
 END_OF_INPUT_TS = "9000-01-01 00:00:00"
+# Rows of a replayed micro-batch, about.
+PIECE_ROWS = 50_000_000
 
 
 def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
@@ -26,6 +28,9 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
            end_marker: dict | None = None) -> DataFrame | None:
     """Replay a table as a stream that arrives in ``chunks`` pieces, in ``seq`` order.
 
+    A piece holds at most about ``PIECE_ROWS`` rows: a longer table comes in more
+    pieces.
+
     For each piece: append it to the source folder (a parallel write), then
     run the streaming ``plan`` with ``availableNow`` on the same checkpoint --
     the query resumes from its state and offsets and sees exactly the new
@@ -41,7 +46,8 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
     folder = shared_dir(spark, "replay", name)
     ckpt = shared_dir(spark, "stream-ckpt", name)
     out = None if foreach_batch is not None else shared_dir(spark, "stream-out", name)
-    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
+    lo, hi, n = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
+    chunks = max(chunks, -(-n // PIECE_ROWS))
     if lo is None:  # no row has a place in the order: one piece
         pieces = [df]
     else:
