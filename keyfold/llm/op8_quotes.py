@@ -7,7 +7,7 @@ whole, the paragraphs and the lines of every message's own text.  A quoted unit
 links to the latest earlier message of its conversation that holds the same
 unit (an as-of join on conversation and hash, cut into ranges of turns so that
 a line frequent in a long conversation spreads over tasks).  A message replies
-to the message that matches most characters of its first-level quotes, the
+to the message that matches most bytes of its first-level quotes, the
 latest of equals.  Roots are found by pointer doubling over the linked messages.
 
 A conversation in reply order lists its threads by the turn of their root, each
@@ -40,24 +40,24 @@ _INTRO = re.compile(r"^.{0,200}(?:wrote|schrieb|a écrit|escribió) ?:\s*$")
 WIDTH = 4096
 
 
-def normalised(text: str) -> str:
-    return " ".join("".join(c.lower() if c.isascii() else c for c in text).split())
+def normalised(text: str) -> bytes:
+    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
 
 
-def _hash(text: str) -> int:
+def _units(parts) -> dict[int, int]:
+    """hash -> bytes of the normalised parts that hold any."""
     import xxhash
 
-    h = xxhash.xxh64_intdigest(normalised(text).encode("utf-8", "surrogatepass"))
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _units(parts) -> dict[int, int]:
-    """hash -> characters of the parts that hold any."""
-    return {_hash(p): len(normalised(p)) for p in parts if normalised(p)}
+    out = {}
+    for n in map(normalised, parts):
+        if n:
+            h = xxhash.xxh64_intdigest(n)
+            out[h - (1 << 64) if h >> 63 else h] = len(n)
+    return out
 
 
 def parse(text: str | None) -> tuple[str, dict[int, int], list[tuple[int, int, int]]]:
-    """Own text, its units, and the quoted units as (level, hash, characters)."""
+    """Own text, its units, and the quoted units as (level, hash, bytes)."""
     own, passages, level = [], [], 0
     for line in (text or "").split("\n"):
         marks = _MARKS.match(line)
@@ -106,8 +106,9 @@ def link(messages: DataFrame, conv="conv_id", turn="turn", role="role",
         "c", "turn", "row", F.explode("quotes").alias("q")) \
         .select("c", "turn", "row", "q.*").distinct()
     quoted = written(quoted, "quotes-units")
+    wanted = written(quoted.select("c", "unit").distinct(), "quotes-wanted")
     held = m.filter("turn is not null").select("c", "turn", F.explode("units").alias("unit")) \
-        .join(quoted.select("c", "unit").distinct(), ["c", "unit"], "left_semi").distinct()
+        .join(wanted, ["c", "unit"], "left_semi").distinct()
     # quotes stand before the messages of their own turn: only earlier ones count
     both = quoted.select("c", "unit", "turn", F.lit(0).alias("kind"), "row", "level", "chars") \
         .unionByName(held.select("c", "unit", "turn", F.lit(1).alias("kind")),
