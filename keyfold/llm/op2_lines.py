@@ -66,7 +66,9 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> D
 def dedup(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """``pages`` (page, host, lines) without boilerplate: page, host, n_lines,
     n_dropped, lines."""
-    bad = boilerplate(pages, ratio, least)
+    # read from a table, the hosts' lines do not tie the pages to their own
+    # partitioning, and Spark may split the pages of one host over tasks
+    bad = written(boilerplate(pages, ratio, least), "lines-bad")
     own = F.when(F.col("bad").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains(F.col("bad"), F.xxhash64(x))))
     out = pages.join(bad, "host", "left").select(
