@@ -60,8 +60,3 @@ def large_delta(df: DataFrame, ts: str, size: str, key: str, seq: str, price: st
         & (F.abs(pct) > F.lit(float(threshold)))
     ).select("window_start", "window_end", key, pct.alias("change_pct"),
              "prev_max", "cur_max", "max_stamp")
-
-
-def report_line(*parts: Column) -> Column:
-    """PRJ-16: ``%.2f``-style report text next to the numeric columns."""
-    return F.concat_ws(", ", *parts)

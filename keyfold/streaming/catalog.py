@@ -16,12 +16,14 @@ from keyfold.plans.q_running import (EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_DOC_BUCKE
                                      WORD_SPLIT)
 from keyfold.operators.running import (run_count, run_first, run_max, run_max_by, run_min,
                                        run_min_by, run_sum)
+from keyfold.operators.windows import int_avg
+from keyfold.plans.q_windows import DELTA_THRESHOLD_PCT, DELTA_WINDOW
 from keyfold.plans.registry import ORACLE, bucket_width, cents, events, money, query, table
 from keyfold.session import shared_dir
 from keyfold.streaming.carry import chunk_writer, distinct_flags, running_writer
 from keyfold.streaming.operators import (event_time, exclude_asof_writer, exclude_stream,
-                                         session_stream, session_writer, split_stream,
-                                         tumbling_stream, window_change_stream,
+                                         large_delta_stream, session_stream, session_writer,
+                                         split_stream, tumbling_stream, window_change_stream,
                                          window_top_stream)
 from keyfold.streaming.runner import END_OF_INPUT_TS, replay
 
@@ -290,6 +292,28 @@ def q_stream_sliding(spark, sf):
                       money(F.col("_c")).alias("total_value"))
 
 
+@query("q_stream_window_avg_time", ORACLE["q_window_avg_time"])
+def q_stream_window_avg_time(spark, sf):
+    """WIN-6 + PRJ-13 as a stream: integer average time per site and window."""
+    def plan(s):
+        s = _real(event_time(s, "ts", LATENESS)).withColumn("t", F.floor("value").cast("long"))
+        return tumbling_stream(s, "ts", "1 day", "event_type", [
+            F.sum("t").alias("t"), F.count(F.lit(1)).alias("n")])
+    out = _events_replay(spark, sf, "q_stream_window_avg_time", plan, end_marker=True)
+    return out.select("window_start", "window_end", "event_type",
+                      int_avg(F.col("t"), F.col("n")).alias("avg_time"))
+
+
+@query("q_stream_large_delta", ORACLE["q_large_delta"])
+def q_stream_large_delta(spark, sf):
+    """WIN-10 as a stream: alert when a window's maximum moved more than the threshold."""
+    def plan(s):
+        s = _real(event_time(s, "ts", LATENESS))
+        return large_delta_stream(s, "ts", DELTA_WINDOW, "event_type", "event_id", "value",
+                                  F.col("ts").cast("timestamp_ntz"), DELTA_THRESHOLD_PCT)
+    return _events_replay(spark, sf, "q_stream_large_delta", plan, end_marker=True)
+
+
 def _window_top(largest):
     def plan(s):
         return window_top_stream(_real(event_time(s, "ts", LATENESS)), "ts", "1 day",

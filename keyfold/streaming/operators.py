@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.streaming.processors import PreviousWindowChange
+from keyfold.streaming.processors import PreviousWindowChange, PreviousWindowMax
 
 
 def _cols(x) -> list[str]:
@@ -163,6 +163,24 @@ def window_change_stream(stats: DataFrame, key, columns: Sequence[str]) -> DataF
         PreviousWindowChange(key, cols), schema, "Append", "None")
 
 
+def large_delta_stream(stream: DataFrame, ts: str, size: str, key: str, seq: str, price: str,
+                       stamp, threshold: float) -> DataFrame:
+    """WIN-10: per-window maxima (append) chained into a processor with the
+    previous window's maximum per key; rows that moved more than ``threshold`` %."""
+    per = tumbling_stream(stream, ts, size, key, [
+        F.max(price).alias("cur_max"),
+        F.min_by(stamp, F.struct((-F.col(price)).alias("p"), F.col(seq).alias("s")))
+        .alias("max_stamp")])
+    cols = ["window_start", "window_end", key, "cur_max", "max_stamp"]
+    schema = T.StructType(_field_types(per, cols) + [T.StructField("prev_max", T.DoubleType())])
+    with_prev = per.groupBy(key).transformWithStateInPandas(
+        PreviousWindowMax(cols), schema, "Append", "None")
+    pct = (F.col("cur_max") - F.col("prev_max")) / F.nullif(F.col("prev_max"), F.lit(0.0)) * 100.0
+    return with_prev.filter(F.abs(pct) > F.lit(float(threshold))).select(
+        "window_start", "window_end", key, pct.alias("change_pct"), "prev_max", "cur_max",
+        "max_stamp")
+
+
 def exclude_stream(stream: DataFrame, exclusion: DataFrame, on: str) -> DataFrame:
     """JN-1 on a stream: stream-static left-anti join against the list."""
     return stream.join(exclusion.select(on).distinct(), on, "left_anti")

@@ -53,3 +53,26 @@ class PreviousWindowChange(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class PreviousWindowMax(StatefulProcessor):
+    """WIN-10 / ST-4: each window's ``cur_max`` beside that of the key's previous
+    (non-empty) window, null where there is none."""
+
+    def __init__(self, columns: Sequence[str]):
+        self.columns = list(columns)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "cur_max double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows, ["window_start"])
+        last = self.prev.get()[0] if self.prev.exists() else None
+        cur = pdf["cur_max"].to_numpy(dtype=np.float64)
+        out = pdf[self.columns].copy()
+        out["prev_max"] = np.concatenate([[np.nan if last is None else last], cur[:-1]])
+        self.prev.update((None if np.isnan(cur[-1]) else float(cur[-1]),))
+        yield out
+
+    def close(self) -> None:
+        pass
