@@ -71,7 +71,7 @@ def fixed_batches(df: DataFrame, bucket: Column, seq: str, n: int,
     numbered = number_arrivals(b, "bucket", seq, bucket_width)
     numbered = numbered.withColumn("batch_no", F.expr(f"(_rn - 1) div {int(n)}"))
     # one row per bucket value; Spark broadcasts it by its size
-    full = numbered.groupBy("bucket").agg(F.max("_rn").alias("_tot"))
+    full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("_tot"))
     out = numbered.join(full, "bucket").filter(
         F.col("batch_no") < F.expr(f"_tot div {int(n)}"))
     return out.drop("_tot", "_rn")

@@ -107,7 +107,7 @@ def chunk_writer(spark: SparkSession, key, seq: str, n: int,
             rows = spark.read.parquet(f"{base}/rest/epoch={epoch - 1}").unionByName(batch)
             before = spark.read.parquet(f"{base}/chunks/epoch={epoch - 1}")
         numbered = number_arrivals(rows, key, seq, width)
-        done = numbered.groupBy(*key).agg(F.expr(f"max(_rn) div {int(n)}").alias("_full"))
+        done = rows.groupBy(*key).agg(F.expr(f"count(1) div {int(n)}").alias("_full"))
         if before is not None:
             side, names = _renamed(before.withColumnRenamed("chunks", "_before"), key)
             done = done.join(side, _same(key, names), "left").drop(*names)
