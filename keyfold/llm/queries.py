@@ -237,11 +237,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.pack(table(spark, sf_dir, "documents"))
 
 
+def secret_models(spark: SparkSession, sf_dir: str):
+    """The ratio that op10 judges by: labelled samples and the words of all documents."""
+    return op10.train(op10.count_labelled(op10.samples(spark)),
+                      op10.count_words(table(spark, sf_dir, "documents")))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document; the models learn from all of them."""
-    docs = table(spark, sf_dir, "documents")
-    return op10.scan(docs, op10.train(op10.count_corpus(docs)))
+    return op10.scan(table(spark, sf_dir, "documents"), secret_models(spark, sf_dir))
 
 
 @query

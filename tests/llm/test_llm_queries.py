@@ -10,7 +10,7 @@ import pytest
 import plain
 from conftest import SF_SMALL
 from keyfold.llm import op7_pack, op10_secrets
-from keyfold.llm.queries import ORACLE, QUERIES
+from keyfold.llm.queries import ORACLE, QUERIES, secret_models
 
 
 @pytest.fixture(scope="module")
@@ -103,3 +103,58 @@ def test_secret_scan(spark, docs):
         joined = ",".join(f"{op10_secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) <= set(r.spans.split(","))
+
+
+def test_secret_models_find_held_out_strings(spark, docs):
+    import pkgutil
+    import random
+    import string
+    rng = random.Random(77)
+    ratio = secret_models(spark, SF_SMALL)
+
+    def flagged(values):
+        return np.mean([op10_secrets.score(v, ratio) >= op10_secrets.MARGIN for v in values])
+
+    low, alnum = string.ascii_lowercase + string.digits, string.ascii_letters + string.digits
+    for prefix, letters, least in [
+            ("", "0123456789abcdef", 0.9), ("", string.ascii_uppercase + "234567", 0.9), ("", low, 0.9),
+            ("", alnum, 0.95), ("", alnum + "+/", 0.95), ("", alnum + "-_", 0.95),
+            ("ghp_", alnum, 0.95), ("sk_live_", alnum, 0.95)]:
+        n = 36 if prefix else rng.randrange(20, 41)
+        got = flagged([prefix + "".join(rng.choices(letters, k=n)) for _ in range(400)])
+        assert got >= least, (prefix, letters, got)
+    # ordinary: names of the standard library, and what the documents hold
+    names = {n for m in ("os", "logging", "unittest.mock", "socket", "ssl", "signal", "errno", "ast",
+                         "http.client", "email.message", "argparse", "asyncio", "threading")
+             for n in dir(pkgutil.resolve_name(m)) if len(n) >= op10_secrets.SHORTEST}
+    assert len(names) > 100 and flagged(names) <= 0.02
+    free = [t for _, x, _ in docs for _, _, t in
+            op10_secrets._free_tokens(x or "", op10_secrets.base_spans(x or ""), op10_secrets.SHORTEST)]
+    assert free and flagged(free) <= 0.02
+
+
+def test_secrets_of_a_corpus_are_not_learnt_as_ordinary(spark):
+    import random
+    rng = random.Random(5)
+    tokens = ["".join(rng.choices(op10_secrets.ALPHABET[:62], k=32)) for _ in range(500)]
+    df = spark.createDataFrame([(f"the key {t} is here",) for t in tokens], "text string")
+    ratio = op10_secrets.train(op10_secrets.count_labelled(op10_secrets.samples(spark)),
+                               op10_secrets.count_words(df))
+    assert np.mean([r.n_markov for r in op10_secrets.scan(df.selectExpr("1 doc_id", "text"), ratio)
+                    .collect()]) >= 0.95
+
+
+def test_word_pairs_of_odd_texts():
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("ab1_ é\n="), 5000)) + " password=hunter22 AKIA" + "Z" * 16 + "x y"
+    want = np.zeros(op10_secrets.STATES ** 2, dtype="i8")
+    spans = op10_secrets.base_spans(text)
+    for a, b, t in op10_secrets._free_tokens(text, spans, 1):
+        if b - a < op10_secrets.SHORTEST:
+            np.add.at(want, op10_secrets.pairs_of(t), 1)
+    assert (op10_secrets.word_pairs(text) == want).all() and not op10_secrets.word_pairs("").any()
+    keep, op10_secrets.PIECE = op10_secrets.PIECE, 7
+    try:
+        assert (op10_secrets.word_pairs(text) == want).all()
+    finally:
+        op10_secrets.PIECE = keep
