@@ -1,12 +1,15 @@
 """Chat formatting by quotation linking.
 
 Messages quote others with leading ``>`` marks, one per level.  Each message is
-parsed into its own text and its quoted passages by level; passages and their
-lines are normalised (ASCII lower case, single spaces) and hashed, and so are the
-whole, the paragraphs and the lines of every message's own text.  A quoted unit
+parsed into its own text and its quoted passages by level; passages, their
+paragraphs and lines are normalised (ASCII lower case, single spaces) and hashed,
+and so are the whole, the paragraphs and the lines of every message's own text.  A quoted unit
 links to the latest earlier message of its conversation that holds the same
 unit (an as-of join on conversation and hash, cut into ranges of turns so that
-a line frequent in a long conversation spreads over tasks).  A message replies
+a line frequent in a long conversation spreads over tasks).  A passage that finds
+no unit (part of a line, or a paragraph cut otherwise) is looked up by its rarest
+word shingles in its conversation, and links to the latest earlier message whose
+own text holds all of it; one of fewer words than a shingle is not.  A message replies
 to the message that matches most bytes of its first-level quotes, the
 latest of equals.  Roots are found by pointer doubling over the linked messages.
 
@@ -14,7 +17,8 @@ A conversation in reply order lists its threads by the turn of their root, each
 thread by turn: every reply stands after what it replies to.  Positions come
 from ``ordered_rank``, so no task holds a conversation.
 
-Defined cases: null text is an empty message; a null conversation is one
+Defined cases: null text is an empty message; the text of a message without
+quotes is left as it is; a null conversation is one
 conversation by itself; a message whose turn is null quotes nothing, is quoted
 by nothing and stands last; rows that repeat a turn are one message to those
 who quote them and are each put out; quotes of unknown passages are removed
@@ -34,10 +38,14 @@ from keyfold.operators.running import run_max, running
 from keyfold.session import pickle_by_value
 
 _MARKS = re.compile(r"^(?:[ \t]*>)+[ \t]?")
+_PARAGRAPH = re.compile(r"\n\s*\n")
 #: A line that introduces a quote: removed with it (fixed wordings).
 _INTRO = re.compile(r"^.{0,200}(?:wrote|schrieb|a écrit|escribió) ?:\s*$")
 #: Turns of one conversation and unit that meet in one group of the as-of join.
 WIDTH = 4096
+#: Words of a shingle, and how many of a passage's rarest are looked up.
+SHINGLE = 3
+RAREST = 3
 
 
 def normalised(text: str) -> bytes:
@@ -56,8 +64,15 @@ def _units(parts) -> dict[int, int]:
     return out
 
 
-def parse(text: str | None) -> tuple[str, dict[int, int], list[tuple[int, int, int]]]:
-    """Own text, its units, and the quoted units as (level, hash, bytes)."""
+def shingles(norm: str) -> list[int]:
+    """Hashes of the runs of ``SHINGLE`` words of a normalised text."""
+    w = norm.split(" ")
+    return list(_units(" ".join(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)))
+
+
+def parse(text: str | None) -> tuple[str, dict[int, int], list[tuple[int, int, int, int]], list[str]]:
+    """Own text, its units, the quoted units as (level, hash, bytes, passage), and
+    the normalised passages."""
     own, passages, level = [], [], 0
     for line in (text or "").split("\n"):
         marks = _MARKS.match(line)
@@ -74,11 +89,52 @@ def parse(text: str | None) -> tuple[str, dict[int, int], list[tuple[int, int, i
                 passages.append((now, []))
             passages[-1][1].append(line[marks.end():])
         level = now
-    body = re.sub(r"\n{3,}", "\n\n", "\n".join(own)).strip("\n")
-    units = _units([body, *re.split(r"\n\s*\n", body), *own])
-    quoted = [(lv, h, n) for lv, lines in passages
-              for h, n in _units(["\n".join(lines), *lines]).items()]
-    return body, units, quoted
+    body = "\n".join(own)
+    if passages:
+        body = re.sub(r"\n{3,}", "\n\n", body).strip("\n")
+    units = _units([body, *_PARAGRAPH.split(body), *own])
+    whole = ["\n".join(lines) for _, lines in passages]
+    quoted = [(lv, h, n, i) for i, (lv, lines) in enumerate(passages)
+              for h, n in _units([whole[i], *_PARAGRAPH.split(whole[i]), *lines]).items()]
+    return body, units, quoted, [normalised(x).decode("utf-8", "surrogatepass") for x in whole]
+
+
+def _partial(m: DataFrame, found: DataFrame) -> DataFrame:
+    """c, turn, row, level, chars and source of passages that found no unit but
+    lie within the own text of an earlier message."""
+    @F.pandas_udf("array<bigint>")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t) for t in texts])
+
+    @F.pandas_udf("string")
+    def norm(texts: pd.Series) -> pd.Series:
+        return pd.Series([normalised(t).decode("utf-8", "surrogatepass") for t in texts])
+
+    node, one = ["c", "turn", "row"], ["c", "turn", "row", "passage", "level"]
+    m = m.filter("turn is not null")
+    units = m.select(*node, F.explode("quotes").alias("q")).select(*node, "q.*")
+    hit = found.select(*node, "level", "unit").distinct().withColumn("hit", F.lit(1))
+    lost = units.join(hit, [*node, "level", "unit"], "left").groupBy(*one) \
+        .agg(F.max("hit").alias("hit")).filter("hit is null").drop("hit")
+    texts = m.select(*node, F.posexplode("passages").alias("passage", "quoted")).distinct()
+    lost = written(lost.join(texts, [*node, "passage"]), "quotes-lost")
+    # from tables, so that a shingle or conversation met very often may split
+    wanted = written(lost.select(*one, F.explode(hashed("quoted")).alias("unit")), "quotes-shingles")
+    where = lost.select("c").distinct()
+    own = written(m.join(where, "c", "left_semi").select("c", "turn", norm("body").alias("norm"))
+                  .distinct(), "quotes-own")
+    asked = wanted.select("c", "unit").distinct()
+    held = written(own.select("c", F.col("turn").alias("source"), F.explode(hashed("norm"))
+                              .alias("unit")).join(asked, ["c", "unit"], "left_semi").distinct(),
+                   "quotes-held")
+    often = written(held.groupBy("c", "unit").agg(F.count(F.lit(1)).alias("n")), "quotes-often")
+    rare = wanted.join(often, ["c", "unit"]).groupBy(*one).agg(F.slice(F.sort_array(
+        F.collect_list(F.struct("n", "unit"))), 1, RAREST).alias("x"))
+    rare = rare.select(*one, F.explode("x.unit").alias("unit"))
+    met = rare.join(held, ["c", "unit"]).filter("source < turn").select(*one, "source").distinct()
+    met = met.join(lost, one).join(own.withColumnRenamed("turn", "source"), ["c", "source"])
+    return met.filter(F.contains("norm", "quoted")).groupBy(*one).agg(
+        F.max("source").alias("source"), F.first(F.octet_length("quoted")).alias("chars"))
 
 
 def link(messages: DataFrame, conv="conv_id", turn="turn", role="role",
@@ -86,13 +142,15 @@ def link(messages: DataFrame, conv="conv_id", turn="turn", role="role",
     """Per message: conv, turn, role, text without quotes, parent_turn, root_turn,
     n_quotes, links (level:turn of each linked passage), position."""
     @F.pandas_udf("body string, units array<bigint>, "
-                  "quotes array<struct<level:int,unit:bigint,chars:int>>")
+                  "quotes array<struct<level:int,unit:bigint,chars:int,passage:int>>, "
+                  "passages array<string>")
     def read(texts: pd.Series) -> pd.DataFrame:
         rows = [parse(t) for t in texts]
         return pd.DataFrame({
-            "body": [b for b, _, _ in rows], "units": [list(u) for _, u, _ in rows],
-            "quotes": [[{"level": lv, "unit": h, "chars": n} for lv, h, n in q]
-                       for _, _, q in rows]})
+            "body": [r[0] for r in rows], "units": [list(r[1]) for r in rows],
+            "quotes": [[{"level": lv, "unit": h, "chars": n, "passage": i}
+                        for lv, h, n, i in r[2]] for r in rows],
+            "passages": [r[3] for r in rows]})
 
     m = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
                         F.col(role).alias("role"), read(F.col(text).cast("string")).alias("p"))
@@ -104,7 +162,7 @@ def link(messages: DataFrame, conv="conv_id", turn="turn", role="role",
 
     quoted = m.filter("turn is not null").select(
         "c", "turn", "row", F.explode("quotes").alias("q")) \
-        .select("c", "turn", "row", "q.*").distinct()
+        .select("c", "turn", "row", "q.level", "q.unit", "q.chars").distinct()
     quoted = written(quoted, "quotes-units")
     wanted = written(quoted.select("c", "unit").distinct(), "quotes-wanted")
     held = m.filter("turn is not null").select("c", "turn", F.explode("units").alias("unit")) \
@@ -117,7 +175,11 @@ def link(messages: DataFrame, conv="conv_id", turn="turn", role="role",
     found = running(both, ["c", "unit"], ["turn", "kind", "row", "level"],
                     [run_max(source, "source")], bucket_width=WIDTH)
     found = written(found.filter("kind = 0 and source is not null")
-                    .select("c", "turn", "row", "level", "chars", "source"), "quotes-found")
+                    .select("c", "turn", "row", "level", "unit", "chars", "source"),
+                    "quotes-found")
+    linked = ["c", "turn", "row", "level", "chars", "source"]
+    found = found.select(linked).unionByName(
+        written(_partial(m, found).select(linked), "quotes-partial"))
 
     votes = found.filter("level = 1").groupBy("c", "turn", "row", "source") \
         .agg(F.sum("chars").alias("n"))

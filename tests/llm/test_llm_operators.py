@@ -236,6 +236,29 @@ def test_long_chain_of_replies(spark):
     assert {(r.root_turn, r.turn - r.position) for r in op8_quotes.link(df).collect()} == {(0, -1)}
 
 
+def test_partial_and_rewrapped_quotes(spark):
+    rows = [
+        (1, 0, "First paragraph of the question\nabout joins in streams.\n\nSecond paragraph, which asks\n"
+                "for more. It has two sentences here.\n\nThird paragraph."),
+        (1, 1, "nothing to see"),
+        (1, 2, "> First paragraph of the\n> question about joins\n> in streams.\n>\n> Second paragraph, which\n"
+                "> asks for more. It has two sentences here.\nrewrapped"),
+        (1, 3, "> It has two sentences here.\none sentence"),
+        (1, 4, "> asks\n> for more. It has\nacross lines"),
+        (1, 5, "> It has three sentences here.\nunknown"),
+        (1, 6, "> one\nshort"),
+        (1, 7, "It has two sentences here, again"),
+        (1, 8, "> two sentences here, again\nthe latest"),
+        (2, 0, "a\n\n\n\nb\n"), (2, 1, "> It has two sentences here.\nother conversation")]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows],
+                               "conv_id long, turn int, role string, text string")
+    out = {(r.conv_id, r.turn): r for r in op8_quotes.link(df).collect()}
+    assert {k: r.parent_turn for k, r in out.items() if r.parent_turn is not None} \
+        == {(1, 2): 0, (1, 3): 0, (1, 4): 0, (1, 8): 7}
+    assert out[1, 3].links == "1:0" and out[1, 3].root_turn == 0 and len(out) == len(rows)
+    assert out[2, 0].text == "a\n\n\n\nb\n" and out[1, 3].text == "one sentence"
+
+
 # --- op9 --------------------------------------------------------------------
 
 def test_allocation_is_the_cheapest():
