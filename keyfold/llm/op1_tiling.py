@@ -14,8 +14,9 @@ Nothing is collected but the bitmap.  A document's part in a pair is its shared
 seeds only, never the product of repeated seeds.
 
 Defined cases: null or empty text shares nothing; an item shorter than a seed is
-too short to tell from ordinary text and never leaks; repeated documents and items are
-reported once per pair of ids; empty tables give an empty result.
+too short to tell from ordinary text and never leaks; repeated rows and items are
+reported once per pair of ids; rows without an id, or of one id with different texts,
+are documents of their own; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import written
@@ -148,13 +149,31 @@ def tile(item: np.ndarray, at: np.ndarray, found: np.ndarray, k: int) -> list[tu
     return tiles
 
 
+def _key(doc_id: str, text: str) -> Column:
+    """A row's key: a hash of id and text, never null, so rows without an id, or
+    of one id with different texts, stay apart."""
+    return F.xxhash64(F.col(doc_id), F.col(text).cast("string"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id", text="text",
-          item_text="text", k: int = SEED_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+          item_text="text", **kw) -> DataFrame:
     """doc_id, item_id, words (of the item), covered, coverage and tiles
     (array of item place, document place, words) of every leaked pair."""
+    d = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"),
+                    _key(doc_id, text).alias("key"))
+    found = written(_leaks(d, items, item_id, item_text, **kw), "tiling-pairs")
+    # the ids of the rows that leak, back on their keys
+    ids = d.select("key", "id").join(found.select("key").distinct(), "key", "left_semi").distinct()
+    return found.join(ids, "key").select(F.col("id").alias(doc_id), F.col("item").alias(item_id),
+                                         "words", "covered", "coverage", "tiles")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
+           k: int = SEED_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """The leaked pairs by ``key`` and item of rows (key, text), the key a bigint."""
     import pyspark.sql.pandas.types as types
 
-    id_type, it_type = docs.schema[doc_id].dataType, items.schema[item_id].dataType
+    it_type = items.schema[item_id].dataType
     arrow = types.to_arrow_type(it_type)
 
     def item_rows(batches):
@@ -199,8 +218,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id",
                      pa.array(np.concatenate(hashes).view("i8"))],
                     names=["doc", "place", "seed"])
 
-    d = docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(
-        hits, f"doc {id_type.simpleString()}, place int, seed bigint")
+    d = docs.select("key", "text").mapInArrow(hits, "doc bigint, place int, seed bigint")
     hit = written(d.join(used, "seed", "left_semi").distinct(), "tiling-hits")
     version = F.xxhash64("seeds").alias("version")  # items may repeat an id with another text
     by_seed = bench.select("item", "words", version, F.posexplode("seeds").alias("p", "seed")) \
@@ -237,17 +255,18 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id",
     covered = F.aggregate("tiles", F.lit(0), lambda a, t: a + t["words"])
     out = out.select("doc", "item", "words", covered.alias("covered"), "tiles") \
         .filter(F.col("covered") >= threshold * F.col("words"))
-    return out.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "words", "covered",
+    return out.select(F.col("doc").alias("key"), "item", "words", "covered",
                       (F.col("covered") / F.col("words")).alias("coverage"), "tiles")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text", **kw) -> DataFrame:
+def drop_leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text",
+               item_id="item_id", item_text="text", **kw) -> DataFrame:
     """The documents that leak no item, columns as given.  Rows are known by a
     hash of id and text, so an id that repeats with another text is judged anew."""
-    key = F.xxhash64(F.col(doc_id), F.col(text))
+    key = _key(doc_id, text)
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
-    found = leaks(docs.select(key.alias("_key"), F.col(text).alias("text")), items,
-                  doc_id="_key", text="text", **kw).select("_key").distinct()
+    found = _leaks(docs.select(key.alias("key"), F.col(text).cast("string").alias("text")), items,
+                   item_id, item_text, **kw).select(F.col("key").alias("_key")).distinct()
     found = written(found, "tiling-found")
     return keyed.join(found, "_key", "left_anti").select("_row.*")
 

@@ -36,6 +36,22 @@ def test_tiles_equal_the_published_greedy_algorithm():
             == plain.tiles(item, doc, k)
 
 
+def test_rows_under_one_id_are_tiled_apart(spark):
+    item = [f"w{i}" for i in range(20)]
+    other = [f"v{i}" for i in range(10)]
+    halves = [" ".join(item[:10] + other), " ".join(other + item[10:])]
+    # the whole item, and a text whose seeds lie at the same places
+    whole, clash = " ".join(item), " ".join(item[10:] + item[:8] + other[:2])
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for i in (None, 7):
+        df = spark.createDataFrame([(i, t) for t in halves], "doc_id long, text string")
+        assert op1_tiling.leaks(df, items).count() == 0
+        df = spark.createDataFrame([(i, t) for t in (whole, clash, whole)], "doc_id long, text string")
+        got = op1_tiling.leaks(df, items).collect()
+        assert sorted((r.doc_id, r.covered) for r in got if r.doc_id == i) == [(i, 18), (i, 20)]
+        assert len(got) == 2 and {r.covered: len(r.tiles) for r in got} == {20: 1, 18: 2}
+
+
 def test_tokens_do_not_depend_on_pieces(monkeypatch):
     text = "Ünïcode wörds, and some MORE words " * 50
     whole = op1_tiling.tokens(text)
