@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    return op1_tiling.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return op1_tiling.drop_leaks(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

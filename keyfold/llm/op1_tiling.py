@@ -14,7 +14,8 @@ Nothing is collected but the bitmap.  A document's part in a pair is its shared
 seeds only, never the product of repeated seeds.
 
 Defined cases: null or empty text shares nothing; an item shorter than a seed is
-too short to tell from ordinary text and never leaks; repeated rows and items are
+too short to tell from ordinary text within a line and never leaks, or, with
+``short``, where it is a whole line or text; repeated rows and items are
 reported once per pair of ids; rows without an id, or of one id with different texts,
 are documents of their own; empty tables give an empty result.
 """
@@ -69,12 +70,15 @@ def running(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return (total[ends] - total[starts]) * powers(INVERSE, n)[starts]
 
 
-def tokens(text: str | None) -> np.ndarray:
-    """64-bit hashes of a text's words: runs of letters and digits, lower case
-    (any character beyond ASCII counts as a letter)."""
+def _cut(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text's bytes, in lower case, and the starts and ends of its words."""
     raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype="u1")
     edge = np.flatnonzero(np.diff(_IN_WORD[raw], prepend=0, append=0))
-    starts, ends, out, at = edge[::2], edge[1::2], [], 0
+    return raw, edge[::2], edge[1::2]
+
+
+def _hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out, at = [], 0
     while at < len(starts):
         low = starts[at]
         to = max(at + 1, int(np.searchsorted(ends, low + PIECE)))
@@ -84,6 +88,27 @@ def tokens(text: str | None) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype="u8")
 
 
+def tokens(text: str | None) -> np.ndarray:
+    """64-bit hashes of a text's words: runs of letters and digits, lower case
+    (any character beyond ASCII counts as a letter)."""
+    return _hashed(*_cut(text))
+
+
+def short_runs(text: str | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the lines of fewer than ``k`` words, and of the
+    whole text if it has so few."""
+    raw, starts, ends = _cut(text)
+    w = _hashed(raw, starts, ends)
+    line = np.searchsorted(np.flatnonzero(raw == 10), starts)
+    first = np.flatnonzero(np.diff(line, prepend=-1))
+    last = np.append(first[1:], len(w))
+    if 0 < len(w) < k:
+        first, last = np.append(first, 0), np.append(last, len(w))
+    short = last - first < k
+    first, last = first[short], last[short]
+    return first, mixed(running(w, first, last))
+
+
 def windows(values: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hash of each window of ``length`` values."""
     at = np.arange(max(0, len(values) - length + 1))
@@ -168,9 +193,84 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id="doc_id", item_id="item_id",
                                          "words", "covered", "coverage", "tiles")
 
 
+def _bitmap(used: DataFrame):
+    """The broadcast bitmap of the column ``seed``."""
+    # by bytes: BITMAP / 8 rows at most
+    bit = F.pmod(F.col("seed"), F.lit(BITMAP))
+    one = F.call_function("shiftleft", F.lit(1), F.pmod(bit, F.lit(8)).cast("int"))
+    rows = used.groupBy(F.floor(bit / 8).cast("int").alias("byte")) \
+        .agg(F.bit_or(one).alias("bits")).toPandas()
+    bitmap = np.zeros(BITMAP // 8, dtype="u1")
+    bitmap[rows["byte"].to_numpy(dtype="i8")] = rows["bits"].to_numpy(dtype="i8")
+    return used.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _held(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Where the bitmap holds a hash."""
+    low = (h & np.uint64(BITMAP - 1)).astype("i8")
+    return np.flatnonzero(bits[low >> 3] >> (low & 7).astype("u1") & 1)
+
+
+def _short_leaks(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
+                 k: int) -> DataFrame | None:
+    """The pairs of rows (key, text) and items shorter than a seed that are a
+    whole line or text of theirs; None if no item is so short."""
+    import pyspark.sql.pandas.types as types
+
+    it_type = items.schema[item_id].dataType
+    arrow = types.to_arrow_type(it_type)
+
+    def item_rows(batches):
+        for b in batches:
+            rows = [(i, len(w), running(w, np.array([0]), np.array([len(w)])))
+                    for i, w in zip(b.column(0).to_pylist(), map(tokens, b.column(1).to_pylist()))
+                    if 0 < len(w) < k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], arrow), pa.array([r[1] for r in rows], pa.int32()),
+                 pa.array([int(mixed(r[2]).view("i8")[0]) for r in rows], pa.int64())],
+                names=["item", "words", "seed"])
+
+    bench = written(items.select(F.col(item_id), F.col(item_text).cast("string")).mapInArrow(
+        item_rows, f"item {it_type.simpleString()}, words int, seed bigint").distinct(),
+        "tiling-short")
+    if not bench.limit(1).count():
+        return None
+    shared = _bitmap(bench.select("seed").distinct())
+
+    def hits(batches):
+        for b in batches:
+            who, place, hashes = [], [], []
+            for row, text in enumerate(b.column(1)):
+                first, h = short_runs(text.as_py(), k)
+                at = _held(h, shared.value)
+                who.append(np.full(len(at), row))
+                place.append(first[at])
+                hashes.append(h[at])
+            if who:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(np.concatenate(who))),
+                     pa.array(np.concatenate(place).astype("i4")),
+                     pa.array(np.concatenate(hashes).view("i8"))],
+                    names=["key", "place", "seed"])
+
+    met = docs.select("key", "text").mapInArrow(hits, "key bigint, place int, seed bigint") \
+        .groupBy("key", "seed").agg(F.min("place").alias("place")).join(bench, "seed")
+    tile_ = F.struct(F.lit(0).alias("item_at"), F.col("place").alias("doc_at"), "words")
+    return met.select("key", "item", "words", F.col("words").alias("covered"),
+                      F.lit(1.0).alias("coverage"), F.array(tile_).alias("tiles"))
+
+
 def _leaks(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
-           k: int = SEED_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+           k: int = SEED_WORDS, threshold: float = THRESHOLD, short: bool = False) -> DataFrame:
     """The leaked pairs by ``key`` and item of rows (key, text), the key a bigint."""
+    found = _tiled(docs, items, item_id, item_text, k, threshold)
+    more = _short_leaks(docs, items, item_id, item_text, k) if short else None
+    return found if more is None else found.unionByName(more)
+
+
+def _tiled(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
+           k: int, threshold: float) -> DataFrame:
+    """The leaked pairs of items of a seed or more."""
     import pyspark.sql.pandas.types as types
 
     it_type = items.schema[item_id].dataType
@@ -189,16 +289,9 @@ def _leaks(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
     bench = items.select(F.col(item_id), F.col(item_text).cast("string")).mapInArrow(
         item_rows, f"item {it_type.simpleString()}, words int, seeds array<bigint>")
     bench = written(bench.distinct(), "tiling-items")
-    # the bitmap by bytes: BITMAP / 8 rows at most
-    bit = F.pmod(F.col("seed"), F.lit(BITMAP))
-    one = F.call_function("shiftleft", F.lit(1), F.pmod(bit, F.lit(8)).cast("int"))
     # from a table, so that a seed that very many documents hold may split over tasks
     used = written(bench.select(F.explode("seeds").alias("seed")).distinct(), "tiling-seeds")
-    rows = used.groupBy(F.floor(bit / 8).cast("int").alias("byte")) \
-        .agg(F.bit_or(one).alias("bits")).toPandas()
-    bitmap = np.zeros(BITMAP // 8, dtype="u1")
-    bitmap[rows["byte"].to_numpy(dtype="i8")] = rows["bits"].to_numpy(dtype="i8")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = _bitmap(used)
 
     def hits(batches):
         bits = shared.value
@@ -206,8 +299,7 @@ def _leaks(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
             who, place, hashes = [], [], []
             for row, text in enumerate(b.column(1)):
                 h = seeds(tokens(text.as_py()), k)
-                low = (h & np.uint64(BITMAP - 1)).astype("i8")
-                at = np.flatnonzero(bits[low >> 3] >> (low & 7).astype("u1") & 1)
+                at = _held(h, bits)
                 who.append(np.full(len(at), row))
                 place.append(at)
                 hashes.append(h[at])

@@ -226,7 +226,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that leaks a benchmark item, with the item and its tiles."""
-    found = op1.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = op1.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                      short=True)
     return found.withColumn("tiles", F.array_join(F.transform("tiles", lambda t: F.concat_ws(
         ":", t["item_at"], t["doc_at"], t["words"])), ","))
 

@@ -52,6 +52,33 @@ def test_rows_under_one_id_are_tiled_apart(spark):
         assert len(got) == 2 and {r.covered: len(r.tiles) for r in got} == {20: 1, 18: 2}
 
 
+def test_items_shorter_than_a_seed(spark):
+    items = spark.createDataFrame([(1, "Who was Ada?"), (2, "yes"), (None, "a b c d"), (4, ""), (5, None)],
+                                  "item_id int, text string")
+    docs = spark.createDataFrame(
+        [(1, "who was ada"), (2, "intro line\nWho was Ada?\nwho  was ada\nend"), (3, "ask who was Ada? now please"),
+         (4, "who was\nada"), (None, "x\n\na b, c d\n"), (6, None), (7, ""), (8, "yes"), (9, "yes and no")],
+        "doc_id int, text string")
+    got = {(r.doc_id, r.item_id, r.covered, r.tiles[0].doc_at) for r in
+           op1_tiling.leaks(docs, items, short=True).collect()}
+    assert got == {(1, 1, 3, 0), (2, 1, 3, 2), (4, 1, 3, 0), (None, None, 4, 1), (8, 2, 1, 0)}
+    kept = op1_tiling.drop_leaks(docs, items, short=True).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 6, 7, 9]
+    assert op1_tiling.leaks(docs, items.limit(0), short=True).count() == 0
+
+
+def test_stage_and_query_take_short_items(spark, tmp_path):
+    import corpus_pipeline
+    from keyfold.llm.queries import QUERIES
+    spark.createDataFrame([(1, "What is a join?\nmore")], "doc_id int, text string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "what is a join")], "item_id int, text string") \
+        .write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert QUERIES["op1_decontamination"](spark, str(tmp_path)).first().tiles == "0:0:4"
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.decontamination(spark, docs, str(tmp_path)).count() == 0
+
+
 def test_tokens_do_not_depend_on_pieces(monkeypatch):
     text = "Ünïcode wörds, and some MORE words " * 50
     whole = op1_tiling.tokens(text)
