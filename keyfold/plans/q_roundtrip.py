@@ -59,13 +59,15 @@ SELECT CAST(r.event_id AS VARCHAR) AS value, r.line,
        r.line + coalesce((SELECT sum(n.n) FROM n WHERE n.slot < r.slot), 0)::BIGINT AS seq
 FROM r""")
 def q_text_lines(spark, sf):
-    """SRC-1: a table written as seven text files, read with line numbers in file order."""
+    """SRC-1: a table written as seven parts of sorted text files, read with line
+    numbers in path order."""
     path = shared_dir(spark, "text-lines")
-    for slot in range(7):  # a fixed number of files, each one sorted
-        events(spark, sf).filter(F.col("event_id") % 7 == slot).orderBy("event_id").coalesce(1) \
+    for slot in range(7):  # each part in files by range, as many as its size asks for
+        events(spark, sf).filter(F.col("event_id") % 7 == slot) \
+            .repartitionByRange("event_id").sortWithinPartitions("event_id") \
             .select(F.col("event_id").cast("string").alias("value")) \
             .write.text(f"{path}/part={slot}")
-    return read_lines(spark, path).select("value", "line", "seq")
+    return read_lines(spark, path, within="part").select("value", "line", "seq")
 
 
 def _numbers(spark, sf, name):
