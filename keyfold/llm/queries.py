@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keyfold.llm import op1_tiling as op1
 from keyfold.llm import op10_secrets as op10
+from keyfold.llm import op13_centroids as op13
 from keyfold.llm import op2_lines as op2
 from keyfold.llm import op3_quality as op3
 from keyfold.llm import op4_warc as op4
@@ -321,3 +322,50 @@ SELECT * EXCLUDE (v), CASE WHEN regexp_matches(v, '^[^:/?#]*://') THEN
       '^[^:/?#]*://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?([^#]*)', 1), ''), '/'))
   ELSE lower(v) END AS urlkey FROM u
 """
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's cluster, distance and inertia."""
+    return op13.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _nearest_sql(n: int) -> str:
+    """Every vector's nearest centroid of round ``n``; ties to the smaller number."""
+    return f"""a{n} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := d, c := c)) AS b FROM (
+    SELECT r, c, list_sum(list_transform(list_zip(v, m), lambda x: (x[1] - x[2]) * (x[1] - x[2])))
+      AS d FROM e, c{n}) GROUP BY r)"""
+
+
+def _round_sql(n: int) -> str:
+    return f"""{_nearest_sql(n)},
+s{n} AS (
+  SELECT c, p, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+    SELECT b.c AS c, unnest(v) AS x, unnest(generate_series(1, len(v))) AS p
+    FROM e JOIN a{n} USING (r)) GROUP BY c, p),
+c{n + 1} AS MATERIALIZED (
+  SELECT c{n}.c, coalesce(m2, m) AS m FROM c{n} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS m2 FROM s{n} GROUP BY c) z
+  ON z.c = c{n}.c)"""
+
+
+ORACLE["op13_centroids"] = f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({op13.SCALE} * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {op13.COMPONENTS} AND len(list_filter(embedding, lambda x: isfinite(x)))
+        = {op13.COMPONENTS}),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, m) - 1 AS INTEGER) AS c, m FROM (
+    SELECT sha256('{op13.SALT}' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v AS m FROM e
+    ORDER BY h, m LIMIT {op13.CLUSTERS})),
+{", ".join(_round_sql(i) for i in range(op13.ROUNDS))},
+{_nearest_sql(op13.ROUNDS)}
+SELECT vec_id, b.c AS cluster, CAST(b.d AS BIGINT) AS distance,
+       CAST(sum(b.d) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM e JOIN a{op13.ROUNDS} USING (r) JOIN c{op13.ROUNDS} ON c{op13.ROUNDS}.c = b.c
+"""
