@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from keyfold.llm import op1_tiling as op1
 from keyfold.llm import op10_secrets as op10
+from keyfold.llm import op11_search as op11
+from keyfold.llm import op12_pii as op12
 from keyfold.llm import op13_centroids as op13
 from keyfold.llm import op2_lines as op2
 from keyfold.llm import op3_quality as op3
@@ -324,6 +326,48 @@ SELECT * EXCLUDE (v), CASE WHEN regexp_matches(v, '^[^:/?#]*://') THEN
 """
 
 
+@query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return op11.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _terms_sql(text: str) -> str:
+    return rf"""unnest(regexp_extract_all(translate(coalesce({text}, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{op11.TERM}'))"""
+
+
+ORACLE["op11_search"] = rf"""
+WITH t AS (SELECT r, {_terms_sql('text')} AS term FROM (
+  SELECT row_number() OVER () AS r, text FROM documents)),
+p AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY r),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM n),
+m AS (SELECT r, 10 + (90 * n * docs) // length AS m FROM n, c),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, c GROUP BY term, docs),
+i AS (SELECT row_number() OVER () AS i, item_id, text FROM (
+  SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT DISTINCT i, item_id, {_terms_sql('text')} AS term FROM i),
+s AS (
+  SELECT i, item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY i, item_id, r),
+d AS (SELECT row_number() OVER () AS r, doc_id FROM documents)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)
+  AS INTEGER) AS rank, doc_id, score
+FROM s JOIN d USING (r) WHERE score > 0
+QUALIFY rank <= {op11.TOP}
+"""
+
+
+@query
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document; the model learns from all of them."""
+    docs = table(spark, sf_dir, "documents")
+    return op12.scan(docs, op12.train(op12.count(docs)))
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding's cluster, distance and inertia."""
