@@ -55,8 +55,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 _AT = re.compile(r"[\[({]\x20?at\x20?[\])}]", re.IGNORECASE | re.ASCII)
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?\Z")
-_DOMAIN = re.compile(r"\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[\[({]\x20?dot\x20?[\])}])\x20?"
+_LOCAL = re.compile(r"[\w.%+-]{1,64}\x20?\Z")
+_DOMAIN = re.compile(r"\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[\[({]\x20?dot\x20?[\])}]\x20?)"
                      r"[A-Za-z0-9-]{1,63}){1,8}", re.IGNORECASE | re.ASCII)
 _ACCOUNT = re.compile(r"[A-Z](?<![\w.+-][A-Z])[A-Z][0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}"
                       r"(?:\x20?[A-Z0-9]{1,3})?(?!\w)")
@@ -175,7 +175,12 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         a = m.start() - (text[m.start() - 1:m.start()] == "(" and ")" in m[0])
         found.append((NUMBER, a, m.end()))
     found += [(NUMBER, m.start(), m.end()) for m in _ACCOUNT.finditer(text)]
-    found += [(PERSON, m.start(), m.end()) for m in _PERSON.finditer(text)]
+    for m in _PERSON.finditer(text):  # a word that announces a name is none of it
+        words = list(_WORD.finditer(m[0]))
+        while words and words[0][0].lower() in _PERSON_CUES:
+            del words[0]
+        if len(words) > 1:
+            found.append((PERSON, m.start() + words[0].start(), m.end()))
     taken = sorted((a, b) for _, a, b in base)
     out, at, reach = [], 0, 0  # reach: the furthest end of the base spans that start earlier
     for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2], s[0])):

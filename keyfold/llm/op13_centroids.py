@@ -79,7 +79,7 @@ def build(centroids: np.ndarray) -> Tree:
         top = int(far.std(axis=1).argmax())  # the point that tells the others apart best
         order = [i for i in np.argsort(far[top], kind="stable") if i != top]
         tree.members[node] = [of[top]]
-        for half in np.array_split(np.array(order), 2):
+        for half in np.array_split(np.array(order), min(2, len(order))):
             reach = far[top][half]
             child = grow([of[i] for i in half])
             tree.children[node].append((child, float(reach.min()), float(reach.max())))
