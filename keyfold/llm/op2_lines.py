@@ -12,7 +12,8 @@ boilerplate lines.  The join is Spark's to broadcast by size or to split where
 a host is hot.
 
 Defined cases: null html has no lines, an url without host belongs to the host
-"" ; empty lines are left out; repeated rows count as pages of their own; a host
+"" ; empty lines are left out; a script, style, comment or tag that is not closed
+hides the rest of its page; a "<" that opens no tag is text; repeated rows count as pages of their own; a host
 of fewer than ``least`` pages loses nothing; an empty table gives an empty
 result.
 """
@@ -28,10 +29,13 @@ from keyfold.llm.op5_url import host_path
 RATIO = 0.3
 LEAST = 3
 #: Markup that holds no text, tags that end a line, entities (fixed patterns).
-HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-BLOCK = (r"(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|article|section|nav|header|footer|"
-         r"title|body|head|html|blockquote|pre)(\s[^>]*)?/?>")
-TAG = r"<[^>]*>"
+#: What is opened and not closed reaches to the end of the page, as in browsers: so a
+#: match takes in all that it has looked at, and the time grows with the page.
+HIDDEN = (r"(?is)<script[^>]*(?:>|\z).*?(?:</script\s*>|\z)|<style[^>]*(?:>|\z).*?(?:</style\s*>|\z)|"
+          r"<!--.*?(?:-->|\z)")
+BLOCK = (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|article|section|nav|header|footer|"
+         r"title|body|head|html|blockquote|pre)(?:\s[^>]*)?/?(?:>|\z)")
+TAG = r"<[A-Za-z/!?][^>]*(?:>|\z)"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
@@ -42,7 +46,12 @@ def lines_of(html: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(t, BLOCK, "\n"), TAG, "")
     for entity, char in ENTITIES:
         t = F.replace(t, F.lit(entity), F.lit(char))
-    t = F.regexp_replace(t, r"[ \t\r\f]+", " ")
+    return plain_lines(t)
+
+
+def plain_lines(text: Column) -> Column:
+    """Array of the lines of a text without markup, likewise."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\r\f]+", " ")
     return F.filter(F.transform(F.split(t, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 

@@ -5,8 +5,8 @@ write them as gzipped text files whose line end is the record end, so archives
 land wherever Spark can write; places in the index are those of the unpacked
 archive.  Of records with equal payloads of ``shared`` bytes or
 more, those of the largest page number carry the payload and all others revisit
-it.  ``read_archives`` reads whole archive files (their size is bounded when
-they are written), walks the records by Content-Length and gives one index entry
+it.  An archive is closed by the running sum of its bytes, however uneven the records
+are, so ``read_archives`` can read whole files, walks the records by Content-Length and gives one index entry
 per record; the entries of an archive leave the task sorted by URL key and
 timestamp: a local run.
 
@@ -27,7 +27,9 @@ import gzip
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ from keyfold.session import pickle_by_value, shared_dir
 
 #: Payloads shorter than this are always written.
 SHARED = 1000
-#: Bytes of an archive before packing, about; a larger record has a file of its own.
+#: Bytes of an archive before packing: a new one begins with the first record that
+#: starts behind them, so that an archive is at most one record longer.
 ARCHIVE = 16 << 20
 #: Index entries a merging task holds, about.
 MERGED = 200_000
@@ -80,14 +83,20 @@ def records(pages: DataFrame, page="page_id", url="url", html="html",
 
 
 def write_archives(pages: DataFrame, path: str, archive: int = ARCHIVE, **kw) -> None:
-    """Write the records under ``path``, in files of about ``archive`` bytes."""
-    html = kw.get("html", "html")
-    s = pages.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.octet_length(F.col(html).cast("string"))).alias("b")).first()
-    each = ((s["b"] or 0) + 500 * s["n"]) / max(1, s["n"])
-    per_file = max(1, int(archive / max(1.0, each)))
-    (records(pages, **kw).write.option("lineSep", EOL + EOL).option("maxRecordsPerFile", per_file)
-     .option("compression", "gzip").text(path))
+    """Write the records under ``path``/file=..., one archive per task and file."""
+    def roll(batches):
+        done = 0  # bytes of the task's records so far
+        for b in batches:
+            text = b.column(0)
+            ends = done + np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False) + 4,
+                                    dtype="i8")
+            starts = np.concatenate([[done], ends[:-1]])
+            done = int(ends[-1]) if len(ends) else done
+            yield pa.RecordBatch.from_arrays([text, pa.array(starts // archive)], names=["value", "file"])
+
+    rolled = records(pages, **kw).mapInArrow(roll, "value string, file long")
+    (rolled.write.option("lineSep", EOL + EOL).option("compression", "gzip").partitionBy("file")
+     .text(path))
 
 
 def urlkey(url: str) -> str:
@@ -155,7 +164,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def read(batches):
         for b in batches:
             for name, content in zip(b.column(0), b.column(1)):
-                yield _batch(entries(name.as_py().rpartition("/")[2],
+                yield _batch(entries("/".join(name.as_py().split("/")[-2:]),
                                      memoryview(gzip.decompress(content.as_buffer()))))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)

@@ -27,7 +27,8 @@ from keyfold.llm.common import ascii_lower, written
 #: (verdict, host, path prefix)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
          ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Public suffixes of two labels; every other suffix is the last label.
+#: Public suffixes of two labels, where no table of suffixes is given; every other
+#: suffix is the last label.
 SECOND_LEVEL = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.jp",
                 "ne.jp", "or.jp", "com.br", "com.cn", "co.in", "co.kr", "co.nz", "co.za")
 MAX_BAD = 0.3
@@ -43,15 +44,27 @@ def host_path(url: Column) -> tuple[Column, Column]:
             F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*SECOND_LEVEL), two).otherwise(F.substring_index(host, ".", -1))
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` with suffix and registered domain.
 
-
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(host.rlike(r"^[0-9.]+(:[0-9]+)?$"), host) \
-        .when(two.isin(*SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(two)
+    ``suffixes`` has a column suffix: public suffixes of two or three labels, such as a
+    public suffix file read by Spark; the longest that ends the host counts, else the
+    last label.  An address in digits is its own domain.
+    """
+    if suffixes is None:
+        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in SECOND_LEVEL], "suffix string")
+    listed = suffixes.select(F.lower(F.col("suffix")).alias("_s")).filter("_s is not null").distinct()
+    labels = F.size(F.split("host", r"\.", -1))
+    d = hosts
+    for n in (2, 3):  # one row per host and per suffix
+        tail = F.when(labels >= n, F.substring_index("host", ".", -n))
+        d = d.join(listed.withColumnRenamed("_s", f"_s{n}"), tail == F.col(f"_s{n}"), "left")
+    n = F.when(F.col("_s3").isNotNull(), 3).when(F.col("_s2").isNotNull(), 2).otherwise(1)
+    tail = lambda k: F.array_join(F.slice(
+        F.split("host", r"\.", -1), F.greatest(labels - k + 1, F.lit(1)), k), ".")
+    digits = F.col("host").rlike(r"^[0-9.]+(:[0-9]+)?$")
+    return d.withColumn("_n", n).withColumn("suffix", tail(F.col("_n"))).withColumn(
+        "domain", F.when(digits, F.col("host")).otherwise(tail(F.col("_n") + 1))).drop("_n", "_s2", "_s3")
 
 
 def apply_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -86,7 +99,8 @@ def _level(counts: DataFrame, key: str, parent: str | None, means: DataFrame | N
     return g, _strength(g, n, bad, "prior")
 
 
-def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame:
+def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z,
+               suffixes: DataFrame | None = None) -> DataFrame:
     """Per host of ``hosts`` (column host, one row each): ``labelled``, ``bad``
     and ``bad_at_least``, the lower posterior bound of its bad share.
 
@@ -94,9 +108,9 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame
     """
     per_host = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"),
                                             F.sum("bad").alias("bad"))
-    counts = hosts.select("host").join(per_host, "host", "left").select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
-        F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad"))
+    counts = with_domains(hosts.select("host"), suffixes).join(per_host, "host", "left").select(
+        "host", "domain", "suffix", F.coalesce("n", F.lit(0)).alias("n"),
+        F.coalesce("bad", F.lit(0)).alias("bad"))
     total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     base = total["bad"] / total["n"] if total["n"] else 0.0
 
@@ -116,7 +130,8 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame
 
 
 def judge(pages: DataFrame, labels: DataFrame, page: str = "page_id", url: str = "url",
-          rules=RULES, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
+          rules=RULES, max_bad: float = MAX_BAD, z: float = Z,
+          suffixes: DataFrame | None = None) -> DataFrame:
     """``page``, host, path, rule, verdict, and the host's counts, per row of ``pages``.
 
     ``labels`` holds outcomes by page number: id, bad (0/1, null: none).
@@ -128,7 +143,7 @@ def judge(pages: DataFrame, labels: DataFrame, page: str = "page_id", url: str =
     # a host of any size is one row here, counted before the shuffle
     hosts = p.groupBy("host").agg(F.count(F.lit(1)).alias("_pages")).select("host")
     # from a table, so that the pages of a hot host may split over tasks
-    known = written(reputation(hosts, outcomes, z), "url-hosts")
+    known = written(reputation(hosts, outcomes, z, suffixes), "url-hosts")
     rule, fixed = apply_rules(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_at_least") > max_bad, F.lit("block")).otherwise(F.lit("allow"))
     return p.join(known, "host", "left").select(

@@ -14,7 +14,7 @@ driver sees is one row of sums per round of sharing.
 Defined cases: null text has size 0; null is a source of its own, the last;
 a source of size 0 has target 0 and takes nothing; rows that agree in size and
 id are ordered by a hash of the text, and rows that agree in that too are
-interchangeable; an empty table gives an empty result.
+interchangeable, and share their copies by the rest of their columns; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,19 +84,36 @@ def sizes(docs: DataFrame, doc_id="doc_id", text="text", source="source") -> Dat
 def mix(docs: DataFrame, doc_id="doc_id", text="text", source="source", **kw) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns as given.
 
-    Plan and documents meet on (id, source, text hash, occurrence), so repeated
-    rows are told apart.
+    Plan and documents meet on (id, source, text hash).  Rows that agree in these
+    share their copies: by all columns they are counted (one row for any number of
+    repeats), each kind of row takes its part of the copies in turn, each row its whole share of
+    that part, and what is left goes to one row of the kind.
     """
     key = ["_k0", "_k1", "_k2"]
-    nth = Window.partitionBy(*key).orderBy(key[0])
-    plan = copies(sizes(docs, doc_id, text, source), **kw).select(
-        F.col("doc_id").alias(key[0]), F.col("source").alias(key[1]),
-        F.col("tie").alias(key[2]), "copies").withColumn("_nth", F.row_number().over(nth))
-    plan = plan.filter("copies > 0").select(*[F.col(k).alias("p" + k) for k in [*key, "_nth"]],
-                                            F.col("copies").cast("int").alias("_copies"))
+    plan = copies(sizes(docs, doc_id, text, source), **kw).groupBy(
+        F.col("doc_id").alias(key[0]), F.col("source").alias(key[1]), F.col("tie").alias(key[2])) \
+        .agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_rows"))
     d = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias(key[0]),
-                    F.col(source).alias(key[1]), F.xxhash64(F.col(text)).alias(key[2]))
-    d = d.withColumn("_nth", F.row_number().over(nth))
-    on = [F.col(k).eqNullSafe(F.col("p" + k)) for k in [*key, "_nth"]]
-    return (d.join(plan, on).withColumn("_i", F.explode(F.sequence(F.lit(1), "_copies")))
-            .select("_row.*"))
+                    F.col(source).alias(key[1]), F.xxhash64(F.col(text)).alias(key[2]),
+                    F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_kind"))
+    kinds = d.groupBy(*key, "_kind").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*key).orderBy("_kind").rowsBetween(Window.unboundedPreceding, 0)
+    kinds = kinds.withColumn("_upto", F.sum("_n").over(upto)).select(
+        *[F.col(k).alias("p" + k) for k in [*key, "_kind"]], "_n", "_upto")
+    same = lambda a, b: [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)]
+    shares = kinds.join(plan, same(["p" + k for k in key], key)).drop(*key)
+    part = F.expr("_all * _upto div _rows - _all * (_upto - _n) div _rows")
+    # from a table, so that a row repeated very often may split over tasks
+    shares = written(shares.withColumn("_part", part).filter("_part > 0").select(
+        *["p" + k for k in [*key, "_kind"]], F.expr("_part div _n").alias("_each"),
+        F.expr("_part % _n").alias("_left")), "mix-plan")
+    theirs = ["p" + k for k in [*key, "_kind"]]
+    met = same([*key, "_kind"], theirs)
+    each = d.join(shares.filter("_each > 0").drop("_left"), met).select(
+        "_row", F.explode(F.sequence(F.lit(1), F.col("_each").cast("int"))).alias("_i"))
+    # only repeated rows have something left: a table of its own, mostly empty
+    rest = written(shares.filter("_left > 0").drop("_each"), "mix-left")
+    one = d.join(rest, met).groupBy(*theirs).agg(F.any_value("_row").alias("_row"),
+                                                 F.any_value("_left").alias("_left"))
+    left = one.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_left")).alias("_i"))
+    return each.select("_row").union(left.select("_row")).select("_row.*")

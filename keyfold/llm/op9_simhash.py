@@ -273,7 +273,8 @@ def groups_of(sig: DataFrame, radius: int = RADIUS) -> DataFrame:
     root = components(links(fps, radius))
     named = fps.join(root, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    low = named.groupBy("root").agg(F.min("least").alias("component"))
+    # from a table, so that the fingerprints of a large component may split over tasks
+    low = written(named.groupBy("root").agg(F.min("least").alias("component")), "simhash-least")
     return sig.join(named.join(low, "root").select("fp", "root", "component"), "fp")
 
 

@@ -20,6 +20,7 @@ from keyfold.llm import op6_mix as op6
 from keyfold.llm import op7_pack as op7
 from keyfold.llm import op8_quotes as op8
 from keyfold.llm import op9_simhash as op9
+from keyfold.llm import outcomes
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +38,7 @@ WORD_SQL = r"[^\x20\x09-\x0D]+"
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its measures and the verdict of the rule table."""
-    j = op3.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    j = op3.judge(table(spark, sf_dir, "documents"), keep=["doc_id"], lang="lang")
     return j.select(F.col("row.doc_id").alias("doc_id"), *[f"m.{m}" for m in op3.MEASURES],
                     "base_failed", "kept",
                     F.concat_ws(",", "failed_rules").alias("failed_rules"))
@@ -47,7 +48,8 @@ def _rule_sql(r: op3.Rule) -> str:
     per = r.per or "1"
     parts = ([f"{r.scale} * {r.value} < {r.low} * {per}"] if r.low is not None else []) + \
         ([f"{r.scale} * {r.value} > {r.high} * {per}"] if r.high is not None else [])
-    return "(" + " OR ".join(parts) + ")"
+    langs = f" AND coalesce(lang IN {r.languages}, false)" if r.languages else ""
+    return "((" + " OR ".join(parts) + f"){langs})"
 
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(op3.STOP_WORDS))
@@ -55,9 +57,9 @@ _BULLETS = ", ".join(f"'{b}'" for b in op3.BULLETS)
 _BLANK = r"[\x20\x09-\x0D]"
 ORACLE["op3_quality_rules"] = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+  SELECT doc_id, lang, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 w AS (
-  SELECT r, doc_id, t, regexp_extract_all(t, '{WORD_SQL}') AS w,
+  SELECT r, doc_id, lang, t, regexp_extract_all(t, '{WORD_SQL}') AS w,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD_SQL}')) AS lines
   FROM d),
 pos AS (
@@ -71,7 +73,7 @@ cov AS (
   SELECT r, count(DISTINCT q) AS n FROM (
     SELECT r, unnest([p, p + 1, p + 2]) AS q FROM dup WHERE n > 1) GROUP BY r),
 m AS (
-  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT w.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(t, '{_BLANK}', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper,
@@ -89,16 +91,25 @@ v AS (
          concat_ws(',', {", ".join(f"CASE WHEN {_rule_sql(r)} THEN '{r.name}' END"
                                    for r in (*op3.BASE_RULES, *op3.RULES))}) AS failed_rules
   FROM m)
-SELECT *, failed_rules = '' AS kept FROM v
+SELECT * EXCLUDE (lang), failed_rules = '' AS kept FROM v
 """
 
 
+_ENTITIES = "t"
+for _e, _c in op2.ENTITIES:
+    _ENTITIES = "replace({}, '{}', '{}')".format(_ENTITIES, _e, _c.replace("'", "''"))
+_TEXT_SQL = f"""regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '{op2.HIDDEN}', ' ', 'g'), '{op2.BLOCK}', chr(10), 'g'), '{op2.TAG}', '', 'g')"""
+
+
+def _lines_sql(text: str) -> str:
+    return f"""list_filter(list_transform(string_split(regexp_replace({text}, '[ \t\r\f]+', ' ', 'g'),
+      chr(10)), lambda x: trim(x)), lambda x: x <> '')"""
+
+
 def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels as outcomes by page number: bad if of low quality or toxic."""
-    bad = F.when(F.col("quality").isNull() & F.col("toxic").isNull(), None).otherwise(
-        (F.coalesce(F.col("quality") == 0, F.lit(False))
-         | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("long"))
-    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    """Outcomes of the pages that show text of labelled documents."""
+    return outcomes.page_outcomes(*[table(spark, sf_dir, t) for t in ("pages", "documents", "labels")])
 
 
 @query
@@ -123,7 +134,20 @@ def _strength_sql(groups: str) -> str:
 
 
 ORACLE["op5_url_filters"] = rf"""
-WITH r AS (
+WITH doc_lines AS (
+  SELECT CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad,
+         unnest(list_distinct({_lines_sql("coalesce(text, '')")})) AS line
+  FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL OR toxic IS NOT NULL),
+stands AS (
+  SELECT line, min(bad) AS bad FROM doc_lines WHERE length(line) >= {outcomes.LONG}
+  GROUP BY line HAVING min(bad) = max(bad)),
+shown AS (
+  SELECT page_id, unnest(list_distinct({_lines_sql(_ENTITIES)})) AS line
+  FROM (SELECT page_id, {_TEXT_SQL} AS t FROM pages)),
+out AS (
+  SELECT page_id, CASE WHEN 2 * sum(bad) >= count(*) THEN 1 ELSE 0 END AS bad
+  FROM shown JOIN stands USING (line) GROUP BY page_id),
+r AS (
   SELECT page_id, CASE WHEN contains(url, '://')
     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (
@@ -131,9 +155,7 @@ p AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r),
 o AS (
-  SELECT host, count(*) AS m, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS b
-  FROM p JOIN labels ON page_id = doc_id
-  WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY host),
+  SELECT host, count(*) AS m, sum(bad) AS b FROM p JOIN out USING (page_id) GROUP BY host),
 n AS (
   SELECT host, string_split(host, '.') AS l FROM (SELECT DISTINCT host FROM p)),
 c AS (
@@ -267,21 +289,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("lines", "\n").alias("text"))
 
 
-_ENTITIES = "t"
-for _e, _c in op2.ENTITIES:
-    _ENTITIES = "replace({}, '{}', '{}')".format(_ENTITIES, _e, _c.replace("'", "''"))
 ORACLE["op2_line_dedup"] = rf"""
 WITH h AS (
   SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://')
     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
-    regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-      '{op2.HIDDEN}', ' ', 'g'), '{op2.BLOCK}', chr(10), 'g'), '{op2.TAG}', '', 'g') AS t
-  FROM pages),
+    {_TEXT_SQL} AS t FROM pages),
 p AS (
   SELECT r, page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    list_filter(list_transform(string_split(regexp_replace({_ENTITIES}, '[ \t\r\f]+', ' ', 'g'),
-      chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM h),
+    {_lines_sql(_ENTITIES)} AS l FROM h),
 n AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 s AS (
   SELECT host, line, count(*) AS n

@@ -133,3 +133,67 @@ def best_fit(sizes, length):
         else:
             free.append(length - n)
     return sorted(free)
+
+
+def squeezed(text):
+    return " ".join(lower(text).split())
+
+
+def quote_parts(text):
+    """Own lines and quoted passages (level, lines) of a message."""
+    own, passages, before = [], [], 0
+    for line in (text or "").split("\n"):
+        m = re.match(r"(?:[ \t]*>)+[ \t]?", line)
+        level = m[0].count(">") if m else 0
+        if level == 0:
+            own.append(line)
+        elif level == before:
+            passages[-1][1].append(line[m.end():])
+        else:
+            passages.append((level, [line[m.end():]]))
+        before = level
+    return own, passages
+
+
+def quote_units(lines):
+    whole = "\n".join(lines)
+    return {squeezed(x) for x in [whole, *re.split(r"\n\s*\n", whole), *lines]} - {""}
+
+
+def quotes(messages):
+    """(conv, turn) -> parent, root and links of messages (conv, turn, text), each
+    turn once and no introducing lines."""
+    out = {}
+    for conv in {c for c, _, _ in messages}:
+        own = sorted((t, *quote_parts(x)) for c, t, x in messages if c == conv)
+        units = {t: quote_units(o if not p else re.sub(r"\n{3,}", "\n\n", "\n".join(o)).strip("\n").split("\n"))
+                 for t, o, p in own}
+        texts = {t: squeezed("\n".join(o)) for t, o, _ in own}
+        parent = {}
+        for turn, _, passages in own:
+            links, votes, seen = set(), {}, set()
+            for level, lines in passages:
+                hit = False
+                for u in quote_units(lines):
+                    at = max((t for t in units if t < turn and u in units[t]), default=None)
+                    if at is not None:
+                        hit = True
+                        links.add((level, at))
+                        if level == 1 and u not in seen:
+                            seen.add(u)
+                            votes[at] = votes.get(at, 0) + len(u.encode())
+                whole = squeezed("\n".join(lines))
+                if not hit and len(whole.split()) >= 3:
+                    at = max((t for t in texts if t < turn and f" {whole} " in f" {texts[t]} "), default=None)
+                    if at is not None:
+                        links.add((level, at))
+                        if level == 1:
+                            votes[at] = votes.get(at, 0) + len(whole.encode())
+            parent[turn] = max(votes, key=lambda t: (votes[t], t)) if votes else None
+            out[conv, turn] = [parent[turn], None, ",".join(sorted(f"{a}:{b}" for a, b in links))]
+        for turn in parent:
+            root = turn
+            while parent[root] is not None:
+                root = parent[root]
+            out[conv, turn][1] = root
+    return {k: tuple(v) for k, v in out.items()}

@@ -135,7 +135,9 @@ def test_quality_measures(spark):
     assert op3_quality.keep_good(df.limit(0)).count() == 0
 
 
-def test_quality_repeats_by_brute_force(spark):
+@pytest.mark.parametrize("long", [op3_quality.LONG, 0, 9])
+def test_quality_repeats_by_brute_force(spark, monkeypatch, long):
+    monkeypatch.setattr(op3_quality, "LONG", long)
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60))) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
