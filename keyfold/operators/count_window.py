@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.operators.running import run_count, running
+from keyfold.operators.scan import Fold, fold_groups
 
 
 def _cols(x) -> list[str]:
@@ -32,8 +33,8 @@ def count_chunks(df: DataFrame, key, seq: str, n: int,
                  ) -> DataFrame:
     """ST-1/3: fold each full group of ``n`` arrivals per key.
 
-    ``aggs`` returns the aggregate columns (the pluggable reducer).  Output:
-    key, ``chunk_no`` (0-based), the aggregates; full groups only.
+    ``aggs`` returns the aggregate columns; a reducer of the user's own goes through
+    :func:`count_chunk_fold`.  Output: key, ``chunk_no`` (0-based), the aggregates; full groups only.
     """
     key = _cols(key)
     numbered = number_arrivals(df, key, seq, bucket_width)
@@ -42,6 +43,27 @@ def count_chunks(df: DataFrame, key, seq: str, n: int,
     return g.filter(F.col("_cnt") == n).drop("_cnt")
 
 
+def count_chunk_fold(df: DataFrame, key, seq: str, n: int, fold: Fold, name: str,
+                     bucket_width: int | None = None) -> DataFrame:
+    """ST-3 with any associative reducer, also one that depends on the order: the
+    fold of each full group of ``n`` arrivals per key, in order of arrival.
+
+    Groups longer than a bucket are folded bucket by bucket.
+    """
+    numbered = number_arrivals(df, key, seq, bucket_width, "arrival_no").withColumn(
+        "chunk_no", F.expr(f"(arrival_no - 1) div {int(n)}"))
+    return fold_chunks(numbered, key, n, fold, name, bucket_width)
+
+
+def fold_chunks(numbered: DataFrame, key, n: int, fold: Fold, name: str,
+                bucket_width: int | None = None) -> DataFrame:
+    """key, ``chunk_no`` and the fold of all full groups, of rows that have
+    ``arrival_no`` and ``chunk_no``."""
+    g = fold_groups(numbered, [*_cols(key), "chunk_no"], "arrival_no", fold, name,
+                    bucket_width or n, levels=0 if not bucket_width or n <= bucket_width else 1)
+    return g.filter(F.col("n") == n).drop("n")
+
+
 def count_chunk_list(df: DataFrame, key, seq: str, value: Column, n: int,
                      bucket_width: int | None = None) -> DataFrame:
     """ST-2: the group's values in arrival order, each after one space, and their sum.
@@ -72,6 +94,7 @@ def fixed_batches(df: DataFrame, bucket: Column, seq: str, n: int,
     numbered = numbered.withColumn("batch_no", F.expr(f"(_rn - 1) div {int(n)}"))
     # one row per bucket value; Spark broadcasts it by its size
     full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("_tot"))
-    out = numbered.join(full, "bucket").filter(
+    full = full.withColumnRenamed("bucket", "_bucket")
+    out = numbered.join(full, F.col("bucket").eqNullSafe(F.col("_bucket"))).filter(
         F.col("batch_no") < F.expr(f"_tot div {int(n)}"))
-    return out.drop("_tot", "_rn")
+    return out.drop("_tot", "_rn", "_bucket")

@@ -32,6 +32,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyfold.operators.scan import scan, total_and_peak
+
 _FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
 _NULL_BUCKET = -(1 << 62)
 
@@ -48,6 +50,7 @@ class RunAgg:
     op: str
     expr: Column
     finish: Callable[[Column], Sequence[Column] | Column] | None = None
+    packed: bool = False  # a struct, which Spark can't aggregate by hash
 
     def combine(self, carry: Column, local: Column) -> Column:
         if self.op == "sum":
@@ -96,21 +99,21 @@ def run_min_by(value, seq: str, fields: Sequence[str], prefix: str) -> RunAgg:
     return RunAgg(prefix + "rec", "min",
                   F.struct(v.isNull().alias("_z"), _struct_payload(v, F.col(seq), fields)
                            .alias("_r")),
-                  lambda c: _unpack(prefix, fields)(c["_r"]))
+                  lambda c: _unpack(prefix, fields)(c["_r"]), packed=True)
 
 
 def run_max_by(value, seq: str, fields: Sequence[str], prefix: str) -> RunAgg:
     """Whole record holding the running maximum of ``value``; earliest wins ties."""
     v = F.col(value) if isinstance(value, str) else value
     return RunAgg(prefix + "rec", "max", _struct_payload(v, -F.col(seq), fields),
-                  _unpack(prefix, fields))
+                  _unpack(prefix, fields), packed=True)
 
 
 def run_first(seq: str, fields: Sequence[str], prefix: str) -> RunAgg:
     """Fields of the key's first record (the record with the smallest ``seq``)."""
     return RunAgg(prefix + "rec", "min",
                   F.struct(F.col(seq).alias("_t"), *[F.col(f).alias(f) for f in fields]),
-                  _unpack(prefix, fields))
+                  _unpack(prefix, fields), packed=True)
 
 
 def _publish(aggs: Sequence[RunAgg], folded: dict[str, Column]) -> list[Column]:
@@ -144,6 +147,27 @@ def running(df: DataFrame, key, order, aggs: Sequence[RunAgg],
         folded = {a.name: _FOLDS[a.op](a.expr).over(w) for a in aggs}
         return df.select(*base_cols, *_publish(aggs, folded))
 
+    local, totals = _local(df, key, order, aggs, int(bucket_width))
+    carry = _exclusive_prefix(totals, aggs, int(bucket_width), carry_levels)
+    carry = carry.select(F.col("_key").alias("_ck"), F.col("_bkt").alias("_cb"),
+                         *[f"_c{i}" for i in range(len(aggs))])
+    joined = local.join(carry, (F.col("_key") == F.col("_ck")) & (F.col("_bkt") == F.col("_cb")),
+                        "inner")
+    folded = {a.name: a.combine(F.col(f"_c{i}"), F.col(f"_l{i}"))
+              for i, a in enumerate(aggs)}
+    return joined.select(*_given(df, key), *_publish(aggs, folded))
+
+
+def _given(df: DataFrame, key: Sequence[str]) -> list[Column]:
+    """The columns of ``df``; its key is read from the struct, so that it need
+    not travel twice and totals can use the rows' own shuffle."""
+    return [F.col("_key")[c].alias(c) if c in key else F.col(c) for c in df.columns]
+
+
+def _local(df: DataFrame, key: Sequence[str], order: Sequence[str], aggs: Sequence[RunAgg],
+           width: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the folds of their bucket so far (``_l{i}``), and the buckets'
+    totals (``_key``, ``_bkt``, ``_t{i}``)."""
     # One struct column carries the key: struct equality matches nested nulls,
     # so null keys survive the joins, and the row window, the totals and the
     # carry join all cluster on the same (_key, _bkt) -- the row side is
@@ -152,25 +176,32 @@ def running(df: DataFrame, key, order, aggs: Sequence[RunAgg],
     # simple form orders nulls first): no isnotnull filter is inferred into
     # one branch only, so both uses of the totals share one exchange.
     b = df.select("*", F.struct(*[F.col(k) for k in key]).alias("_key"),
-                  F.coalesce(F.expr(f"`{order[0]}` div {int(bucket_width)}"),
-                             F.lit(_NULL_BUCKET)).alias("_bkt"))
-    wl = (Window.partitionBy("_key", "_bkt").orderBy(*order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = b.select("*", *[_FOLDS[a.op](a.expr).over(wl).alias(f"_l{i}")
+                  F.coalesce(F.expr(f"`{order[0]}` div {width}"), F.lit(_NULL_BUCKET)).alias("_bkt"))
+    by = Window.partitionBy("_key", "_bkt").orderBy(*order)
+    so_far = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = b.select("*", *[_FOLDS[a.op](a.expr).over(so_far).alias(f"_l{i}")
                             for i, a in enumerate(aggs)])
-    # totals per (key, bucket): partial + final aggregate, one row per bucket
-    # (hash aggregate for numeric folds; struct folds -- arg-min/max, first --
-    # aggregate sort-based, still partial before the shuffle)
-    totals = b.groupBy("_key", "_bkt").agg(
-        *[_FOLDS[a.op](a.expr).alias(f"_t{i}") for i, a in enumerate(aggs)])
-    carry = _exclusive_prefix(totals, aggs, int(bucket_width), carry_levels)
-    carry = carry.select(F.col("_key").alias("_ck"), F.col("_bkt").alias("_cb"),
-                         *[f"_c{i}" for i in range(len(aggs))])
-    joined = local.join(carry, (F.col("_key") == F.col("_ck")) & (F.col("_bkt") == F.col("_cb")),
-                        "inner")
-    folded = {a.name: a.combine(F.col(f"_c{i}"), F.col(f"_l{i}"))
-              for i, a in enumerate(aggs)}
-    return joined.select(*[F.col(c) for c in df.columns], *_publish(aggs, folded))
+    if not any(a.packed for a in aggs):
+        # partial + final hash aggregate, one row per bucket
+        return local, b.groupBy("_key", "_bkt").agg(
+            *[_FOLDS[a.op](a.expr).alias(f"_t{i}") for i, a in enumerate(aggs)])
+    # Spark aggregates structs by sorting all rows.  The rows are sorted already:
+    # a bucket's totals are the running values of its last row, read from the
+    # rows' own shuffle.
+    last = local.withColumn("_end", F.lead(F.lit(False), 1, True).over(by)).filter("_end")
+    return local, last.select("_key", "_bkt", *[F.col(f"_l{i}").alias(f"_t{i}")
+                                                for i in range(len(aggs))])
+
+
+def key_totals(df: DataFrame, key, order, aggs: Sequence[RunAgg], width: int) -> DataFrame:
+    """Key columns and the folds of all rows of a key."""
+    key, order = _cols(key), _cols(order)
+    if not any(a.packed for a in aggs):
+        return df.groupBy(*key).agg(*[_FOLDS[a.op](a.expr).alias(a.name) for a in aggs])
+    _, totals = _local(df, key, order, aggs, int(width))
+    g = totals.groupBy("_key").agg(*[_FOLDS[a.op](F.col(f"_t{i}")).alias(a.name)
+                                     for i, a in enumerate(aggs)])
+    return g.select("_key.*", *[a.name for a in aggs])
 
 
 def _exclusive_prefix(totals: DataFrame, aggs: Sequence[RunAgg], width: int,
@@ -211,32 +242,10 @@ def _exclusive_prefix(totals: DataFrame, aggs: Sequence[RunAgg], width: int,
 
 def running_total_max(df: DataFrame, key, order, value: str, bucket_width: int,
                       total: str = "run_total", top: str = "run_max_total") -> DataFrame:
-    """RUN-8/12: running total of ``value`` and the running maximum of that total.
-
-    (total, maximum) of a range of rows is a monoid -- the maximum of two ranges
-    is that of the first, or the first's total plus that of the second -- so one
-    bucketed pass gives both: rows are shuffled once by (key, bucket), the
-    buckets' pairs come from that same shuffle, and a window over them (N / width
-    rows per key) gives what each bucket carries in.
-    """
-    key, order = _cols(key), _cols(order)
-    b = df.select("*", F.struct(*[F.col(k) for k in key]).alias("_key"),
-                  F.coalesce(F.expr(f"`{order[0]}` div {int(bucket_width)}"),
-                             F.lit(_NULL_BUCKET)).alias("_bkt"))
-    wl = (Window.partitionBy("_key", "_bkt").orderBy(*order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = b.withColumn("_ls", F.sum(value).over(wl)).withColumn("_lm", F.max("_ls").over(wl))
-    pairs = local.groupBy("_key", "_bkt").agg(F.sum(value).alias("_s"), F.max("_lm").alias("_m"))
-    before = (Window.partitionBy("_key").orderBy("_bkt")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = pairs.withColumn("_cs", F.sum("_s").over(before))
-    reach = F.coalesce(F.col("_cs") + F.col("_m"), F.col("_m"))
-    carry = carry.select(F.col("_key").alias("_ck"), F.col("_bkt").alias("_cb"), "_cs",
-                         F.max(reach).over(before).alias("_cm"))
-    out = local.join(carry, (F.col("_key") == F.col("_ck")) & (F.col("_bkt") == F.col("_cb")))
-    run = F.coalesce(F.col("_cs") + F.col("_ls"), F.col("_ls"), F.col("_cs"))
-    most = F.greatest("_cm", F.coalesce(F.col("_cs") + F.col("_lm"), F.col("_lm")))
-    return out.select(*[F.col(c) for c in df.columns], run.alias(total), most.alias(top))
+    """RUN-8/12: running total of ``value`` and the running maximum of that total,
+    as one scan of (total, maximum) pairs."""
+    out = scan(df, key, order, total_and_peak(value), "_scan", bucket_width)
+    return out.select(*df.columns, F.col("_scan.s").alias(total), F.col("_scan.m").alias(top))
 
 
 def first_occurrence_flag(df: DataFrame, cols, order, name: str = "is_first") -> DataFrame:

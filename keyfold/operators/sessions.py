@@ -11,12 +11,17 @@ The global (un-keyed) form is the hard one: it has a single group.  Plan:
    event time (``seq`` makes the range key unique, so even one hot instant is
    split), then ``sortWithinPartitions``.
 2. ``mapInPandas`` walks each partition once in Arrow batches, carrying only
-   the open session across batches, and emits partial sessions.  Sessions
-   strictly inside a partition are final.
-3. Only the first and last partial session of each partition can continue in
-   a neighbouring partition -- and, where segments have a length, the sessions
-   that start within reach of a segment of an earlier partition.  Those edge
-   rows are stitched with one ordered window and re-aggregated.
+   the open session across batches, and emits partial sessions, which lie more
+   than ``gap`` apart within a partition.
+3. How far the earlier partitions reach is a prefix maximum over one row per
+   partition and key.  Partial sessions that start within that reach go on with the
+   last session that starts in an earlier partition, which is the same kind of prefix
+   maximum; all others start a session of their own.  A grouped sum over (key, first
+   start), partial before its shuffle, adds the pieces up: one long session over very many
+   pieces is no hot group.
+
+Rows without a time are in no session; a null value adds nothing to its session's
+total, which is null where all are; a null key is a key.
 
 No task ever holds more than one range partition, and nothing passes through
 the driver.
@@ -50,23 +55,19 @@ def _partial_sessions(gap_us: int):
     """Per-partition session builder for ``mapInPandas``.
 
     Input: segments sorted by (key, start) -- ``t`` start, ``t2`` last event
-    time, ``c`` rows, ``v`` total; a raw row is a segment with ``t2 == t`` and
-    ``c == 1``.  A segment opens a new session when its key changes or its
+    time, ``c`` rows, ``m`` values, ``v`` their total; a raw row is a segment with
+    ``t2 == t`` and ``c == 1``.  A segment opens a new session when its key changes or its
     start lies more than ``gap`` after the latest ``t2`` seen in the session
     (a per-key running max).  Vectorised per Arrow batch; only the session
     open at a batch end is carried (as scalars) into the next batch.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_s = None  # (key, start, last, total, n) of the session still open
-        head = True    # the next emitted session is the partition's first
+        open_s = None  # (key, start, last, total, n, values) of the session still open
         for pdf in batches:
             if pdf.empty:
                 continue
-            ts = pdf["t"].to_numpy(dtype=np.int64)
-            t2 = pdf["t2"].to_numpy(dtype=np.int64)
-            cnt = pdf["c"].to_numpy(dtype=np.int64)
-            val = pdf["v"].to_numpy(dtype=np.int64)
+            ts, t2, val, cnt, got = (pdf[c].to_numpy(dtype=np.int64) for c in ("t", "t2", "v", "c", "m"))
             keys = pdf["skey"].to_numpy(dtype=object)
             new_key = np.ones(len(ts), dtype=bool)
             new_key[1:] = keys[1:] != keys[:-1]
@@ -88,43 +89,25 @@ def _partial_sessions(gap_us: int):
             cont = int(starts[0]) if len(starts) else len(ts)
             if open_s is not None and cont > 0:  # segments continuing the open session
                 open_s = (open_s[0], open_s[1], max(open_s[2], int(t2[:cont].max())),
-                          open_s[3] + int(val[:cont].sum()), open_s[4] + int(cnt[:cont].sum()))
+                          *[o + int(x[:cont].sum()) for o, x in zip(open_s[3:], (val, cnt, got))])
             if not len(starts):
                 continue
-            bounds = np.append(starts, len(ts))
-            sums = np.add.reduceat(val, starts)
-            ns = np.add.reduceat(cnt, starts)
-            lasts = np.maximum.reduceat(t2, starts)
-            closed = len(starts) - 1  # sessions that end inside this batch
-            parts = []
             if open_s is not None:
-                parts.append(_to_frame([open_s], head, False))
-                head = False
-            if closed:
-                parts.append(pd.DataFrame({
-                    "skey": keys[starts[:-1]], "s_start": ts[starts[:-1]],
-                    "s_last": lasts[:-1], "total": sums[:-1], "n": ns[:-1],
-                    "is_head": np.arange(closed) == 0 if head else np.zeros(closed, bool),
-                    "is_tail": np.zeros(closed, bool)}))
-                head = False
-            a = int(bounds[-2])
-            open_s = (keys[a], int(ts[a]), int(lasts[-1]), int(sums[-1]), int(ns[-1]))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+                yield pd.DataFrame([open_s], columns=_PARTIAL)
+            lasts = np.maximum.reduceat(t2, starts)
+            sums = [np.add.reduceat(x, starts) for x in (val, cnt, got)]
+            if len(starts) > 1:  # sessions that end inside this batch
+                yield pd.DataFrame(dict(zip(_PARTIAL, [
+                    keys[starts[:-1]], ts[starts[:-1]], lasts[:-1], *[x[:-1] for x in sums]])))
+            a = int(starts[-1])
+            open_s = (keys[a], int(ts[a]), int(lasts[-1]), *[int(x[-1]) for x in sums])
         if open_s is not None:
-            yield _to_frame([open_s], head, True)
+            yield pd.DataFrame([open_s], columns=_PARTIAL)
 
     return run
 
 
-def _to_frame(sessions, is_head: bool, is_tail: bool) -> pd.DataFrame:
-    df = pd.DataFrame(sessions, columns=["skey", "s_start", "s_last", "total", "n"])
-    for c in ("s_start", "s_last", "total", "n"):
-        df[c] = df[c].astype("int64")
-    df["is_head"], df["is_tail"] = is_head, is_tail
-    return df
-
-
+_PARTIAL = ["skey", "s_start", "s_last", "total", "n", "m"]
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -139,7 +122,8 @@ def _from_micros(us):
 
 def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
                     key: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Sessions with ``count`` and exact ``total`` of an integral ``value``.
+    """Sessions with ``count`` and exact ``total`` of an integral ``value``; rows
+    without a time are in none.
 
     Returns ``[key,] session_start, session_end, n, total``.
     """
@@ -150,58 +134,46 @@ def session_windows(df: DataFrame, ts: str, gap: str, value, seq: str,
         raise TypeError(f"session totals are exact sums of integers, not of {kind.simpleString()}")
     t = _micros(F.col(ts))
     segs = df.select(kcol.alias("skey"), t.alias("t"), t.alias("t2"),
-                     F.lit(1).cast("long").alias("c"), v.cast("long").alias("v"),
-                     F.col(seq).cast("long").alias("_seq"))
+                     F.lit(1).cast("long").alias("c"), v.isNotNull().cast("long").alias("m"),
+                     v.cast("long").alias("v"), F.col(seq).cast("long").alias("_seq"))
     out = session_segments(segs, gap, partitions)
     return out.select(
         *([F.col("skey").cast(df.schema[key].dataType).alias(key)] if key is not None else []),
         _from_micros(F.col("s_start")).alias("session_start"),
         _from_micros(F.col("s_last") + F.lit(_gap_micros(gap))).alias("session_end"),
-        F.col("n"), F.col("total"))
+        F.col("n"), F.when(F.col("m") > 0, F.col("total")).alias("total"))
 
 
-def session_segments(segs: DataFrame, gap: str, partitions: int | None = None,
-                     reaching: bool = False) -> DataFrame:
-    """Merge segments ``(skey, t, t2, c, v, _seq)`` -- wall-clock microseconds,
-    rows, total; ``_seq`` breaks ties -- into sessions
-    ``(skey, s_start, s_last, n, total)``.  Raw rows and already-built open
-    sessions mix freely (``reaching``: segments may have a length), which is what
-    the stream form feeds in.
+def session_segments(segs: DataFrame, gap: str, partitions: int | None = None) -> DataFrame:
+    """Merge segments ``(skey, t, t2, c, m, v, _seq)`` -- wall-clock microseconds,
+    rows, values, their total; ``_seq`` breaks ties -- into sessions
+    ``(skey, s_start, s_last, n, m, total)``.  Raw rows and already-built open
+    sessions, which have a length, mix freely; the stream form feeds in both.
     """
     gap_us = _gap_micros(gap)
     n = partitions or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (segs.repartitionByRange(n, "skey", "t", "_seq")
-              .sortWithinPartitions("skey", "t", "_seq")
-              .select("skey", "t", "t2", "c", "v"))
-    schema = T.StructType([
-        T.StructField("skey", T.StringType()), T.StructField("s_start", T.LongType()),
-        T.StructField("s_last", T.LongType()), T.StructField("total", T.LongType()),
-        T.StructField("n", T.LongType()), T.StructField("is_head", T.BooleanType()),
-        T.StructField("is_tail", T.BooleanType())])
-    partial = ranged.mapInPandas(_partial_sessions(gap_us), schema)
-
-    # Inner sessions are final: each becomes its own window group.  Edge rows
-    # share the null group and are chained in start order, against the running
-    # max of their ends.
-    edge = F.col("is_head") | F.col("is_tail")
-    if reaching:
-        # how far the segments of earlier partitions reach: one row per partition
-        # and key.  The checkpoint fixes which session is in which partition.
-        shared_dir(segs.sparkSession)
-        partial = partial.withColumn("_part", F.spark_partition_id()).checkpoint()
-        ends = partial.groupBy("skey", "_part").agg(F.max("s_last").alias("_end"))
-        earlier = Window.partitionBy("skey").orderBy("_part").rowsBetween(
-            Window.unboundedPreceding, -1)
-        ends = ends.withColumn("_reach", F.max("_end").over(earlier)).drop("_end")
-        partial = partial.join(ends, ["skey", "_part"])
-        edge = edge | F.coalesce(F.col("s_start") <= F.col("_reach") + F.lit(gap_us), F.lit(False))
-    grp = F.when(edge, F.lit(None)).otherwise(F.struct("skey", "s_start"))
-    staged = partial.withColumn("_grp", grp)
-    w = Window.partitionBy("_grp", "skey").orderBy("s_start", "s_last")
-    prev_last = F.max("s_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    brk = prev_last.isNull() | ((F.col("s_start") - prev_last) > F.lit(gap_us))
-    isl = staged.withColumn("_isl", F.sum(F.when(brk, 1).otherwise(0)).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return isl.groupBy("_grp", "skey", "_isl").agg(
-        F.min("s_start").alias("s_start"), F.max("s_last").alias("s_last"),
-        F.sum("total").alias("total"), F.sum("n").alias("n")).drop("_grp", "_isl")
+    ranged = (segs.filter("t is not null").withColumn("v", F.coalesce("v", F.lit(0).cast("long")))
+              .repartitionByRange(n, "skey", "t", "_seq").sortWithinPartitions("skey", "t", "_seq")
+              .select("skey", "t", "t2", "c", "m", "v"))
+    partial = ranged.mapInPandas(_partial_sessions(gap_us), "skey string, s_start long, s_last long, "
+                                                            "total long, n long, m long")
+    # the checkpoint fixes which session is in which partition
+    shared_dir(segs.sparkSession)
+    partial = partial.withColumn("_part", F.spark_partition_id()).checkpoint()
+    # of every key and partition: how far its earlier partitions reach, and the last
+    # session that starts in them; one row per key and partition
+    earlier = Window.partitionBy("skey").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+    def with_earlier(df: DataFrame, c: str, name: str) -> DataFrame:
+        side = df.groupBy("skey", "_part").agg(F.max(c).alias(name)).select(
+            F.col("skey").alias("_k"), F.col("_part").alias("_p"), F.max(name).over(earlier).alias(name))
+        return df.join(side, F.col("skey").eqNullSafe(F.col("_k")) & (F.col("_part") == F.col("_p"))) \
+            .drop("_k", "_p")
+
+    first = F.when(F.col("_reach").isNull() | (F.col("s_start") > F.col("_reach") + F.lit(gap_us)),
+                   F.col("s_start"))
+    marked = with_earlier(partial, "s_last", "_reach").withColumn("_first", first)
+    joined = with_earlier(marked, "_first", "_from").withColumn("_from", F.coalesce("_first", "_from"))
+    return joined.groupBy("skey", "_from").agg(
+        F.max("s_last").alias("s_last"), F.sum("n").alias("n"), F.sum("m").alias("m"),
+        F.sum("total").alias("total")).withColumnRenamed("_from", "s_start")

@@ -45,18 +45,29 @@ def large_delta(df: DataFrame, ts: str, size: str, key: str, seq: str, price: st
     """WIN-10: alert when the window max price moved more than ``threshold`` %.
 
     Reports percent, previous and current max, and the stamp of the first
-    record reaching the current max.
+    record reaching the current max.  Maxima are aggregated first; only rows that hold
+    one are aggregated for the stamp.  Both are hash aggregates, where a minimum over
+    (price, sequence) pairs would sort all rows.
     """
-    per = tumbling(df, ts, size, key, [
-        F.max(price).alias("cur_max"),
-        # earliest record holding the max: smallest (-price, seq)
-        F.min_by(stamp, F.struct((-F.col(price)).alias("p"), F.col(seq).alias("s")))
-        .alias("max_stamp")])
+    w = F.window(F.col(ts), size)
+    rows = df.select(w["start"].alias("window_start"), w["end"].alias("window_end"), key,
+                     F.col(price).alias("_p"), F.col(seq).alias("_s"), stamp.alias("_stamp"))
+    top = rows.groupBy("window_start", "window_end", key).agg(F.max("_p").alias("cur_max"))
+    side = top.select(F.col("window_start").alias("_w"), F.col(key).alias("_k"), "cur_max")
+    # a window of null prices keeps its first record
+    held = rows.join(side, (F.col("window_start") == F.col("_w")) & F.col(key).eqNullSafe(F.col("_k"))
+                     & F.col("_p").eqNullSafe(F.col("cur_max")))
+    per = held.groupBy("window_start", "window_end", key, "cur_max").agg(
+        F.min_by("_stamp", "_s").alias("max_stamp"))
+    return alerts(per, key, threshold)
+
+
+def alerts(per: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Windows whose ``cur_max`` moved more than ``threshold`` % from that of
+    the key's previous window, with ``change_pct`` and ``prev_max``."""
     w = Window.partitionBy(key).orderBy("window_start")
     with_prev = per.withColumn("prev_max", F.lag("cur_max").over(w))
-    pct = (F.col("cur_max") - F.col("prev_max")) / F.col("prev_max") * F.lit(100.0)
-    return with_prev.filter(
-        F.col("prev_max").isNotNull() & (F.col("prev_max") != 0)
-        & (F.abs(pct) > F.lit(float(threshold)))
-    ).select("window_start", "window_end", key, pct.alias("change_pct"),
-             "prev_max", "cur_max", "max_stamp")
+    pct = (F.col("cur_max") - F.col("prev_max")) / F.nullif(F.col("prev_max"), F.lit(0.0)) * F.lit(100.0)
+    found = with_prev.withColumn("change_pct", pct).filter(F.abs("change_pct") > F.lit(float(threshold)))
+    first = ["window_start", "window_end", key, "change_pct", "prev_max", "cur_max", "max_stamp"]
+    return found.select(*first, *[c for c in per.columns if c not in first])

@@ -13,7 +13,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.functions.format import int_div
 from keyfold.operators.aggregate import top_group
 
 
@@ -51,8 +50,3 @@ def window_top(per_window: DataFrame, key: str, measure: str, largest: bool = Tr
     """
     return top_group(per_window, key, measure, largest=largest,
                      by=["window_start", "window_end"])
-
-
-def int_avg(total: Column, count: Column) -> Column:
-    """PRJ-13: truncating integer average."""
-    return int_div(total, count)

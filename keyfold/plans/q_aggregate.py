@@ -12,7 +12,7 @@ from keyfold.sources.text import read_lines
 
 
 @query("q_prefix_word_count", f"""
-SELECT word, COUNT(*) AS n FROM {_WORDS_SQL} w GROUP BY word""", bench=True)
+SELECT word, COUNT(*) AS n FROM {_WORDS_SQL} w GROUP BY word""")
 def q_prefix_word_count(spark, sf):
     """AGG-1 + FLT-1: count of words starting with the prefix, whole documents."""
     return group_count(words(spark, sf), "word", "n")
@@ -37,7 +37,7 @@ def nation_totals(spark, sf):
     return j.groupBy("n_name").agg(F.sum("_c").alias("_c"))
 
 
-@query("q_group_sum", _NATION_TOTAL_SQL, bench=True)
+@query("q_group_sum", _NATION_TOTAL_SQL)
 def q_group_sum(spark, sf):
     """AGG-2: total per destination (nation)."""
     return nation_totals(spark, sf).select("n_name", money(F.col("_c")).alias("total"))

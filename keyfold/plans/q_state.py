@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keyfold.operators.count_window import count_chunk_list, count_chunks, fixed_batches
+from keyfold.operators.count_window import (count_chunk_fold, count_chunk_list, count_chunks,
+                                            fixed_batches)
 from keyfold.operators.exclude import exclude_from, exclude_static
+from keyfold.operators.scan import affine, scan
 from keyfold.operators.split import split_parity
 from keyfold.plans.q_running import _EXCL_SQL, EXCLUDE_ABOVE, EXCLUDE_TYPE, exclusion_list
 from keyfold.plans.registry import CENTS_SQL, bucket_width, cents, events, money, query
@@ -31,7 +33,7 @@ FROM events)"""
 
 @query("q_count_chunk_sum", f"""
 SELECT user_id, chunk_no, CAST(SUM(c) AS DOUBLE) / 100 AS total
-FROM {_CHUNKS_SQL} r GROUP BY user_id, chunk_no HAVING COUNT(*) = {CHUNK_N}""", bench=True)
+FROM {_CHUNKS_SQL} r GROUP BY user_id, chunk_no HAVING COUNT(*) = {CHUNK_N}""")
 def q_count_chunk_sum(spark, sf):
     """ST-1: every 10 values of a key, emit their sum; incomplete group never."""
     g = count_chunks(_ev(spark, sf), "user_id", "event_id", CHUNK_N,
@@ -68,6 +70,46 @@ def q_count_chunk_reduce(spark, sf):
     return g.select("event_type", "chunk_no", "total")
 
 
+FOLD_MODULUS = 1_000_003
+
+
+def user_maps():
+    """A reducer that depends on the order: x -> (2 + user % 97) * x + user."""
+    return affine(2 + F.col("user_id") % 97, F.col("user_id"), FOLD_MODULUS)
+
+
+_MAP_SQL = f"{{'a': (2 + user_id % 97) % {FOLD_MODULUS}, 'b': user_id % {FOLD_MODULUS}}}"
+_THEN_SQL = (f"lambda x, y: {{'a': x['a'] * y['a'] % {FOLD_MODULUS}, "
+             f"'b': (y['a'] * x['b'] + y['b']) % {FOLD_MODULUS}}}")
+
+
+@query("q_count_chunk_fold", f"""
+WITH c AS (SELECT event_type, event_id, {_MAP_SQL} AS m,
+       (ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // {CHUNK_N} AS chunk_no
+FROM events),
+g AS (SELECT event_type, chunk_no, list_reduce(list(m ORDER BY event_id), {_THEN_SQL}) AS f
+      FROM c GROUP BY event_type, chunk_no HAVING COUNT(*) = {CHUNK_N})
+SELECT event_type, chunk_no, CAST(f['a'] AS BIGINT) AS a, CAST(f['b'] AS BIGINT) AS b FROM g""")
+def q_count_chunk_fold(spark, sf):
+    """ST-3 with a reducer of the user's own, associative but not commutative: the
+    affine maps of every 10 rows of an event type, one after another."""
+    g = count_chunk_fold(_ev(spark, sf), "event_type", "event_id", CHUNK_N, user_maps(), "f",
+                         bucket_width(spark))
+    return g.select("event_type", "chunk_no", "f.a", "f.b")
+
+
+@query("q_running_fold", f"""
+WITH r AS (SELECT event_id, event_type, list_reduce(list({_MAP_SQL}) OVER (
+    PARTITION BY event_type ORDER BY event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {_THEN_SQL}) AS f FROM events)
+SELECT event_id, event_type, CAST(f['a'] AS BIGINT) AS a, CAST(f['b'] AS BIGINT) AS b FROM r""")
+def q_running_fold(spark, sf):
+    """RUN-*, ST-3: the running fold of the same reducer, one row per record."""
+    r = scan(_ev(spark, sf).select("event_id", "event_type", "user_id"), "event_type", "event_id",
+             user_maps(), "f", bucket_width(spark))
+    return r.select("event_id", "event_type", "f.a", "f.b")
+
+
 @query("q_excluded_dept_count", f"""
 SELECT event_type, COUNT(*) AS n FROM events WHERE user_id NOT IN {_EXCL_SQL}
 GROUP BY event_type""")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keyfold.functions.format import alert_report, stamp, window_report
+from keyfold.functions.format import alert_report, int_average, stamp, window_report
 from keyfold.operators.sessions import session_windows
 from keyfold.operators.window_change import large_delta, window_change, window_stats
-from keyfold.operators.windows import int_avg, sliding, tumbling, window_top
+from keyfold.operators.windows import sliding, tumbling, window_top
 from keyfold.plans.registry import CENTS_SQL, cents, events, money, query
 
 # Fixed query parameters
@@ -43,7 +43,7 @@ def _finish(df):
 SELECT {_DAY_START} AS window_start, {_DAY_START} + INTERVAL 1 DAY AS window_end, event_type,
        arg_min(user_id, event_id) AS first_user_id, COUNT(*) AS n,
        CAST(SUM({_CENTS}) AS DOUBLE) / 100 AS total_value
-FROM events GROUP BY ALL""", bench=True)
+FROM events GROUP BY ALL""")
 def q_tumbling(spark, sf):
     """WIN-1: tumbling window per key: first record's field, sum, count."""
     return _finish(tumbling(_ev(spark, sf), "ts", DAY, "event_type", _window_aggs()))
@@ -107,7 +107,7 @@ def q_window_avg_time(spark, sf):
     g = tumbling(e, "ts", DAY, "event_type",
                  [F.sum("t").alias("_t"), F.count(F.lit(1)).alias("_n")])
     return g.select("window_start", "window_end", "event_type",
-                    int_avg(F.col("_t"), F.col("_n")).alias("avg_time"))
+                    int_average(F.col("_t"), F.col("_n")).alias("avg_time"))
 
 
 @query("q_session_sum", f"""
@@ -119,7 +119,7 @@ i AS (SELECT *, SUM(brk) OVER (ORDER BY ts, event_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM f)
 SELECT MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS session_end,
        COUNT(*) AS n, CAST(SUM(c) AS DOUBLE) / 100 AS total_value
-FROM i GROUP BY isl""", bench=True)
+FROM i GROUP BY isl""")
 def q_session_sum(spark, sf):
     """WIN-7: global event-time session windows (gap 10 min), sum of values."""
     s = session_windows(_ev(spark, sf), "ts", SESSION_GAP, "cents", "event_id")

@@ -11,26 +11,26 @@ from keyfold.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-BENCH: list[str] = []
 
 # Rows per bucket of the leading sequence column in the two-level running
-# plans.  Bounds every local window group; the carry table has one row per
-# (key, bucket).  Overridable per session with ``keyfold.running.bucketWidth``.
-RUN_BUCKET_WIDTH = 4096
+# plans.  Bounds every local group; the carry table has one row per (key, bucket).
+# Small under a local master, so that small tables have several buckets.
+# Overridable per session with ``keyfold.running.bucketWidth``.
+RUN_BUCKET_WIDTH, CLUSTER_BUCKET_WIDTH = 4096, 1 << 17
 
 
-def query(name: str, sql: str | None = None, bench: bool = False):
+def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql.strip()
-        if bench:
-            BENCH.append(name)
         return fn
     return deco
 
 
-def bucket_width(spark: SparkSession, default: int = RUN_BUCKET_WIDTH) -> int:
+def bucket_width(spark: SparkSession) -> int:
+    default = RUN_BUCKET_WIDTH if spark.sparkContext.master.startswith("local") \
+        else CLUSTER_BUCKET_WIDTH
     return int(spark.conf.get("keyfold.running.bucketWidth", str(default)))
 
 

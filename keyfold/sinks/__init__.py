@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.operators.running import run_sum, running
+
 
 def tuple_text(*cols) -> Column:
     """A row rendered like a printed tuple: ``(June,12.0)``; a null field as ``null``."""
@@ -30,6 +32,40 @@ def write_delimited(df: DataFrame, path: str, row_delim: str = "\n", field_delim
        .option("header", "false").csv(path))
 
 
+def roll_by_bytes(df: DataFrame, order: str, size: Column, max_bytes: int, width: int,
+                  name: str = "file_no") -> DataFrame:
+    """``name``: the file each row goes to, if rows are laid out one after another by
+    ``order`` (integral, unique) and a new file begins every ``max_bytes``.
+
+    A file holds at most ``max_bytes`` and one more row, however uneven the rows
+    are.  The running sum of bytes is the two-level running fold.
+    """
+    rows = df.withColumn("_all", F.lit(0)).withColumn("_size", size.cast("long"))
+    out = running(rows, "_all", order, [run_sum("_size", "_end")], width)
+    return out.withColumn(name, F.expr(f"(_end - _size) div {int(max_bytes)}")) \
+        .drop("_all", "_size", "_end")
+
+
+def write_rolled(df: DataFrame, path: str, order: str, max_bytes: int, width: int,
+                 line: Column | None = None, mode: str = "errorifexists") -> None:
+    """SNK-4: text lines by ``order`` in files of about ``max_bytes``, as
+    ``path``/file_no=0, 1, ..."""
+    text = line if line is not None else tuple_text(*df.columns)
+    lines = df.select(F.col(order).alias("_order"), text.alias("value"))
+    rolled = roll_by_bytes(lines, "_order", F.octet_length("value") + 1, max_bytes, width)
+    rolled.repartition("file_no").sortWithinPartitions("file_no", "_order") \
+        .select("value", "file_no").write.mode(mode).partitionBy("file_no").text(path)
+
+
+def rolling_writer(path: str, order: str, max_bytes: int, width: int, line: Column | None = None):
+    """SNK-4 on a stream, as a ``foreachBatch`` function: every micro-batch writes
+    its lines in files of about ``max_bytes`` to ``path``/epoch=..., overwritten where
+    an epoch is repeated."""
+    def run(batch: DataFrame, epoch: int) -> None:
+        write_rolled(batch, f"{path}/epoch={epoch}", order, max_bytes, width, line, "overwrite")
+    return run
+
+
 def stream_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                     line: Column | None = None, max_records_per_file: int | None = None,
                     trigger: dict | None = None, output_mode: str = "append"):

@@ -6,12 +6,13 @@ A micro-batch is one batch run: the two-level running plan of
 :mod:`keyfold.operators.count_window`) cuts every key into ranges of the sequence,
 so a key with a third of the rows spreads over tasks, and no task holds all rows
 of a key.  What goes from one micro-batch to the next is a carry table: one row
-per key with its folds (``running_writer``), the members seen
-(``distinct_flags``), or the fewer than ``n`` rows that wait (``chunk_writer``).
+per key with its folds (``running_writer``) or its last window
+(``previous_window_writer``), the members seen (``distinct_flags``), or the fewer than
+``n`` rows that wait (``chunk_writer``).  :mod:`keyfold.streaming.epochs` keeps them.
 
-Carry and output go to one folder per epoch, overwritten when an epoch is
-repeated, so a micro-batch that runs twice writes the same files.  Types and nulls
-are those of the batch operators.
+Output goes to one folder per epoch, overwritten when an epoch is repeated, so a
+micro-batch that runs twice writes the same files.  Types and nulls are those of the
+batch operators.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.operators.count_window import number_arrivals
-from keyfold.operators.running import _FOLDS, RunAgg, _cols, _publish, running
+from keyfold.operators.running import _FOLDS, RunAgg, _cols, _publish, key_totals, running
+from keyfold.streaming.epochs import Growing, Latest
 
 
 def _same(left: Sequence[str], right: Sequence[str]):
@@ -47,17 +49,18 @@ def running_writer(spark: SparkSession, key, order, stages: Sequence[Sequence[Ru
     written under ``base``/out.  A later stage folds what an earlier one gives
     (a running maximum of a running total)."""
     key, order = _cols(key), _cols(order)
+    carry = [Latest(spark, f"{base}/carry{i}") for i in range(len(stages))]
 
     def run(batch: DataFrame, epoch: int) -> None:
         rows = prepare(batch, epoch) if prepare else batch
         given = list(keep)
         for i, aggs in enumerate(stages):
             raw = [replace(a, finish=None) for a in aggs]
-            totals = rows.groupBy(*key).agg(*[_FOLDS[a.op](a.expr).alias(a.name) for a in raw])
+            totals = key_totals(rows, key, order, raw, width)
             out = running(rows, key, order, raw, width)
             folded = {a.name: F.col(a.name) for a in raw}
-            if epoch > 0:
-                prev = spark.read.parquet(f"{base}/carry{i}/epoch={epoch - 1}")
+            prev = carry[i].before(epoch, totals.schema)
+            if prev is not None:
                 side, names = _renamed(prev, key)
                 for a in raw:
                     side = side.withColumnRenamed(a.name, f"_carry_{a.name}")
@@ -66,7 +69,7 @@ def running_writer(spark: SparkSession, key, order, stages: Sequence[Sequence[Ru
                           for a in raw}
                 totals = prev.unionByName(totals).groupBy(*key).agg(
                     *[_FOLDS[a.op](a.name).alias(a.name) for a in raw])
-            totals.write.mode("overwrite").parquet(f"{base}/carry{i}/epoch={epoch}")
+            carry[i].write(totals, epoch)
             found = out.select(*rows.columns, *_publish(aggs, folded))
             given += [c for c in found.columns if c not in rows.columns]
             rows = found
@@ -74,56 +77,84 @@ def running_writer(spark: SparkSession, key, order, stages: Sequence[Sequence[Ru
     return run
 
 
-def distinct_flags(spark: SparkSession, key, order, member: str, base: str):
+def distinct_flags(spark: SparkSession, key, order, member: str, base: str, buckets: int = 64,
+                   merge: int = 8):
     """RUN-13: a ``prepare`` step that adds ``is_new``: 1 on the first row ever
-    of a (key, member), else 0; a null member is never new."""
+    of a (key, member), else 0.  A null member is a member like any other, as in
+    the batch form.  Of the members seen only the buckets are read that the
+    micro-batch's members fall into."""
     key, order = _cols(key), _cols(order)
     pair = key + [member]
+    seen = Growing(spark, f"{base}/seen", pair, buckets, merge)
 
     def prepare(batch: DataFrame, epoch: int) -> DataFrame:
-        first = batch.filter(F.col(member).isNotNull()).groupBy(*pair).agg(
-            F.min(F.struct(*order)).alias("_first"))
-        if epoch > 0:
-            seen = spark.read.parquet(f"{base}/seen").filter(F.col("epoch") < epoch)
-            seen, names = _renamed(seen.select(*pair), pair)
-            first = first.join(seen, _same(pair, names), "left_anti")
-        first.write.mode("overwrite").parquet(f"{base}/seen/epoch={epoch}")
-        side, names = _renamed(spark.read.parquet(f"{base}/seen/epoch={epoch}"), pair)
-        hit = _same(pair, names) & (F.struct(*order) == F.col("_first"))
-        return batch.join(side, hit, "left").withColumn(
-            "is_new", F.col("_first").isNotNull().cast("long")).drop(*names, "_first")
+        this = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+        first = batch.groupBy(*pair).agg(F.min(this).alias("_first"))
+        before = seen.before(epoch, batch)
+        if before is not None:
+            known, names = _renamed(before, pair)
+            first = first.join(known, _same(pair, names), "left_anti")
+        # written, so that adding to the members seen does not change what is new
+        path = f"{base}/first/epoch={epoch}"
+        first.write.mode("overwrite").parquet(path)
+        first = spark.read.schema(first.schema).parquet(path)
+        seen.add(first, epoch)
+        side, names = _renamed(first, pair)
+        return batch.join(side, _same(pair, names), "left").withColumn(
+            "is_new", F.coalesce(this == F.col("_first"), F.lit(False)).cast("long")) \
+            .drop(*names, "_first")
     return prepare
 
 
 def chunk_writer(spark: SparkSession, key, seq: str, n: int,
                  emit: Callable[[DataFrame], DataFrame], base: str, width: int):
-    """ST-1..3 / SNK-6: rows of full groups of ``n`` arrivals per key, tagged with
-    ``chunk_no``, go through ``emit`` to ``base``/out; the rest waits."""
+    """ST-1..3 / SNK-6: rows of full groups of ``n`` arrivals per key, with
+    ``chunk_no`` and ``arrival_no`` (1, 2, ... in the key's order of arrival), go through
+    ``emit`` to ``base``/out; the rest waits.  Rows arrive by epoch, within an epoch
+    by ``seq``."""
     key = _cols(key)
+    waiting, counts = Latest(spark, f"{base}/rest"), Latest(spark, f"{base}/counts")
 
     def run(batch: DataFrame, epoch: int) -> None:
-        rows, before = batch, None
-        if epoch > 0:
-            rows = spark.read.parquet(f"{base}/rest/epoch={epoch - 1}").unionByName(batch)
-            before = spark.read.parquet(f"{base}/chunks/epoch={epoch - 1}")
-        numbered = number_arrivals(rows, key, seq, width)
-        done = rows.groupBy(*key).agg(F.expr(f"count(1) div {int(n)}").alias("_full"))
-        if before is not None:
-            side, names = _renamed(before.withColumnRenamed("chunks", "_before"), key)
-            done = done.join(side, _same(key, names), "left").drop(*names)
+        totals = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        before = counts.before(epoch, totals.schema)
+        numbered = number_arrivals(batch, key, seq, width)
+        if before is None:
+            numbered = numbered.withColumn("arrival_no", F.col("_rn"))
         else:
-            done = done.withColumn("_before", F.lit(0).cast("long"))
-        done = done.withColumn("_before", F.coalesce("_before", F.lit(0).cast("long")))
-        side, names = _renamed(done, key)
-        tagged = numbered.withColumn("_at", F.expr(f"(_rn - 1) div {int(n)}")) \
-            .join(side, _same(key, names))
-        full = tagged.filter("_at < _full").withColumn("chunk_no", F.col("_before") + F.col("_at"))
-        emit(full.select(*batch.columns, "chunk_no")).write.mode("overwrite") \
+            side, names = _renamed(before, key)
+            numbered = numbered.join(side, _same(key, names), "left").withColumn(
+                "arrival_no", F.col("_rn") + F.coalesce("_n", F.lit(0).cast("long"))).drop("_n", *names)
+            totals = before.unionByName(totals).groupBy(*key).agg(F.sum("_n").alias("_n"))
+        totals = counts.write(totals, epoch)
+        rows = numbered.drop("_rn").withColumn("chunk_no", F.expr(f"(arrival_no - 1) div {int(n)}"))
+        rest = waiting.before(epoch, rows.schema)
+        rows = rows if rest is None else rest.unionByName(rows)
+        side, names = _renamed(totals, key)
+        tagged = rows.join(side, _same(key, names)).drop(*names)
+        full = F.col("chunk_no") < F.expr(f"_n div {int(n)}")
+        emit(tagged.filter(full).drop("_n")).write.mode("overwrite") \
             .parquet(f"{base}/out/epoch={epoch}")
-        tagged.filter("_at >= _full").select(*batch.columns).write.mode("overwrite") \
-            .parquet(f"{base}/rest/epoch={epoch}")
-        counts = done.select(*key, (F.col("_before") + F.col("_full")).alias("chunks"))
-        if before is not None:
-            counts = before.unionByName(counts).groupBy(*key).agg(F.max("chunks").alias("chunks"))
-        counts.write.mode("overwrite").parquet(f"{base}/chunks/epoch={epoch}")
+        waiting.write(tagged.filter(~full).drop("_n"), epoch)
+    return run
+
+
+def previous_window_writer(spark: SparkSession, key, with_previous: Callable[[DataFrame], DataFrame],
+                           base: str):
+    """WIN-9/10, ST-4: closed windows, in order per key, beside the key's previous
+    (non-empty) window.  ``with_previous`` is the batch operator: it looks back over the
+    windows of a key, of which the carry table adds the last one of earlier epochs.
+    A micro-batch has one row per key and window that closes in it."""
+    key = _cols(key)
+    last = Latest(spark, f"{base}/last")
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        rows = batch.withColumn("_new", F.lit(True))
+        before = last.before(epoch, rows.schema)
+        rows = rows if before is None else rows.unionByName(before)
+        with_previous(rows).filter("_new").drop("_new").write.mode("overwrite") \
+            .parquet(f"{base}/out/epoch={epoch}")
+        rest = [c for c in rows.columns if c not in key and c != "_new"]
+        keep = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "window_start").alias("_w"))
+        last.write(keep.select(*key, "_w.*", F.lit(False).alias("_new")).select(*rows.columns), epoch)
     return run

@@ -11,21 +11,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from keyfold.functions.format import int_average
+from keyfold.functions.parse import parse_sales
 from keyfold.plans import q_state, q_windows  # noqa: F401  (batch oracles registered first)
 from keyfold.plans.q_running import (EXCLUDE_ABOVE, EXCLUDE_TYPE, WORD_DOC_BUCKET, WORD_PREFIX,
                                      WORD_SPLIT)
+from keyfold.operators.count_window import fold_chunks
 from keyfold.operators.running import (run_count, run_first, run_max, run_max_by, run_min,
                                        run_min_by, run_sum)
-from keyfold.operators.windows import int_avg
+from keyfold.operators.window_change import alerts, window_change
+from keyfold.operators.windows import tumbling
+from keyfold.plans.q_state import CHUNK_N, user_maps
 from keyfold.plans.q_windows import DELTA_THRESHOLD_PCT, DELTA_WINDOW
 from keyfold.plans.registry import ORACLE, bucket_width, cents, events, money, query, table
 from keyfold.session import shared_dir
-from keyfold.streaming.carry import chunk_writer, distinct_flags, running_writer
-from keyfold.streaming.operators import (event_time, exclude_asof_writer, exclude_stream,
-                                         large_delta_stream, session_stream, session_writer,
-                                         split_stream, tumbling_stream, window_change_stream,
-                                         window_top_stream)
-from keyfold.streaming.runner import END_OF_INPUT_TS, replay
+from keyfold.sinks import rolling_writer
+from keyfold.streaming.carry import (chunk_writer, distinct_flags, previous_window_writer,
+                                     running_writer)
+from keyfold.streaming.operators import (arrival_windows, event_time, exclude_asof_writer,
+                                         exclude_between_streams, exclude_stream, late_writer,
+                                         reject_writer, session_stream, session_writer,
+                                         split_stream, tumbling_stream, window_top_stream)
+from keyfold.streaming.runner import END_OF_INPUT_TS, one_row, play, replay
 
 # Fixed query parameters
 REPLAY_PIECES = 4         # arrivals (availableNow runs) per replay
@@ -208,7 +215,7 @@ def q_stream_count_chunk(spark, sf):
 def q_stream_count_chunk_list(spark, sf):
     """ST-2 as a stream: the 10 values as text and their sum."""
     def emit(d):
-        v = F.sort_array(F.collect_list(F.struct("event_id", "dec")))
+        v = F.sort_array(F.collect_list(F.struct("arrival_no", "dec")))
         g = d.groupBy("user_id", "chunk_no").agg(v.alias("v"), F.sum("dec").alias("t"))
         return g.select("user_id", "chunk_no", F.concat(F.lit(" "), F.array_join(
             F.transform("v", lambda x: x["dec"].cast("string")), " ")).alias("values_text"),
@@ -227,6 +234,17 @@ def q_stream_count_chunk_reduce(spark, sf):
                        F.sum("user_id").alias("total")))
 
 
+@query("q_stream_count_chunk_fold", ORACLE["q_count_chunk_fold"])
+def q_stream_count_chunk_fold(spark, sf):
+    """ST-3 as a stream with a reducer of the user's own: every 10 affine maps of an
+    event type, one after another in order of arrival."""
+    def emit(d):
+        out = fold_chunks(d, "event_type", CHUNK_N, user_maps(), "f", bucket_width(spark))
+        return out.select("event_type", "chunk_no", "f.a", "f.b")
+    return _chunks(spark, sf, "q_stream_count_chunk_fold", "event_type",
+                   lambda s: s.select("event_id", "event_type", "user_id"), emit)
+
+
 def _bucketed(s):
     return s.select("event_id", F.pmod(F.col("user_id"), F.lit(4)).alias("bucket"))
 
@@ -301,7 +319,15 @@ def q_stream_window_avg_time(spark, sf):
             F.sum("t").alias("t"), F.count(F.lit(1)).alias("n")])
     out = _events_replay(spark, sf, "q_stream_window_avg_time", plan, end_marker=True)
     return out.select("window_start", "window_end", "event_type",
-                      int_avg(F.col("t"), F.col("n")).alias("avg_time"))
+                      int_average(F.col("t"), F.col("n")).alias("avg_time"))
+
+
+def _previous_windows(spark, sf, name, plan, with_previous):
+    """Closed windows beside the key's previous one; what the writer wrote."""
+    base = shared_dir(spark, "stream-out", name)
+    writer = previous_window_writer(spark, "event_type", with_previous, base)
+    _events_replay(spark, sf, name, plan, end_marker=True, foreach_batch=writer)
+    return spark.read.parquet(f"{base}/out").drop("epoch")
 
 
 @query("q_stream_large_delta", ORACLE["q_large_delta"])
@@ -309,9 +335,12 @@ def q_stream_large_delta(spark, sf):
     """WIN-10 as a stream: alert when a window's maximum moved more than the threshold."""
     def plan(s):
         s = _real(event_time(s, "ts", LATENESS))
-        return large_delta_stream(s, "ts", DELTA_WINDOW, "event_type", "event_id", "value",
-                                  F.col("ts").cast("timestamp_ntz"), DELTA_THRESHOLD_PCT)
-    return _events_replay(spark, sf, "q_stream_large_delta", plan, end_marker=True)
+        return tumbling_stream(s, "ts", DELTA_WINDOW, "event_type", [
+            F.max("value").alias("cur_max"),
+            F.min_by(F.col("ts").cast("timestamp_ntz"), F.struct(
+                (-F.col("value")).alias("p"), F.col("event_id").alias("s"))).alias("max_stamp")])
+    return _previous_windows(spark, sf, "q_stream_large_delta", plan,
+                             lambda w: alerts(w, "event_type", DELTA_THRESHOLD_PCT))
 
 
 def _window_top(largest):
@@ -428,17 +457,17 @@ _CHANGE_COLS = ["window_start", "window_end", "event_type", "first_stamp", "last
 
 @query("q_stream_window_change", ORACLE["q_window_change"])
 def q_stream_window_change(spark, sf):
-    """WIN-9 as a stream: window statistics chained into previous-window state."""
+    """WIN-9 as a stream: window statistics beside those of the key's previous window."""
     def plan(s):
         s = _real(event_time(s, "ts", LATENESS)).withColumn(
             "volume", F.get_json_object("props", "$.k").cast("int"))
-        stats = tumbling_stream(s, "ts", "1 day", "event_type", [
+        return tumbling_stream(s, "ts", "1 day", "event_type", [
             F.min_by("ts", "event_id").cast("timestamp_ntz").alias("first_stamp"),
             F.max_by("ts", "event_id").cast("timestamp_ntz").alias("last_stamp"),
             F.max("value").alias("max_price"), F.min("value").alias("min_price"),
             F.max("volume").alias("max_volume"), F.min("volume").alias("min_volume")])
-        return window_change_stream(stats, "event_type", _CHANGE_COLS)
-    out = _events_replay(spark, sf, "q_stream_window_change", plan, end_marker=True)
+    out = _previous_windows(spark, sf, "q_stream_window_change", plan,
+                            lambda w: window_change(w, "event_type"))
     return out.select(*_CHANGE_COLS, "price_change_pct", "volume_change_pct")
 
 
@@ -483,6 +512,193 @@ def q_stream_excluded_asof(spark, sf):
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
 
 
+@query("q_stream_excluded_sources", ORACLE["q_excluded_asof"])
+def q_stream_excluded_sources(spark, sf):
+    """JN-1/2, ST-7 with two live sources: events arrive in four pieces, the list of
+    excluded users from a source of its own in three, which first lags and then leads."""
+    ev = events(spark, sf)
+    rows = ev.select("event_id", "user_id", "event_type", "ts")
+    ex = ev.filter((F.col("event_type") == EXCLUDE_TYPE) & (F.col("value") > EXCLUDE_ABOVE)) \
+        .select("user_id", "ts", "event_id")
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    if lo is None:
+        return rows.drop("ts")
+
+    def part(df, a, b):  # a to b: shares of the range of ids, the last one open
+        at = (F.col("event_id") - lo) / (hi - lo + 1)
+        return df.filter((at >= a) & (at < b))
+
+    from datetime import datetime
+    end = {"ts": datetime.fromisoformat(END_OF_INPUT_TS)}
+    last = {"main": one_row(spark, rows, {**end, "event_id": END_EVENT_ID, "event_type": "~end"}),
+            "list": one_row(spark, ex, {**end, "user_id": -1})}
+    steps = [{"main": part(rows, 0, .25)}, {"main": part(rows, .25, .5), "list": part(ex, 0, .1)},
+             {"list": part(ex, .1, .9)}, {"main": part(rows, .5, .75), "list": part(ex, .9, 1)},
+             {"main": part(rows, .75, 1)}, last, last]
+
+    def plan(s):
+        return exclude_between_streams(event_time(s["main"], "ts", LATENESS),
+                                       event_time(s["list"], "ts", LATENESS), "user_id", "ts", "ts")
+    out = play(spark, steps, "q_stream_excluded_sources", plan)
+    return out.filter(F.col("event_id") != END_EVENT_ID).select("event_id", "user_id", "event_type")
+
+
+ARRIVALS = [1_000_000_000 + t for t in (0, 1, 3, 3, 7)]  # seconds since 1970
+_ARRIVAL_SQL = f"""(
+  SELECT *, TIMESTAMP '1970-01-01' + to_seconds(list_value({", ".join(map(str, ARRIVALS))})
+    [1 + CAST((event_id - lo) // step AS INTEGER)]) AS arrived
+  FROM events, (SELECT min(event_id) AS lo,
+    (max(event_id) - min(event_id)) // {len(ARRIVALS)} + 1 AS step FROM events))"""
+
+
+def _arrivals(spark, sf, name, slide=None):
+    """Windows of 2 s on the modification times of the files that events come in."""
+    ev = events(spark, sf)
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    n = len(ARRIVALS)
+    step = ((hi or 0) - (lo or 0)) // n + 1
+    steps = [{"in": ev.filter(F.expr(f"(event_id - {lo or 0}) div {step} = {i}"))} for i in range(n)]
+    marker = {"in": one_row(spark, ev, {"event_type": "~end"})}
+
+    def plan(s):
+        s = s["in"].withColumn("arrival", F.col("_metadata.file_modification_time")) \
+            .withColumn("cents", cents("value"))
+        return arrival_windows(s, "2 seconds", "event_type", [
+            F.min_by("user_id", "event_id").alias("first_user_id"), F.sum("cents").alias("_c"),
+            F.count(F.lit(1)).alias("n")], slide, "arrival")
+    out = play(spark, [*steps, marker, marker], name, plan,
+               times=[*ARRIVALS, ARRIVALS[-1] + 3600, ARRIVALS[-1] + 7200])
+    return out.filter(F.col("event_type") != "~end").select(
+        "window_start", "window_end", "event_type", "first_user_id", "n",
+        money(F.col("_c")).alias("total_value"))
+
+
+@query("q_stream_arrival_tumbling", f"""
+SELECT time_bucket(INTERVAL 2 SECOND, arrived, TIMESTAMP '1970-01-01') AS window_start,
+       window_start + INTERVAL 2 SECOND AS window_end, event_type,
+       arg_min(user_id, event_id) AS first_user_id, COUNT(*) AS n,
+       CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_value
+FROM {_ARRIVAL_SQL} e GROUP BY ALL""")
+def q_stream_arrival_tumbling(spark, sf):
+    """WIN-1 as written: tumbling windows of 2 s on the time of arrival, which is
+    the modification time of the file a row came in."""
+    return _arrivals(spark, sf, "q_stream_arrival_tumbling")
+
+
+@query("q_stream_arrival_sliding", f"""
+SELECT time_bucket(INTERVAL 1 SECOND, arrived, TIMESTAMP '1970-01-01') - to_seconds(o) AS window_start,
+       window_start + INTERVAL 2 SECOND AS window_end, event_type,
+       arg_min(user_id, event_id) AS first_user_id, COUNT(*) AS n,
+       CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_value
+FROM {_ARRIVAL_SQL} e, (VALUES (0), (1)) AS t(o) GROUP BY ALL""")
+def q_stream_arrival_sliding(spark, sf):
+    """WIN-2 as written: windows of 2 s every second on the time of arrival."""
+    return _arrivals(spark, sf, "q_stream_arrival_sliding", "1 second")
+
+
+_SALES = """(SELECT event_id, strftime(ts, '%d-%m-%Y') || ',' || monthname(ts)
+  || CASE WHEN event_id % 17 = 0 THEN '' ELSE ',' || event_type || ',u' || user_id || ','
+     || CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END END AS line
+FROM events)"""
+
+
+@query("q_stream_rejects", f"""
+SELECT CASE WHEN event_id % 17 = 0 OR event_id % 13 = 0 THEN 'rejected' ELSE 'good' END AS output,
+       line, CASE WHEN event_id % 17 = 0 THEN 'bad field: category;product;profit'
+                  WHEN event_id % 13 = 0 THEN 'bad field: profit' END AS reason
+FROM {_SALES} s""")
+def q_stream_rejects(spark, sf):
+    """PRJ-1 on a stream, with its rejects: text lines, some too short or not numbers,
+    go to a table of good rows and to one of bad lines with the reason."""
+    e = events(spark, sf)
+    rest = F.concat(F.lit(","), "event_type", F.lit(",u"), F.col("user_id").cast("string"), F.lit(","),
+                    F.when(F.col("event_id") % 13 == 0, "n/a").otherwise(F.col("event_id").cast("string")))
+    line = F.concat(F.date_format("ts", "dd-MM-yyyy"), F.lit(","), F.date_format("ts", "MMMM"),
+                    F.when(F.col("event_id") % 17 == 0, "").otherwise(rest))
+    base = shared_dir(spark, "stream-out", "rejects")
+    replay(spark, e.select("event_id", line.alias("value")), "event_id", REPLAY_PIECES,
+           "q_stream_rejects", lambda s: s.select("value"),
+           foreach_batch=reject_writer(parse_sales, f"{base}/good", f"{base}/bad"))
+    good, bad = spark.read.parquet(f"{base}/good"), spark.read.parquet(f"{base}/bad")
+    return good.select(F.lit("good").alias("output"), F.concat_ws(
+        ",", "date", "month", "category", "product", "profit").alias("line"),
+        F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.lit("rejected").alias("output"), F.col("bad_line").alias("line"), "reason"))
+
+
+_LATE_SQL = """(
+  SELECT e.event_id, event_type, ts, event_id % 4 AS slice, m.top - INTERVAL 3 DAY AS watermark,
+         coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= m.top - INTERVAL 3 DAY, false) AS late
+  FROM events e LEFT JOIN (SELECT s.x AS x, max(ts) AS top FROM (VALUES (0), (1), (2), (3)) s(x)
+    JOIN events ON event_id % 4 < s.x GROUP BY s.x) m ON m.x = event_id % 4)"""
+
+
+def _late(spark, sf, name):
+    base = shared_dir(spark, "stream-out", name)
+    writer = late_writer(spark, "ts", "1 day", "3 days", *[f"{base}/{x}" for x in (
+        "state", "on_time", "late", "counts")])
+    rows = events(spark, sf).select("event_id", "event_type", "ts", (F.col("event_id") % 4).alias("slice"))
+    replay(spark, rows, "slice", 4, name, lambda s: s, foreach_batch=writer)
+    return base
+
+
+@query("q_stream_late_rows", f"""
+SELECT event_id, event_type, CAST(ts AS TIMESTAMP) AS ts, CAST(watermark AS TIMESTAMP) AS watermark
+FROM {_LATE_SQL} l WHERE late""")
+def q_stream_late_rows(spark, sf):
+    """WM-3 with the late rows kept: rows out of order, of whose daily window the
+    watermark in force (3 days behind) says that it is closed, with that watermark."""
+    base = _late(spark, sf, "q_stream_late_rows")
+    return spark.read.parquet(f"{base}/late").select("event_id", "event_type", "ts", "watermark")
+
+
+@query("q_stream_on_time_windows", f"""
+SELECT 'window' AS kind, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type,
+       COUNT(*) AS n FROM {_LATE_SQL} l WHERE NOT late GROUP BY ALL
+UNION ALL
+SELECT CASE WHEN late THEN 'late' ELSE 'on time' END, NULL, NULL, COUNT(*) FROM {_LATE_SQL} l
+GROUP BY late""")
+def q_stream_on_time_windows(spark, sf):
+    """WM-3, WIN-3: keyed daily windows of the rows that are on time, and how many
+    rows were and were not, as observed while they were written."""
+    base = _late(spark, sf, "q_stream_on_time_windows")
+    rows = spark.read.parquet(f"{base}/on_time")
+    per = tumbling(rows, "ts", "1 day", "event_type", [F.count(F.lit(1)).alias("n")])
+    seen = spark.read.parquet(f"{base}/counts").agg(F.sum("on_time").alias("on time"),
+                                                    F.sum("late").alias("late"))
+    seen = seen.unpivot([], ["on time", "late"], "kind", "n").filter("n > 0")
+    return per.select(F.lit("window").alias("kind"), "window_start", "event_type", "n").unionByName(
+        seen, allowMissingColumns=True)
+
+
+@query("q_stream_rolled_files", """
+WITH p AS (
+  SELECT event_id, (event_id - lo) // step AS piece,
+         length(CAST(event_id AS VARCHAR)) + 1
+           + CASE WHEN event_id % 50 = 0 THEN 3000 ELSE event_id % 10 END AS bytes
+  FROM events, (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // 4 + 1 AS step FROM events)),
+r AS (SELECT *, SUM(bytes) OVER (PARTITION BY piece ORDER BY event_id) - bytes AS start FROM p)
+SELECT CAST(piece AS INTEGER) AS epoch, CAST(start // 4096 AS INTEGER) AS file_no, COUNT(*) AS n,
+       CAST(SUM(bytes) AS BIGINT) AS bytes, MIN(event_id) AS first_id, MAX(event_id) AS last_id
+FROM r GROUP BY ALL""")
+def q_stream_rolled_files(spark, sf):
+    """SNK-4 rolled by bytes: lines of very different length in files of 4 KB and one
+    line more at most; the bytes are those of the files written."""
+    path = shared_dir(spark, "stream-out", "rolled")
+    long = F.when(F.col("event_id") % 50 == 0, 3000).otherwise(F.col("event_id") % 10).cast("int")
+    line = F.concat(F.col("event_id").cast("string"), F.repeat(F.lit("."), long))
+    replay(spark, events(spark, sf).select("event_id"), "event_id", REPLAY_PIECES,
+           "q_stream_rolled_files", lambda s: s, foreach_batch=rolling_writer(
+               path, "event_id", 4096, bucket_width(spark), line))
+    lines = spark.read.text(path).select("epoch", "file_no", F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.file_size").alias("size"),
+                                         F.regexp_extract("value", r"^-?\d+", 0).cast("long").alias("id"))
+    return lines.groupBy("epoch", "file_no").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("bytes"), F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"), F.count_distinct("f").alias("_files")).filter("_files = 1") \
+        .drop("_files")
+
+
 @query("q_stream_split", """
 SELECT 'all' AS output, CAST(CAST(event_id AS INTEGER) AS VARCHAR) AS v FROM events
 UNION ALL

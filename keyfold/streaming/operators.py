@@ -9,24 +9,16 @@ record and count-triggered operators are in :mod:`keyfold.streaming.carry`.
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from keyfold.streaming.processors import PreviousWindowChange, PreviousWindowMax
+from keyfold.streaming.epochs import Growing, Latest, remove
 
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _field_types(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
-    by = {f.name: f for f in df.schema.fields}
-    return [T.StructField(n, by[n].dataType) for n in names]
-
-
 def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """WM-1/2: event time with bounded lateness ``delay`` ("0 seconds" =
     ascending timestamps).  Wall-clock (NTZ) times become session-zone
@@ -99,34 +91,31 @@ def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str
     3. sessions whose end the new watermark has passed are emitted, the rest are
        written back as the next epoch's open state.
 
-    State, output and the max event time are written to one folder per epoch
-    under the shared checkpoint folder (overwritten on a retry), so a
-    replayed micro-batch gives the same files.
+    State and the max event time are kept per epoch (:class:`Latest`), output goes to
+    one folder per epoch, overwritten on a retry, so a replayed micro-batch gives
+    the same files.  Rows without a time are in no session.
     """
     from keyfold.operators.sessions import (_from_micros, _gap_micros, _micros,
                                             session_segments)
     gap_us, late_us = _gap_micros(gap), _gap_micros(lateness)
-    seg_schema = "skey string, t long, t2 long, c long, v long, _seq long"
-    meta_dir = f"{state_dir}-meta"
-    spark.createDataFrame([], seg_schema).write.mode("overwrite").parquet(f"{state_dir}/epoch=-1")
-    spark.createDataFrame([(-(1 << 62),)], "max_t long").write.mode("overwrite") \
-         .parquet(f"{meta_dir}/epoch=-1")
+    seg_schema = "skey string, t long, t2 long, c long, m long, v long, _seq long"
+    state, meta = Latest(spark, state_dir), Latest(spark, f"{state_dir}-meta")
 
     def run(batch: DataFrame, epoch: int) -> None:
-        prev = spark.read.schema(seg_schema).parquet(f"{state_dir}/epoch={epoch - 1}")
-        max_prev = spark.read.schema("max_t long").parquet(f"{meta_dir}/epoch={epoch - 1}") \
-                        .first()[0]
+        prev, mark = state.before(epoch, seg_schema), meta.before(epoch, "max_t long")
+        max_prev = mark.first()[0] if mark is not None else -(1 << 62)
         kcol = F.col(key).cast("string") if key is not None else F.lit("")
         rows = batch.select(kcol.alias("skey"), _micros(F.col(ts)).alias("t"),
+                            F.col(value).isNotNull().cast("long").alias("m"),
                             F.col(value).cast("long").alias("v"),
-                            F.col(seq).cast("long").alias("_seq")).persist()
+                            F.col(seq).cast("long").alias("_seq")).filter("t is not null").persist()
         sess = None
         try:
             segs = rows.select("skey", "t", F.col("t").alias("t2"),
-                               F.lit(1).cast("long").alias("c"), "v", "_seq") \
-                       .unionByName(prev)
+                               F.lit(1).cast("long").alias("c"), "m", "v", "_seq")
+            segs = segs if prev is None else segs.unionByName(prev)
             end = F.col("s_last") + F.lit(gap_us)
-            sess = session_segments(segs, gap, partitions, reaching=True) \
+            sess = session_segments(segs, gap, partitions) \
                 .filter(end >= F.lit(max_prev - late_us)).persist()
             seen = rows.agg(F.max("t")).first()[0]
             max_now = max(max_prev, seen if seen is not None else max_prev)
@@ -136,14 +125,13 @@ def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str
                   if key is not None else []),
                 _from_micros(F.col("s_start")).alias("session_start"),
                 _from_micros(F.col("s_last") + F.lit(gap_us)).alias("session_end"),
-                "n", "total").write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
-            sess.filter(~done).select(
+                "n", F.when(F.col("m") > 0, F.col("total")).alias("total")) \
+                .write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+            state.write(sess.filter(~done).select(
                 "skey", F.col("s_start").alias("t"), F.col("s_last").alias("t2"),
-                F.col("n").alias("c"), F.col("total").alias("v"),
-                F.col("s_start").alias("_seq")) \
-                .write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch}")
-            spark.createDataFrame([(int(max_now),)], "max_t long").write.mode("overwrite") \
-                 .parquet(f"{meta_dir}/epoch={epoch}")
+                F.col("n").alias("c"), "m", F.col("total").alias("v"),
+                F.col("s_start").alias("_seq")), epoch)
+            meta.write(spark.createDataFrame([(int(max_now),)], "max_t long"), epoch)
         finally:
             rows.unpersist()
             if sess is not None:
@@ -151,81 +139,61 @@ def session_writer(spark, ts: str, gap: str, value: str, seq: str, lateness: str
     return run
 
 
-def window_change_stream(stats: DataFrame, key, columns: Sequence[str]) -> DataFrame:
-    """WIN-9: chain a windowed aggregate (append) into a processor holding the
-    previous window's maxima per key."""
-    key = _cols(key)
-    cols = list(columns)
-    schema = T.StructType(_field_types(stats, cols) + [
-        T.StructField("price_change_pct", T.DoubleType()),
-        T.StructField("volume_change_pct", T.DoubleType())])
-    return stats.groupBy(*key).transformWithStateInPandas(
-        PreviousWindowChange(key, cols), schema, "Append", "None")
-
-
-def large_delta_stream(stream: DataFrame, ts: str, size: str, key: str, seq: str, price: str,
-                       stamp, threshold: float) -> DataFrame:
-    """WIN-10: per-window maxima (append) chained into a processor with the
-    previous window's maximum per key; rows that moved more than ``threshold`` %."""
-    per = tumbling_stream(stream, ts, size, key, [
-        F.max(price).alias("cur_max"),
-        F.min_by(stamp, F.struct((-F.col(price)).alias("p"), F.col(seq).alias("s")))
-        .alias("max_stamp")])
-    cols = ["window_start", "window_end", key, "cur_max", "max_stamp"]
-    schema = T.StructType(_field_types(per, cols) + [T.StructField("prev_max", T.DoubleType())])
-    with_prev = per.groupBy(key).transformWithStateInPandas(
-        PreviousWindowMax(cols), schema, "Append", "None")
-    pct = (F.col("cur_max") - F.col("prev_max")) / F.nullif(F.col("prev_max"), F.lit(0.0)) * 100.0
-    return with_prev.filter(F.abs(pct) > F.lit(float(threshold))).select(
-        "window_start", "window_end", key, pct.alias("change_pct"), "prev_max", "cur_max",
-        "max_stamp")
-
-
 def exclude_stream(stream: DataFrame, exclusion: DataFrame, on: str) -> DataFrame:
     """JN-1 on a stream: stream-static left-anti join against the list."""
     return stream.join(exclusion.select(on).distinct(), on, "left_anti")
 
 
-def exclude_stream_dynamic(exclusion_reader, on: str, write_batch):
-    """JN-2 on a stream: a ``foreachBatch`` function that re-reads the
-    (growing) exclusion list for every micro-batch, so an exclusion affects
-    only rows processed after it arrived."""
-    def run(batch: DataFrame, epoch: int) -> None:
-        write_batch(batch.join(exclusion_reader().select(on).distinct(), on, "left_anti"), epoch)
-    return run
-
-
 def exclude_asof_writer(spark, on: str, ts: str, announces, list_dir: str, out_dir: str,
-                        key_type: str = "bigint"):
+                        buckets: int = 64, merge: int = 8):
     """JN-2 on a stream, as a ``foreachBatch`` function: ids announced by rows
     matching ``announces`` are excluded from then on.
 
     Per micro-batch: rows of ids announced in earlier micro-batches are dropped
-    (anti join against the list folder), rows of ids announced in this batch
-    are kept only before the id's first announcement (as-of), then this
-    batch's announcements are added to the list.  Output and list are written
-    to one folder per epoch (overwritten on a retry), so a replayed batch
-    writes the same files once.
+    (anti join against the buckets of the list that the rows fall into), rows of ids
+    announced in this batch are kept only before the id's first announcement (as-of),
+    then this batch's announcements are added to the list.  Output goes to one folder per
+    epoch, overwritten on a retry.
     """
-    # an empty, typed list partition so the first micro-batch can read the list
-    spark.createDataFrame([], f"{on} {key_type}").write.mode("overwrite") \
-         .parquet(f"{list_dir}/epoch=-1")
+    listed = Growing(spark, list_dir, [on], buckets, merge)
 
     def run(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
             ann = batch.filter(announces).groupBy(on).agg(F.min(ts).alias("_ex_from"))
-            prev = spark.read.parquet(list_dir).filter(F.col("epoch") < epoch).select(on)
-            kept = batch.join(prev.distinct(), on, "left_anti")
+            prev = listed.before(epoch, batch)
+            kept = batch if prev is None else batch.join(prev, on, "left_anti")
             kept = kept.join(ann, on, "left").filter(
                 F.col("_ex_from").isNull() | (F.col(ts) < F.col("_ex_from"))).drop("_ex_from")
             kept.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
-            ann.select(on).write.mode("overwrite").parquet(f"{list_dir}/epoch={epoch}")
+            listed.add(ann.select(on).distinct(), epoch)
         finally:
             batch.unpersist()
     return run
 
 
+def exclude_between_streams(main: DataFrame, announced: DataFrame, on: str, ts: str,
+                            ex_ts: str, salts: int = 8) -> DataFrame:
+    """JN-1/2, ST-7 with two live sources: rows of ``main`` whose id was not announced
+    on the stream ``announced`` at their time or before.
+
+    A stream-stream left outer join, both sides watermarked: a row waits until
+    the watermark says that no earlier announcement can come, and goes out if none has
+    come.  Both watermarks count, so either source may run ahead of the other, and the result
+    does not depend on their pace.  Announcements stay in the state, as an exclusion
+    does not end.  Rows of one id are dealt over ``salts`` places, to each of which its
+    announcements go, so that a hot id is not one task's state.  A null id is never
+    excluded.
+    """
+    left = main.withColumn("_salt", F.pmod(F.xxhash64(ts, *[c for c in main.columns if c != ts]),
+                                           F.lit(salts)).cast("int"))
+    right = announced.select(F.col(on).alias("_ex_on"), F.col(ex_ts).alias("_ex_ts"),
+                             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_ex_salt"))
+    met = left.join(right, (F.col(on) == F.col("_ex_on")) & (F.col("_salt") == F.col("_ex_salt"))
+                    & (F.col("_ex_ts") <= F.col(ts)), "left")
+    return met.filter(F.col("_ex_on").isNull()).select(*main.columns)
+
+
 def split_stream(outputs: dict, targets: dict[str, str]):
     """SPL-1 on a stream: one ``foreachBatch`` writes every side output of the
     same micro-batch (``outputs``: name -> function of the batch frame)."""
@@ -240,13 +208,70 @@ def split_stream(outputs: dict, targets: dict[str, str]):
     return run
 
 
-def processing_time_windows(stream: DataFrame, size: str, key, aggs,
-                            slide: str | None = None) -> DataFrame:
-    """WIN-1/2 as written: tumbling (or sliding) windows on processing time.
+def arrival_windows(stream: DataFrame, size: str, key, aggs, slide: str | None = None,
+                    arrival: str | None = None) -> DataFrame:
+    """WIN-1/2 as written: tumbling (or sliding) windows on the time of arrival.
 
-    Arrival time is ``current_timestamp()``, fixed per micro-batch, so a
-    window holds whole micro-batches; windows close when the next batch's
-    clock passes their end (watermark 0 on the arrival time).
+    ``arrival`` names a column with it; of a file source that is
+    ``_metadata.file_modification_time``, which does not change when the input is read
+    again, so a repeated run gives the same windows.  Without it arrival is
+    ``current_timestamp()``, fixed per micro-batch.  Windows close when a later arrival
+    passes their end (watermark 0).
     """
-    s = stream.withColumn("_pt", F.current_timestamp()).withWatermark("_pt", "0 seconds")
+    at = F.col(arrival) if arrival else F.current_timestamp()
+    s = stream.withColumn("_pt", at).withWatermark("_pt", "0 seconds")
     return tumbling_stream(s, "_pt", size, key, aggs, slide=slide)
+
+
+def reject_writer(parse, good_dir: str, bad_dir: str):
+    """A parser on a stream, as a ``foreachBatch`` function: of one micro-batch good rows
+    go to one table and rejected lines, with the reason, to another.  Either has
+    one folder per epoch, overwritten on a retry, so that no line is in both or
+    in none."""
+    def run(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            for rows, folder in zip(parse(batch), (good_dir, bad_dir)):
+                rows.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+    return run
+
+
+def late_writer(spark, ts: str, size: str, lateness: str, state_dir: str, on_time_dir: str,
+                late_dir: str, counts_dir: str):
+    """WM-3 with the late rows kept, as a ``foreachBatch`` function: rows of
+    windows that the watermark in force (largest event time of earlier micro-batches
+    less ``lateness``) has closed go to ``late_dir`` with that watermark, the others to
+    ``on_time_dir``.  The numbers of both, taken by ``observe`` while the rows are
+    written, go to ``counts_dir``.  Rows without a time are late: no window takes them."""
+    from pyspark.sql import Observation
+
+    marks = Latest(spark, state_dir)
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        seen = Observation()
+        before = marks.before(epoch, "top timestamp_ntz")
+        top = before.first()[0] if before is not None else None
+        time = F.col(ts).cast("timestamp_ntz")
+        mark = F.lit(top).cast("timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
+        # F.window drops rows without a time
+        window = F.window(F.coalesce(time, F.lit("1970-01-01").cast("timestamp_ntz")), size)
+        rows = batch.withColumn("watermark", mark).withColumn("_w", window).withColumn(
+            "is_late", F.col(ts).isNull() | F.coalesce(F.col("_w.end") <= mark, F.lit(False))) \
+            .drop("_w").observe(
+            seen, F.count_if("is_late").alias("late"), F.count_if(~F.col("is_late")).alias("on_time"),
+            F.max(time).alias("top"))
+        path = f"{state_dir}-split/epoch={epoch}"
+        rows.write.mode("overwrite").partitionBy("is_late").parquet(path)
+        found = spark.read.schema(rows.schema).parquet(path)
+        found.filter("is_late").drop("is_late").write.mode("overwrite").parquet(f"{late_dir}/epoch={epoch}")
+        found.filter("not is_late").drop("is_late", "watermark").write.mode("overwrite") \
+            .parquet(f"{on_time_dir}/epoch={epoch}")
+        n = seen.get
+        spark.createDataFrame([(n["on_time"], n["late"])], "on_time long, late long") \
+            .write.mode("overwrite").parquet(f"{counts_dir}/epoch={epoch}")
+        top = max(x for x in (top, n["top"]) if x is not None) if top or n["top"] else None
+        marks.write(spark.createDataFrame([(top,)], "top timestamp_ntz"), epoch)
+        remove(spark, path)
+    return run

@@ -8,7 +8,7 @@ drives a streaming frame into an exactly-once parquet sink (or a
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,34 +42,71 @@ def replay(spark: SparkSession, df: DataFrame, seq: str, chunks: int, name: str,
     which flushes every real window, as a bounded source's final watermark
     does.
     """
-    ensure_stream_conf(spark)
-    folder = shared_dir(spark, "replay", name)
-    ckpt = shared_dir(spark, "stream-ckpt", name)
-    out = None if foreach_batch is not None else shared_dir(spark, "stream-out", name)
     lo, hi, n = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
-    chunks = max(chunks, -(-n // PIECE_ROWS))
-    if lo is None:  # no row has a place in the order: one piece
-        pieces = [df]
-    else:
-        step = (hi - lo) // chunks + 1
-        pieces = [df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
-                  for i in range(chunks)]
-        # rows without a place come first, as in the batch form
-        pieces[0] = df.filter(F.col(seq).isNull() | (F.col(seq) < lo + step))
+    pieces = _pieces(df, seq, lo, hi, max(chunks, -(-n // PIECE_ROWS)))
     if end_marker is not None:
-        row = {c: None for c in df.columns}
-        row.update(end_marker)
-        marker = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
+        marker = one_row(spark, df, end_marker)
         pieces[-1] = pieces[-1].unionByName(marker)
         pieces.append(marker)
-    for piece in pieces:
-        piece.write.mode("append").parquet(folder)
-        run_available_now(plan(file_stream(spark, folder, df.schema, None)), name,
-                          output_mode=output_mode, foreach_batch=foreach_batch,
-                          checkpoint=ckpt, out=out)
+    return play(spark, [{"in": p} for p in pieces], name, lambda s: plan(s["in"]), output_mode,
+                foreach_batch)
+
+
+def one_row(spark: SparkSession, df: DataFrame, values: dict) -> DataFrame:
+    """A row of ``df``'s columns, null where ``values`` has none."""
+    return spark.createDataFrame([tuple(values.get(c) for c in df.columns)], df.schema)
+
+
+def _pieces(df: DataFrame, seq: str, lo, hi, chunks: int) -> list[DataFrame]:
+    if lo is None:  # no row has a place in the order: one piece
+        return [df]
+    step = (hi - lo) // chunks + 1
+    pieces = [df.filter((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
+              for i in range(chunks)]
+    # rows without a place come first, as in the batch form
+    pieces[0] = df.filter(F.col(seq).isNull() | (F.col(seq) < lo + step))
+    return pieces
+
+
+def play(spark: SparkSession, steps: Sequence[dict[str, DataFrame]], name: str,
+         plan: Callable[[dict[str, DataFrame]], DataFrame], output_mode: str = "append",
+         foreach_batch: Callable[[DataFrame, int], None] | None = None,
+         times: Sequence[int] | None = None) -> DataFrame | None:
+    """Streams of one or several sources: in each step the sources that have a
+    piece get it, then the query runs on what is new, from the same checkpoint.
+
+    ``times`` (seconds since 1970, one per step) become the modification times of
+    the step's files, where arrival time has to be the same in every run.
+    """
+    ensure_stream_conf(spark)
+    ckpt = shared_dir(spark, "stream-ckpt", name)
+    out = None if foreach_batch is not None else shared_dir(spark, "stream-out", name)
+    schemas = {k: df.schema for step in steps for k, df in step.items()}
+    folders = {k: shared_dir(spark, "replay", name, k) for k in schemas}
+    known: set[str] = set()
+    for k in folders.keys() - steps[0].keys():  # a source may get its first piece late
+        spark.createDataFrame([], schemas[k]).write.mode("append").parquet(folders[k])
+    for i, step in enumerate(steps):
+        for k, piece in step.items():
+            piece.write.mode("append").parquet(folders[k])
+            if times:
+                _set_times(spark, folders[k], times[i], known)
+        streams = {k: file_stream(spark, folders[k], schemas[k], None) for k in folders}
+        run_available_now(plan(streams), name, output_mode=output_mode,
+                          foreach_batch=foreach_batch, checkpoint=ckpt, out=out)
     return spark.read.parquet(out) if out else None
 
 
+def _set_times(spark: SparkSession, folder: str, seconds: int, known: set[str]) -> None:
+    """Sets the modification time of the files that are new in ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        if status.isFile() and status.getPath().toString() not in known:
+            known.add(status.getPath().toString())
+            fs.setTimes(status.getPath(), seconds * 1000, -1)
+
+
 def file_stream(spark: SparkSession, folder: str, schema,
                 files_per_batch: int | None = 1) -> DataFrame:
     """SRC-2: a folder of parquet files as a stream, oldest file first
@@ -105,12 +142,3 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     if progress is not None:
         progress.extend(q.recentProgress)
     return spark.read.parquet(target) if target else None
-
-
-def dropped_by_watermark(query_progress: list[dict]) -> int:
-    """WM-3: late rows dropped by the state operators of a finished query."""
-    total = 0
-    for p in query_progress:
-        for op in p.get("stateOperators", []):
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total

@@ -45,7 +45,7 @@ def test_distinct_strings(spark):
           df.filter("s < 20"), df.filter("s >= 20"))
     seen, want = {"a": set(), "b": set()}, {}
     for s, k, m in rows:
-        seen[k] |= {m} - {None}
+        seen[k] |= {m}  # a null is a member, as in the batch form
         want[s] = len(seen[k])
     assert {r.s: r.n for r in spark.read.parquet(f"{base}/out").collect()} == want
 
@@ -79,11 +79,11 @@ def test_chunks_wait_across_epochs(spark):
 @pytest.mark.parametrize("parts", [1, 2, 3, 16])
 def test_a_long_segment_takes_in_what_it_covers(spark, parts):
     s = 1_000_000
-    rows = [("", 0, 100 * s, 2, 0, 0)] + [("", t * s, t * s, 1, 1, t) for t in (5, 20, 40, 60, 80)] \
-        + [("", 130 * s, 130 * s, 1, 1, 9)]
-    segs = spark.createDataFrame(rows, "skey string, t long, t2 long, c long, v long, _seq long")
+    rows = [("", 0, 100 * s, 2, 2, 0, 0)] + [("", t * s, t * s, 1, 1, 1, t) for t in (5, 20, 40, 60, 80)] \
+        + [("", 130 * s, 130 * s, 1, 1, 1, 9)]
+    segs = spark.createDataFrame(rows, "skey string, t long, t2 long, c long, m long, v long, _seq long")
     got = [(r.s_start, r.s_last, r.n) for r in
-           session_segments(segs, "10 seconds", parts, reaching=True).collect()]
+           session_segments(segs, "10 seconds", parts).collect()]
     assert sorted(got) == [(0, 100 * s, 7), (130 * s, 130 * s, 1)]
 
 
@@ -121,3 +121,86 @@ def test_session_keys_keep_their_type_and_totals_are_whole(spark):
     assert [(r.k, r.n, r.total) for r in out] == [(7, 2, 7)]
     with pytest.raises(TypeError):
         session_windows(df, "ts", "10 seconds", F.col("v") * 0.5, "s")
+
+
+def _plain_sessions(segs, gap):
+    out = []
+    for t, t2, n in sorted(segs):
+        if out and t <= out[-1][1] + gap:
+            out[-1] = (out[-1][0], max(out[-1][1], t2), out[-1][2] + n)
+        else:
+            out.append((t, t2, n))
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 4, 13])
+def test_segments_of_any_length_by_brute_force(spark, parts):
+    rng = random.Random(parts)
+    for _ in range(3):
+        segs = [(t, t + rng.choice([0, 0, 0, 5, 300]), rng.randrange(1, 4)) for t in
+                (rng.randrange(2500) for _ in range(150))]
+        rows = [(k, a * 10**6, b * 10**6, n, n, n, i) for k in ("x", None) for i, (a, b, n) in enumerate(segs)]
+        df = spark.createDataFrame(rows, "skey string, t long, t2 long, c long, m long, v long, _seq long")
+        got = session_segments(df, "10 seconds", parts).collect()
+        for k in ("x", None):
+            assert sorted((r.s_start // 10**6, r.s_last // 10**6, r.n) for r in got if r.skey == k) \
+                == _plain_sessions(segs, 10)
+
+
+def test_one_long_session_over_many_points_is_no_hot_group(spark):
+    n = 100_000  # points far apart, all within the reach of an open session
+    s = 1_000_000
+    points = spark.range(n).select(F.lit("").alias("skey"), (F.col("id") * 60 * s + 1).alias("t"))
+    rows = points.select("skey", "t", F.col("t").alias("t2"), F.lit(1).cast("long").alias("c"),
+                         F.lit(1).cast("long").alias("m"), F.lit(1).cast("long").alias("v"), F.col("t").alias("_seq"))
+    long = spark.createDataFrame([("", 0, n * 60 * s, 1, 1, 1, 0)], rows.schema)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = session_segments(rows.unionByName(long), "10 seconds", 8)
+        assert [(r.s_start, r.s_last, r.n) for r in out.collect()] == [(0, n * 60 * s, n + 1)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    # windows run over one row per partition and key; the pieces are summed before the shuffle
+    assert plan.count("partial_sum") >= 1 and "Window" in plan
+    sizes = [r["count"] for r in rows.unionByName(long).repartitionByRange(8, "skey", "t", "_seq")
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_null_times_values_and_keys_of_sessions(spark):
+    rows = [(1, 0, 5, "a"), (2, 3, None, "a"), (3, None, 4, "a"), (4, 100, None, "a"), (5, 0, 1, None), (6, 1, None, None)]
+    df = spark.createDataFrame(rows, "s long, t long, v long, k string").select(
+        "s", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "v", "k")
+    want = [("None", 2, 1), ("a", 1, None), ("a", 2, 5)]
+    out = session_windows(df, "ts", "10 seconds", "v", "s", key="k").collect()
+    assert sorted(((str(r.k), r.n, r.total) for r in out), key=repr) == sorted(want, key=repr)
+    base = shared_dir(spark, "nulls")
+    w = session_writer(spark, "ts", "10 seconds", "v", "s", "0 seconds", f"{base}/state", f"{base}/out", key="k")
+    w(df, 0)
+    w(spark.createDataFrame([(9, 10**7, 1, "z")], "s long, t long, v long, k string").select(
+        "s", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "v", "k"), 1)
+    got = spark.read.parquet(f"{base}/out").collect()
+    assert sorted(((str(r.k), r.n, r.total) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_waiting_rows_keep_their_order_of_arrival(spark):
+    # 100-104 arrive first and wait; 1-10 arrive after them
+    base = shared_dir(spark, "carry")
+    ids = lambda *r: spark.createDataFrame([(i, "k") for i in r], "s long, k string")
+    _play(chunk_writer(spark, "k", "s", 10, lambda d: d.groupBy("k", "chunk_no").agg(F.transform(F.sort_array(
+        F.collect_list(F.struct("arrival_no", "s"))), lambda x: x["s"]).alias("v")), base, 3),
+        ids(*range(100, 105)), ids(*range(1, 11)), ids(*range(11, 16)))
+    got = {r.chunk_no: r.v for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {0: [100, 101, 102, 103, 104, 1, 2, 3, 4, 5], 1: [6, 7, 8, 9, 10, 11, 12, 13, 14, 15]}
+
+
+def test_null_buckets_are_batches_in_both_forms(spark):
+    from keyfold.operators.count_window import fixed_batches
+    df = spark.createDataFrame([(i, None if i % 2 else 1) for i in range(10)], "s long, b long")
+    got = {(r.s, r.bucket, r.batch_no) for r in fixed_batches(df, F.col("b"), "s", 2, 4).collect()}
+    base = shared_dir(spark, "carry")
+    _play(chunk_writer(spark, "b", "s", 2, lambda d: d, base, 4), df)
+    assert got == {(r.s, r.b, r.chunk_no) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert len(got) == 8

@@ -3,11 +3,11 @@ from pyspark.sql import functions as F
 from fixtures import RUNNING_AVG_FIRST8, SALES_SAMPLE
 from keyfold.functions.parse import parse_sales
 from keyfold.session import shared_dir
-from keyfold.sinks import run_to_files
+from keyfold.sinks import roll_by_bytes, run_to_files, write_rolled
 from keyfold.sources.text import line_stream
 from keyfold.operators.running import run_count, run_sum
 from keyfold.streaming.carry import running_writer
-from keyfold.streaming.operators import exclude_stream_dynamic, processing_time_windows
+from keyfold.streaming.operators import arrival_windows
 from keyfold.streaming.runner import run_available_now
 
 
@@ -43,7 +43,7 @@ def test_processing_time_windows_keep_totals(spark):
     spark.range(0, 300).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("k")) \
          .repartition(3).write.parquet(src)
     s = spark.readStream.schema("seq long, k long").option("maxFilesPerTrigger", 1).parquet(src)
-    agg = processing_time_windows(s, "2 seconds", "k", [F.count(F.lit(1)).alias("n")])
+    agg = arrival_windows(s, "2 seconds", "k", [F.count(F.lit(1)).alias("n")])
     ck, out = shared_dir(spark, "pt-ck"), shared_dir(spark, "pt-out")
     q = agg.writeStream.outputMode("update").format("memory").queryName("pt_w") \
         .option("checkpointLocation", ck).trigger(availableNow=True).start()
@@ -52,22 +52,6 @@ def test_processing_time_windows_keep_totals(spark):
     assert sum(r.n for r in rows) == 300
 
 
-def test_dynamic_exclusion_applies_only_after_arrival(spark):
-    state = {"ids": []}
-    written = {}
-
-    def reader():
-        return spark.createDataFrame([(i,) for i in state["ids"]] or [("none",)], "emp string")
-
-    fn = exclude_stream_dynamic(reader, "emp", lambda df, e: written.__setitem__(e, df.collect()))
-    batch = spark.createDataFrame([("A", 1), ("B", 2)], "emp string, v long")
-    fn(batch, 0)
-    state["ids"].append("A")  # announced between micro-batches
-    fn(batch, 1)
-    assert sorted(r.emp for r in written[0]) == ["A", "B"]
-    assert [r.emp for r in written[1]] == ["B"]
-
-
 def test_rolling_file_sink(spark):
     src = shared_dir(spark, "roll-src")
     spark.range(0, 100).withColumnRenamed("id", "seq").repartition(1).write.parquet(src)
@@ -75,3 +59,75 @@ def test_rolling_file_sink(spark):
     out, ck = shared_dir(spark, "roll-out"), shared_dir(spark, "roll-ck")
     run_to_files(s, out, ck, fmt="text", max_records_per_file=30)
     assert spark.read.text(out).count() == 100
+
+
+def test_files_roll_by_bytes_however_uneven_the_lines(spark):
+    lines = [(i, "x" * (5000 if i < 20 else i % 7)) for i in range(600)] + [(600, "é" * 300), (601, "")]
+    df = spark.createDataFrame(lines, "s long, t string").repartition(4)
+    path = shared_dir(spark, "rolled")
+    write_rolled(df, path, "s", 8192, 50, F.col("t"))
+    files = spark.read.text(path).select("value", "file_no", F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.file_size").alias("size")).collect()
+    per = {}
+    for r in files:
+        per.setdefault(r.file_no, []).append(r)
+    assert all(len({r.f for r in rows}) == 1 for rows in per.values())
+    assert all(rows[0].size <= 8192 + 5001 for rows in per.values()) and len(per) > 10
+    # laid out one after another, the files are the lines in order
+    assert [r.value for k in sorted(per) for r in per[k]] == [t for _, t in lines]
+    out = roll_by_bytes(df, "s", F.octet_length("t"), 10, 7).orderBy("s").collect()
+    at = 0
+    for r in out:
+        assert r.file_no == at // 10
+        at += len(r.t.encode())
+
+
+def test_rejects_and_good_rows_are_all_lines(spark):
+    from keyfold.streaming.operators import reject_writer
+    base = shared_dir(spark, "rejects")
+    w = reject_writer(parse_sales, f"{base}/good", f"{base}/bad")
+    batch = spark.createDataFrame([("a,b,c,d,5",), ("a,b,c,d,x",), ("a,b",), (None,), ("",)], "value string")
+    w(batch, 0)
+    w(batch, 0)  # a repeated epoch writes the same again
+    w(batch.limit(0), 1)
+    good, bad = spark.read.parquet(f"{base}/good").collect(), spark.read.parquet(f"{base}/bad").collect()
+    assert [r.profit for r in good] == [5] and len(good) + len(bad) == 5
+    assert {r.bad_line for r in bad} == {"a,b,c,d,x", "a,b", None, ""} and all(r.reason for r in bad)
+
+
+def test_late_rows_are_kept_and_counted(spark):
+    from datetime import datetime
+    from keyfold.streaming.operators import late_writer
+    base = shared_dir(spark, "late")
+    w = late_writer(spark, "ts", "10 seconds", "5 seconds", *[f"{base}/{x}" for x in ("s", "ok", "late", "n")])
+    rows = lambda *r: spark.createDataFrame(
+        [(i, None if t is None else datetime(2024, 1, 1, 0, t // 60, t % 60)) for i, t in r], "s int, ts timestamp_ntz")
+    for e, b in enumerate([rows((1, 3), (2, 31)), rows((4, 19), (5, 20), (6, None)), rows((7, 9)), rows()]):
+        w(b, e)
+        w(b, e)
+    # watermark 26 s: the window up to 20 s is closed, the one up to 30 s is not
+    assert sorted(r.s for r in spark.read.parquet(f"{base}/late").collect()) == [4, 6, 7]
+    assert sorted(r.s for r in spark.read.parquet(f"{base}/ok").collect()) == [1, 2, 5]
+    assert sorted((r.epoch, r.on_time, r.late) for r in spark.read.parquet(f"{base}/n").collect()) \
+        == [(0, 2, 0), (1, 1, 2), (2, 0, 1), (3, 0, 0)]
+
+
+def test_two_live_sources_at_any_pace(spark):
+    from datetime import datetime, timedelta
+    from keyfold.streaming.operators import event_time, exclude_between_streams
+    from keyfold.streaming.runner import play
+    t0 = datetime(2024, 1, 1)
+    at = lambda s: t0 + timedelta(seconds=s)
+    main = spark.createDataFrame([(i, u, at(i * 10)) for i, u in enumerate([1, 2, 1, None, 3, 2, 1, 3])],
+                                 "s int, u int, ts timestamp_ntz")
+    ex = spark.createDataFrame([(2, at(10)), (1, at(25)), (1, at(5000)), (None, at(0))], "u int, ts timestamp_ntz")
+    far = at(10**8)
+    ends = {"main": spark.createDataFrame([(99, 9, far)], main.schema), "list": spark.createDataFrame([(8, far)], ex.schema)}
+    plan = lambda s: exclude_between_streams(event_time(s["main"], "ts", "1 minute"),
+                                             event_time(s["list"], "ts", "1 minute"), "u", "ts", "ts", salts=3)
+    for name, steps in (("a", [{"main": main}, {"list": ex}]), ("b", [{"list": ex}, {"main": main}]),
+                        ("c", [{"main": main.filter("s < 4"), "list": ex.filter("u = 2")},
+                               {"list": ex.filter("u <> 2 or u is null")}, {"main": main.filter("s >= 4")}])):
+        out = play(spark, [*steps, ends, ends], f"two-{name}", plan)
+        # 2 is out from 10 s on, 1 from 25 s on; a null id never is
+        assert sorted(r.s for r in out.collect() if r.s != 99) == [0, 2, 3, 4, 7], name
