@@ -46,3 +46,17 @@ def test_parser_splits_once_without_a_filter(spark):
     plan = _plan(E.queries()["q_parse_cab_strict"](spark, SF_SMALL))
     tree = plan.split("\n\n\n")[0]
     assert "Generate" in tree and "Filter" not in tree
+
+
+def test_struct_folds_sort_no_raw_rows_again(spark):
+    for name in ("q_running_sum", "q_running_min", "q_running_max", "q_running_min_by", "q_running_max_by"):
+        df = E.queries()[name](spark, SF_SMALL)
+        plan = _plan(df)
+        # what is aggregated by sorting is the totals of buckets, by groups of buckets
+        keys = re.findall(r"SortAggregate[^\n]*\nInput[^:]*: \[([^\n]*)\]", plan)
+        assert keys and all("_sup" in k and "user_id" not in k for k in keys)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("Scan parquet") == 1 and "ReusedExchange" in final  # rows are shuffled once
+    for name in ("q_large_delta", "q_alert_report"):
+        assert "SortAggregate" not in _plan(E.queries()[name](spark, SF_SMALL))
