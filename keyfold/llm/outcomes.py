@@ -42,4 +42,6 @@ def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataF
     shown = pages.select("page_id", _marks(lines_of(F.col("html"))).alias("line"))
     per = shown.join(of, "line").groupBy("page_id").agg(F.sum("bad").alias("b"),
                                                        F.count(F.lit(1)).alias("n"))
-    return per.select(F.col("page_id").alias("id"), (2 * F.col("b") >= F.col("n")).cast("long").alias("bad"))
+    # written, as the priors of every level read it again
+    return written(per.select(F.col("page_id").alias("id"), (2 * F.col("b") >= F.col("n"))
+                              .cast("long").alias("bad")), "url-outcomes")
