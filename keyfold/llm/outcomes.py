@@ -21,9 +21,9 @@ from keyfold.llm.op2_lines import lines_of, plain_lines
 LONG = 40
 
 
-def _marks(lines):
-    return F.explode(F.array_distinct(F.transform(
-        F.filter(lines, lambda x: F.length(x) >= LONG), lambda x: F.xxhash64(x))))
+def _hashes(lines):
+    return F.array_distinct(F.transform(F.filter(lines, lambda x: F.length(x) >= LONG),
+                                        lambda x: F.xxhash64(x)))
 
 
 def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -35,11 +35,12 @@ def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataF
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
     known = labels.filter("quality is not null or toxic is not null") \
         .select("doc_id", bad.alias("bad"))
-    of = docs.select("doc_id", "text").join(known, "doc_id") \
-        .select("bad", _marks(plain_lines(F.col("text"))).alias("line"))
+    # hashes meet the labels, not texts
+    of = docs.select("doc_id", _hashes(plain_lines(F.col("text"))).alias("lines")) \
+        .join(known, "doc_id").select("bad", F.explode("lines").alias("line"))
     of = written(of.groupBy("line").agg(F.min("bad").alias("bad"), F.max("bad").alias("_most"))
                  .filter("bad = _most").select("line", "bad"), "url-lines")
-    shown = pages.select("page_id", _marks(lines_of(F.col("html"))).alias("line"))
+    shown = pages.select("page_id", F.explode(_hashes(lines_of(F.col("html")))).alias("line"))
     per = shown.join(of, "line").groupBy("page_id").agg(F.sum("bad").alias("b"),
                                                        F.count(F.lit(1)).alias("n"))
     # written, as the priors of every level read it again
