@@ -82,6 +82,29 @@ def test_files_roll_by_bytes_however_uneven_the_lines(spark):
         at += len(r.t.encode())
 
 
+def test_small_files_are_written_by_many_tasks_and_read_whole(spark):
+    from keyfold.sinks import rolled_lines, rolling_writer
+    path = shared_dir(spark, "rolled")
+    write = rolling_writer(path, "s", 64, 50, F.col("t"))
+    texts = [f"{i} é " + "x" * (i % 9) for i in range(400)] + [""]
+    df = spark.createDataFrame(list(enumerate(texts)), "s int, t string")
+    conf = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(conf)
+    for epoch in (0, 1, 1):  # a repeated epoch writes the same again
+        write(df, epoch)
+    rows = rolled_lines(spark, path).collect()
+    assert spark.conf.get(conf) == old
+    for epoch in (0, 1):
+        files = {}
+        for r in rows:
+            if r.epoch == epoch:
+                files.setdefault((r.file_no, r.file, r.size), []).append(r.value)
+        assert [t for k in sorted(files) for t in files[k]] == texts
+        assert all(k[2] == sum(len(t.encode()) + 1 for t in v) for k, v in files.items())
+        assert len(files) == len({k[0] for k in files}) > 50
+        assert len({k[1].rsplit("/", 1)[1].split("-")[1] for k in files}) >= 3  # tasks
+
+
 def test_rejects_and_good_rows_are_all_lines(spark):
     from keyfold.streaming.operators import reject_writer
     base = shared_dir(spark, "rejects")
