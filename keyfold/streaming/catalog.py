@@ -29,9 +29,10 @@ from keyfold.sinks import rolled_lines, rolling_writer
 from keyfold.streaming.carry import (chunk_writer, distinct_flags, previous_window_writer,
                                      running_writer)
 from keyfold.streaming.operators import (arrival_windows, event_time, exclude_asof_writer,
-                                         exclude_between_streams, exclude_stream, late_writer,
+                                         exclude_sources_writer, exclude_stream, late_writer,
                                          reject_writer, session_stream, session_writer,
-                                         split_stream, tumbling_stream, window_top_stream)
+                                         split_stream, tumbling_stream, two_sources,
+                                         window_top_stream)
 from keyfold.streaming.runner import END_OF_INPUT_TS, one_row, play, replay
 
 # Fixed query parameters
@@ -537,9 +538,11 @@ def q_stream_excluded_sources(spark, sf):
              {"main": part(rows, .75, 1)}, last, last]
 
     def plan(s):
-        return exclude_between_streams(event_time(s["main"], "ts", LATENESS),
-                                       event_time(s["list"], "ts", LATENESS), "user_id", "ts", "ts")
-    out = play(spark, steps, "q_stream_excluded_sources", plan)
+        return two_sources(s["main"], s["list"], "user_id", "ts", "ts")
+    base = shared_dir(spark, "stream-out", "excluded_sources")
+    play(spark, steps, "q_stream_excluded_sources", plan, foreach_batch=exclude_sources_writer(
+        spark, "user_id", "ts", LATENESS, f"{base}/state", f"{base}/out"))
+    out = spark.read.parquet(f"{base}/out")
     return out.filter(F.col("event_id") != END_EVENT_ID).select("event_id", "user_id", "event_type")
 
 

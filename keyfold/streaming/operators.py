@@ -184,6 +184,10 @@ def exclude_between_streams(main: DataFrame, announced: DataFrame, on: str, ts:
     does not end.  Rows of one id are dealt over ``salts`` places, to each of which its
     announcements go, so that a hot id is not one task's state.  A null id is never
     excluded.
+
+    Every waiting row is an entry of the state store and meets all announcements of its
+    id: :func:`exclude_sources_writer` does the same for rows that are many and ids
+    that are announced again and again.
     """
     left = main.withColumn("_salt", F.pmod(F.xxhash64(ts, *[c for c in main.columns if c != ts]),
                                            F.lit(salts)).cast("int"))
@@ -194,6 +198,66 @@ def exclude_between_streams(main: DataFrame, announced: DataFrame, on: str, ts:
     return met.filter(F.col("_ex_on").isNull()).select(*main.columns)
 
 
+def two_sources(main: DataFrame, announced: DataFrame, on: str, ts: str, ex_ts: str) -> DataFrame:
+    """Rows of both live sources as one stream for :func:`exclude_sources_writer`;
+    announcements have the time they count from in ``_ex_ts``."""
+    return main.withColumn("_ex_ts", F.lit(None).cast("timestamp")).withColumn(
+        "_announced", F.lit(False)).unionByName(
+        announced.select(F.col(on), F.col(ex_ts).cast("timestamp").alias("_ex_ts"),
+                         F.lit(True).alias("_announced")), allowMissingColumns=True)
+
+
+def exclude_sources_writer(spark, on: str, ts: str, lateness: str, state_dir: str, out_dir: str):
+    """:func:`exclude_between_streams` as a ``foreachBatch`` function over
+    :func:`two_sources`, with its state in tables and not row by row in a state store.
+
+    Kept per epoch (:class:`Latest`) are the largest time of either source, the first
+    announcement of each id (a later one excludes nothing more) and the rows that
+    wait.  Per micro-batch:
+
+    1. rows and announcements at or behind the watermark (the smaller of the two
+       largest times less ``lateness``) that earlier micro-batches left are late and
+       dropped;
+    2. the others add to the first announcements; waiting and new rows whose id was
+       announced at their time or before are dropped for good;
+    3. of the rest those that the new watermark has reached go to ``out_dir``, where no
+       earlier announcement can come any more, and the others wait.
+
+    A null id is never excluded; rows without a time wait for ever, so they are not
+    kept.  Output goes to one folder per epoch, overwritten on a retry.
+    """
+    from keyfold.operators.sessions import _gap_micros
+    late_us = _gap_micros(lateness)
+    tops, firsts, waiting = (Latest(spark, f"{state_dir}/{x}") for x in ("tops", "firsts", "waiting"))
+
+    def mark(top) -> int | None:
+        return None if None in top else min(top) - late_us
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        at = F.unix_micros(F.coalesce("_ex_ts", F.col(ts).cast("timestamp")))
+        seen = batch.agg(*[F.max(F.when(c, at)) for c in (~F.col("_announced"), F.col("_announced"))]).first()
+        before = tops.before(epoch, "main long, announced long")
+        old = (None, None) if before is None else tuple(before.first())
+        top = [max((x for x in pair if x is not None), default=None) for pair in zip(old, seen)]
+        fresh = batch.filter(at.isNotNull() if mark(old) is None else at > mark(old))
+
+        known = fresh.filter(F.col("_announced") & F.col(on).isNotNull()).select(on, "_ex_ts")
+        prev = firsts.before(epoch, known.schema)
+        known = known if prev is None else prev.unionByName(known)
+        known = firsts.write(known.groupBy(on).agg(F.min("_ex_ts").alias("_ex_ts")), epoch)
+
+        rows = fresh.filter(~F.col("_announced")).drop("_announced", "_ex_ts")
+        prev = waiting.before(epoch, rows.schema)
+        rows = rows if prev is None else prev.unionByName(rows)
+        kept = rows.join(known, on, "left").filter(
+            F.col("_ex_ts").isNull() | (F.col("_ex_ts") > F.col(ts).cast("timestamp"))).select(*rows.columns)
+        due = F.lit(False) if mark(top) is None else F.unix_micros(F.col(ts).cast("timestamp")) <= mark(top)
+        kept.filter(due).write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+        waiting.write(kept.filter(~due), epoch)
+        tops.write(spark.createDataFrame([tuple(top)], "main long, announced long"), epoch)
+    return run
+
+
 def split_stream(outputs: dict, targets: dict[str, str]):
     """SPL-1 on a stream: one ``foreachBatch`` writes every side output of the
     same micro-batch (``outputs``: name -> function of the batch frame)."""

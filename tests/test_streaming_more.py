@@ -154,3 +154,35 @@ def test_two_live_sources_at_any_pace(spark):
         out = play(spark, [*steps, ends, ends], f"two-{name}", plan)
         # 2 is out from 10 s on, 1 from 25 s on; a null id never is
         assert sorted(r.s for r in out.collect() if r.s != 99) == [0, 2, 3, 4, 7], name
+
+
+def test_two_live_sources_as_tables(spark):
+    from datetime import datetime, timedelta
+    from keyfold.streaming.operators import exclude_sources_writer, two_sources
+    from keyfold.streaming.runner import play
+    t0 = datetime(2024, 1, 1)
+    at = lambda s: None if s is None else t0 + timedelta(seconds=s)
+    times = [0, 10, 20, 30, 40, 50, 60, 70, None]
+    main = spark.createDataFrame([(i, u, at(t)) for i, (u, t) in enumerate(zip([1, 2, 1, None, 3, 2, 1, 3, 3], times))],
+                                 "s int, u int, ts timestamp_ntz")
+    # announced again and again: only the first time counts
+    ex = spark.createDataFrame([(2, at(10)), (None, at(0)), (5, None)] + [(1, at(25 + i)) for i in range(300)],
+                               "u int, ts timestamp_ntz")
+    far = at(10**8)
+    ends = {"main": spark.createDataFrame([(99, 9, far)], main.schema), "list": spark.createDataFrame([(8, far)], ex.schema)}
+    late = {"main": spark.createDataFrame([(50, 7, at(5))], main.schema), "list": spark.createDataFrame([(3, at(1))], ex.schema)}
+    for name, steps in (("a", [{"main": main}, {"list": ex}]), ("b", [{"list": ex}, {"main": main}]),
+                        ("c", [{"main": main.filter("s < 4"), "list": ex.filter("u = 2")},
+                               {"list": ex.filter("u <> 2 or u is null")}, {"main": main.filter("s >= 4")}])):
+        base = shared_dir(spark, f"sources-{name}")
+        write = exclude_sources_writer(spark, "u", "ts", "1 minute", f"{base}/state", f"{base}/out")
+
+        def twice(batch, epoch, write=write):  # a repeated epoch writes the same again
+            write(batch, epoch)
+            write(batch, epoch)
+        play(spark, [*steps, ends, late], f"sources-{name}",
+             lambda s: two_sources(s["main"], s["list"], "u", "ts", "ts"), foreach_batch=twice)
+        out = spark.read.parquet(f"{base}/out")
+        assert set(out.columns) == {"s", "u", "ts", "epoch"}
+        # 2 is out from 10 s on, 1 from 25 s on; a null id never is; late rows count no more
+        assert sorted(r.s for r in out.collect()) == [0, 2, 3, 4, 7], name
