@@ -149,7 +149,10 @@ def session_segments(segs: DataFrame, gap: str, partitions: int | None = None) -
     rows, values, their total; ``_seq`` breaks ties -- into sessions
     ``(skey, s_start, s_last, n, m, total)``.  Raw rows and already-built open
     sessions, which have a length, mix freely; the stream form feeds in both.
+    Without ``m`` every row has a value.
     """
+    if "m" not in segs.columns:
+        segs = segs.withColumn("m", F.col("c"))
     gap_us = _gap_micros(gap)
     n = partitions or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (segs.filter("t is not null").withColumn("v", F.coalesce("v", F.lit(0).cast("long")))
