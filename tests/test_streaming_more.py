@@ -105,6 +105,46 @@ def test_small_files_are_written_by_many_tasks_and_read_whole(spark):
         assert len({k[1].rsplit("/", 1)[1].split("-")[1] for k in files}) >= 3  # tasks
 
 
+def test_rolled_files_are_listed_and_read_some_at_a_time(spark, monkeypatch):
+    import os
+
+    from keyfold import sinks
+    monkeypatch.setattr(sinks, "FOLDER_FILES", 10)
+    monkeypatch.setattr(sinks, "READ_FILES", 25)
+    path = shared_dir(spark, "rolled")
+    write = sinks.rolling_writer(path, "s", 16, 50, F.col("t"))
+    texts = [f"{i} é" + "x" * (500 if i == 77 else i % 9) for i in range(300)]
+    write(spark.createDataFrame(list(enumerate(texts)), "s int, t string"), 0)
+    write(spark.createDataFrame([(None, None), (5, "last")], "s int, t string"), 1)
+    on_disk = []  # the driver lists a folder and holds the files of a read, however many there are
+    for folder, below, files in os.walk(path):
+        assert len([d for d in below if d.startswith("file_no=")]) <= 10
+        on_disk += [f for f in files if f.endswith(".txt")]
+    seen = []
+
+    def each(lines):
+        seen.append({r.file for r in lines.select("file").distinct().collect()})
+        return lines
+
+    out = sinks.rolled_lines(spark, path, each)
+    assert out.dtypes == [("epoch", "int"), ("file_no", "int"), ("file", "string"),
+                          ("size", "bigint"), ("value", "string")]
+    rows = out.collect()
+    assert len(seen) > 5 and max(map(len, seen)) <= 25
+    assert sum(map(len, seen)) == len(set().union(*seen)) == len(on_disk) > 100
+    files = {}
+    for r in rows:
+        files.setdefault((r.epoch, r.file_no if r.file_no is not None else -1, r.file, r.size),
+                         []).append(r.value)
+    assert [t for k in sorted(files) for t in files[k] if k[0] == 0] == texts
+    assert sorted((k[1], *v) for k, v in files.items() if k[0] == 1) == [(-1, ""), (0, "last")]
+    assert all(k[3] == sum(len(t.encode()) + 1 for t in v) for k, v in files.items())
+    empty = shared_dir(spark, "rolled")
+    sinks.rolling_writer(empty, "s", 16, 50, F.col("t"))(
+        spark.createDataFrame([], "s int, t string"), 0)
+    assert sinks.rolled_lines(spark, empty).collect() == []
+
+
 def test_rejects_and_good_rows_are_all_lines(spark):
     from keyfold.streaming.operators import reject_writer
     base = shared_dir(spark, "rejects")
